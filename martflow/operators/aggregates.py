@@ -45,16 +45,20 @@ def mixed_measures(
     )
 
 
-def first_value(value: str, order_by: Sequence[str]) -> Column:
-    """The value of the first row in a stated order, nulls included."""
-    picked = F.min(F.struct(*order_by, F.col(value).alias("_value")))
-    return picked["_value"]
+def first_row(values: Sequence[str], order_by: Sequence[str]) -> Column:
+    """The values of the first row in a stated order, as one struct.
+
+    Rows equal in that order are told apart by the values themselves.
+    """
+    return F.min(F.struct(*order_by, *[v for v in values if v not in order_by]))
 
 
 def first_per_group(
     df: DataFrame, keys: Sequence[str], values: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
-    return df.groupBy(*keys).agg(*[first_value(v, order_by).alias(v) for v in values])
+    """Values of each group's first row; all of them from the same row."""
+    picked = df.groupBy(*keys).agg(first_row(values, order_by).alias("_row"))
+    return picked.select(*keys, *[f"_row.{v}" for v in values])
 
 
 def mean_and_first(
@@ -66,10 +70,11 @@ def mean_and_first(
     order_by: Sequence[str],
 ) -> DataFrame:
     """The mean of a measure with descriptive columns of each group's first row."""
-    return df.groupBy(*keys).agg(
+    grouped = df.groupBy(*keys).agg(
         F.avg(F.col(measure).try_cast("double")).alias(name),
-        *[first_value(v, order_by).alias(v) for v in described],
+        first_row(described, order_by).alias("_row"),
     )
+    return grouped.select(*keys, name, *[f"_row.{v}" for v in described])
 
 
 def pivot_first(

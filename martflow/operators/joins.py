@@ -68,7 +68,7 @@ def salted_join(
     return equi_join(left_salted, right_salted, {**on, "_salt": "_salt_r"}, how).drop("_salt")
 
 
-def replicate(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 128 << 20) -> DataFrame:
+def replicate(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
     """Mark a table for copying to every executor, if it is small enough.
 
     At most ``max_rows + 1`` rows are looked at. A larger table comes back

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,7 +67,7 @@ def exact_quantiles(pairs: DataFrame, fractions: Mapping[str, float]) -> DataFra
 
     Equal values are counted before the shuffle. The counts are sorted by a
     range shuffle, each range knows how many values lie before it, and only
-    the values on either side of a wanted rank are kept.
+    the ranges that hold a wanted rank are looked into.
     """
     counts = (
         pairs.where(F.col("v").isNotNull())
@@ -84,7 +86,12 @@ def exact_quantiles(pairs: DataFrame, fractions: Mapping[str, float]) -> DataFra
         "part",
         F.coalesce(F.sum("range_n").over(earlier), F.lit(0)).alias("before"),
         F.sum("range_n").over(by_column).alias("total"),
+        "range_n",
     )
+    ranks = {name: F.lit(q) * (F.col("total") - 1) for name, q in fractions.items()}
+    wanted = [round_to(rank) for rank in ranks.values() for round_to in (F.floor, F.ceil)]
+    holds_one = [(F.col("before") <= r) & (r < F.col("before") + F.col("range_n")) for r in wanted]
+    ranges = ranges.where(reduce(or_, holds_one)).drop("range_n")
     upto = Window.partitionBy("column_name", "part").orderBy("v")
     placed = counts.join(F.broadcast(ranges), ["column_name", "part"]).select(
         "column_name",
@@ -99,8 +106,7 @@ def exact_quantiles(pairs: DataFrame, fractions: Mapping[str, float]) -> DataFra
         return F.max(F.when((F.col("lo") <= rank) & (F.col("hi") >= rank), F.col("v")))
 
     aggregates, outputs = [], [F.col("column_name")]
-    for name, q in fractions.items():
-        rank = F.lit(q) * (F.col("total") - 1)
+    for name, rank in ranks.items():
         aggregates += [
             value_at(F.floor(rank)).alias(f"{name}_below"),
             value_at(F.ceil(rank)).alias(f"{name}_above"),

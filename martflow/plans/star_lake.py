@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.keys import unique_ids
 from martflow.functions.timeparts import format_start_time, from_epoch_ms, padded_parts, weekday
+from martflow.operators.aggregates import distinct_rows
 from martflow.operators.columns import select_as
 from martflow.operators.filters import of_kind
 from martflow.operators.joins import equi_join
 from martflow.plans.star_warehouse import ARTIST_NAMES, USER_NAMES
 from martflow.schemas import LOG_FILE, SONG_FILE, SONG_PLAY
+from martflow.session import materialize
 from martflow.sinks.writers import write_parquet
 from martflow.sources.readers import read_json, read_partitioned
 
+TIME_COLUMNS = ["start_time", "hour", "day", "week", "month", "year", "weekday"]
+PLAY_FIELDS = [
+    *TIME_COLUMNS, "userId", "firstName", "lastName", "gender", "level",
+    "song", "artist", "sessionId", "location", "userAgent",
+]
 SONGS = "song_id string, title string, artist_id string, artist_name string, duration double, year int"
 
 
@@ -47,14 +53,12 @@ def plays(log: DataFrame, text_time: bool = False) -> DataFrame:
     )
 
 
-def users(log: DataFrame) -> DataFrame:
-    return select_as(of_kind(log, "page", SONG_PLAY), USER_NAMES).distinct()
+def users(played: DataFrame) -> DataFrame:
+    return select_as(played, USER_NAMES).distinct()
 
 
 def times(played: DataFrame) -> DataFrame:
-    return played.select(
-        "start_time", "hour", "day", "week", "month", "year", "weekday"
-    ).distinct()
+    return distinct_rows(played, TIME_COLUMNS)
 
 
 def songplays(played: DataFrame, songs: DataFrame) -> DataFrame:
@@ -69,20 +73,17 @@ def songplays(played: DataFrame, songs: DataFrame) -> DataFrame:
 def run(spark: SparkSession, song_path: str, log_path: str, out: str, text_time: bool = False) -> None:
     """Read both JSON trees and write the five tables below ``out``.
 
-    The plays feed three tables and are kept between them instead of being
-    parsed three times. Songs are partitioned by year, times and plays by
-    year and month.
+    The plays feed three tables. They are parsed once and staged as columns
+    in the shared folder, where each table reads only those it needs. Songs
+    are partitioned by year, times and plays by year and month.
     """
     catalogue = read_json(spark, song_path, SONG_FILE)
     write_parquet(songs(catalogue), f"{out}/songs", ["year"])
     write_parquet(artists(catalogue), f"{out}/artists")
     log = read_json(spark, log_path, LOG_FILE)
-    write_parquet(users(log), f"{out}/users")
-    played = plays(log, text_time).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_parquet(times(played), f"{out}/time", ["year", "month"])
-        known = read_partitioned(spark, f"{out}/songs", SONGS)
-        fact = unique_ids(songplays(played, known), "songplay_id")
-        write_parquet(fact, f"{out}/songplays", ["year", "month"])
-    finally:
-        played.unpersist()
+    played = materialize(plays(log, text_time).select(*PLAY_FIELDS), "plays")
+    write_parquet(users(played), f"{out}/users")
+    write_parquet(times(played), f"{out}/time", ["year", "month"])
+    known = read_partitioned(spark, f"{out}/songs", SONGS)
+    fact = unique_ids(songplays(played, known), "songplay_id")
+    write_parquet(fact, f"{out}/songplays", ["year", "month"])

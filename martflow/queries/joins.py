@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martflow.operators.aggregates import first_value
+from martflow.operators.aggregates import one_row_per_key
 from martflow.operators.joins import (
     decode,
     enrich,
@@ -56,9 +56,11 @@ def _plays(spark, sf_dir):
 
 def _catalogue(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    return part.groupBy(F.col("p_name").alias("title"), F.col("p_brand").alias("artist")).agg(
-        F.min("p_partkey").alias("song_id"), first_value("p_retailprice", ["p_partkey"]).alias("duration")
+    named = part.select(
+        F.col("p_name").alias("title"), F.col("p_brand").alias("artist"),
+        F.col("p_partkey").alias("song_id"), F.col("p_retailprice").alias("duration"),
     )
+    return one_row_per_key(named, ["title", "artist"], ["song_id"], latest=False)
 
 
 ON = {"song": "title", "singer": "artist"}

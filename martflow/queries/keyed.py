@@ -17,6 +17,9 @@ from martflow.operators.upsert import (
     upsert_rows,
 )
 from martflow.queries.registry import query, table
+from martflow.session import scratch_path
+from martflow.sinks.writers import merge_partitions, write_parquet
+from martflow.sources.readers import read_partitioned
 
 MIDDLE = "2024-01-16"
 ARRIVAL = ["ts", "event_id"]
@@ -71,6 +74,28 @@ def upsert_update_columns(spark, sf_dir):
     return upsert_columns(target, later, ["user_id"], ["event_type"], ARRIVAL)
 
 
+@query(
+    "upsert_touched_partitions",
+    """SELECT user_id, event_type, CAST(week(ts) AS INTEGER) AS week, min(ts) AS ts, arg_min(value, (ts, event_id)) AS value
+       FROM events GROUP BY ALL""",
+)
+def upsert_touched_partitions(spark, sf_dir):
+    """First event per user, kind and week, in a table partitioned by week."""
+    path = scratch_path(spark, "by-week")
+    keys = ["user_id", "event_type", "week"]
+    schema = "user_id bigint, event_type string, ts timestamp_ntz, event_id bigint, value double, week int"
+    earlier, later = (half.withColumn("week", F.weekofyear("ts")) for half in _halves(spark, sf_dir))
+    write_parquet(one_row_per_key(earlier, keys, ARRIVAL, latest=False), path, ["week"])
+    merge_partitions(
+        read_partitioned(spark, path, schema),
+        later,
+        path,
+        ["week"],
+        lambda target, incoming: upsert_do_nothing(target, incoming, keys, ARRIVAL),
+    )
+    return read_partitioned(spark, path, schema).drop("event_id")
+
+
 @query(
     "upsert_last_write_wins",
     """SELECT user_id, event_type, ts, event_id, value FROM events

@@ -430,10 +430,10 @@ def temp_by_country(spark, sf_dir):
 @query(
     "temp_by_state_code",
     f"""WITH {CLIMATE_SQL},
-    placed AS (SELECT *, (date, kept.City, Latitude) AS lat_o, (date, kept.City, Longitude) AS lon_o
+    placed AS (SELECT *, (date, kept.City, Latitude, Longitude) AS o
                FROM kept JOIN city_state ON kept.City = city_state.city WHERE Country = 'Country 1')
-    SELECT Code AS state, round(avg(v), 4) AS average_temperature, arg_min(Latitude, lat_o) AS "Latitude",
-           arg_min(Longitude, lon_o) AS "Longitude"
+    SELECT Code AS state, round(avg(v), 4) AS average_temperature, arg_min(Latitude, o) AS "Latitude",
+           arg_min(Longitude, o) AS "Longitude"
     FROM placed JOIN abbreviations ON placed.state = abbreviations.State GROUP BY Code""",
 )
 def temp_by_state_code(spark, sf_dir):

@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
+from martflow.session import materialize
+
+Merge = Callable[[DataFrame, DataFrame], DataFrame]
+
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    mode: str = "overwrite",
+    gather: bool = True,
 ) -> None:
     """Parquet below ``path``, one directory per value of ``partition_by``.
 
     A partitioned write first gathers the rows of each value, so that every
     directory gets few files; the rebalance hint lets AQE split a value that
-    is larger than one partition should be. ``mode="errorifexists"`` refuses
+    is larger than one partition should be. ``gather=False`` saves that
+    shuffle where rows already lie together. ``mode="errorifexists"`` refuses
     an existing target.
     """
     if partition_by:
-        df = df.hint("rebalance", *partition_by)
+        if gather:
+            df = df.hint("rebalance", *partition_by)
         df.write.mode(mode).partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode(mode).parquet(path)
@@ -44,6 +54,29 @@ def load(df: DataFrame, path: str, truncate: bool) -> None:
     df.write.mode("overwrite" if truncate else "append").parquet(path)
 
 
+def merge_partitions(
+    target: DataFrame, incoming: DataFrame, path: str, partition_by: Sequence[str], merge: Merge
+) -> None:
+    """Merge new rows into the partitions they touch; all others stay as they are.
+
+    ``target`` is the scan of ``path`` and ``merge(target, incoming)`` one of
+    the upserts, on keys that include or determine the partition columns. Only
+    touched partitions are read, merged and replaced. The merged rows are
+    staged in the shared folder before anything is overwritten.
+    """
+    names = list(partition_by)
+    touched = incoming.select(*names).distinct()
+    current = target.join(touched, names, "left_semi")
+    merged = materialize(merge(current, incoming), "merged-partitions")
+    (
+        merged.hint("rebalance", *names)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*names)
+        .parquet(path)
+    )
+
+
 def load_table(df: DataFrame, table: str, truncate: bool) -> None:
     """Load a catalog table by column position, as ``INSERT ... SELECT`` does."""
     df.write.insertInto(table, overwrite=truncate)

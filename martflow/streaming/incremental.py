@@ -11,8 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martflow.sinks.tables import replace_table
-
-Merge = Callable[[DataFrame, DataFrame], DataFrame]
+from martflow.sinks.writers import Merge
 
 
 def run_available(
