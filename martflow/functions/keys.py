@@ -17,7 +17,11 @@ def md5_key(*values: Column) -> Column:
 
 
 def unique_ids(df: DataFrame, name: str) -> DataFrame:
-    """Unique, increasing, gappy ids without any shuffle."""
+    """Unique, increasing, gappy ids without any shuffle.
+
+    Number rows right before they are written: a shuffle in between could
+    bring together ids from two runs of a task that was lost and repeated.
+    """
     return df.select(F.monotonically_increasing_id().alias(name), "*")
 
 
@@ -29,12 +33,12 @@ def dense_ids(
     One range shuffle sorts the rows; each row then knows its partition and
     its place in it. Only the row count of each partition, one number apiece,
     is brought together to give every partition its first id. Rows equal in
-    ``order_by`` are told apart by their other columns, and full copies by
-    their position in the input, so no run of equals has to fit in one task.
+    ``order_by`` are told apart by their other columns, and full copies by the
+    input partition they are in, so no run of equals has to fit in one task.
+    Both stay the same when a lost task is run again.
     """
-    spread = F.xxhash64(*df.columns)
     order = [*order_by, "_tie", "_copy"]
-    tied = df.withColumns({"_tie": spread, "_copy": F.monotonically_increasing_id()})
+    tied = df.withColumns({"_tie": F.xxhash64(*df.columns), "_copy": F.spark_partition_id()})
     ranged = (
         tied.repartitionByRange(partitions, *order) if partitions else tied.repartitionByRange(*order)
     )

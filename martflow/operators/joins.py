@@ -3,12 +3,14 @@
 No side is forced to be broadcast. Catalyst and AQE broadcast what they
 measure to be below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
 sort-merge, with AQE splitting skewed partitions. ``replicate`` adds a hint
-behind a check of its own and ``salted_join`` spreads keys known to be hot.
+behind a check of its own. ``salted_join`` spreads hot keys itself; operators
+with a ``join`` argument take it, or a partial of it, in place of the plain
+``equi_join``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 from martflow.functions.text import exact_number
 from martflow.operators.filters import all_of
 
+# (left, right, on, how) -> joined
+Join = Callable[[DataFrame, DataFrame, Mapping[str, str], str], DataFrame]
+
 
 def equi_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str = "inner") -> DataFrame:
     """Join on pairs of columns (left → right); the right keys are dropped."""
@@ -47,8 +52,9 @@ def salted_join(
     """``equi_join`` for two large sides where some keys fill much of the left.
 
     Left rows of hot keys are dealt over ``salts`` sub-keys by their other
-    columns, and the right rows of those keys alone are repeated to meet them.
-    Null keys count as hot when frequent. Results are those of the plain join.
+    columns and, as copies agree in those, by their input partition. The right
+    rows of those keys alone are repeated to meet them. Null keys count as hot
+    when frequent. Results are those of the plain join.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
@@ -59,7 +65,7 @@ def salted_join(
     def is_hot(keys: Sequence[str]) -> Column:
         return F.xxhash64(*keys).isin(hot)
 
-    dealt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    dealt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
     left_salted = left.withColumn("_salt", F.when(is_hot(list(on)), dealt).otherwise(F.lit(0)))
     copies = F.when(
         is_hot(list(on.values())), F.sequence(F.lit(0), F.lit(salts - 1))
@@ -89,12 +95,13 @@ def left_join_numeric(
     on: Mapping[str, str],
     number: tuple[str, str],
     scale: int = 5,
+    join: Join = equi_join,
 ) -> DataFrame:
     """Left join on text keys and one number, compared as an exact decimal."""
     a, b = number
     left_keyed = left.withColumn("_n", exact_number(F.col(a), scale))
     right_keyed = right.withColumn("_nr", exact_number(F.col(b), scale)).drop(b)
-    return equi_join(left_keyed, right_keyed, {**on, "_n": "_nr"}, "left").drop("_n")
+    return join(left_keyed, right_keyed, {**on, "_n": "_nr"}, "left").drop("_n")
 
 
 def resolve(
@@ -104,6 +111,7 @@ def resolve(
     number: tuple[str, str],
     ids: Sequence[str],
     scale: int = 5,
+    join: Join = equi_join,
 ) -> DataFrame:
     """Add the ids of the one matching catalogue row, or nulls.
 
@@ -117,11 +125,16 @@ def resolve(
         .agg(F.min(F.struct(*ids)).alias("_ids"))
         .select(*text_keys, number[1], "_ids.*")
     )
-    return left_join_numeric(fact, unique, on, number, scale)
+    return left_join_numeric(fact, unique, on, number, scale, join)
 
 
 def decode(
-    fact: DataFrame, lookup: DataFrame, code: str, lookup_code: str, names: Mapping[str, str]
+    fact: DataFrame,
+    lookup: DataFrame,
+    code: str,
+    lookup_code: str,
+    names: Mapping[str, str],
+    join: Join = equi_join,
 ) -> DataFrame:
     """Add the columns a code stands for, under new names (lookup → output).
 
@@ -131,7 +144,7 @@ def decode(
     chosen = lookup.select(
         F.col(lookup_code).alias("_code"), *[F.col(c).alias(out) for c, out in names.items()]
     )
-    return equi_join(fact, chosen, {code: "_code"}, "left")
+    return join(fact, chosen, {code: "_code"}, "left")
 
 
 def enrich(fact: DataFrame, *lookups: tuple[DataFrame, str, str, Mapping[str, str]]) -> DataFrame:

@@ -49,26 +49,32 @@ def column_types(df: DataFrame) -> DataFrame:
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, standard deviation, extremes and exact quartiles per column."""
-    pairs = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column_name", "v"
-    )
-    moments = pairs.where(F.col("v").isNotNull()).groupBy("column_name").agg(
-        F.count("v").alias("count"),
-        F.avg("v").alias("mean"),
-        F.stddev("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    moments = numbers.agg(
+        *[
+            F.struct(
+                F.count(c).alias("count"),
+                F.avg(c).alias("mean"),
+                F.stddev(c).alias("std"),
+                F.min(c).alias("min"),
+                F.max(c).alias("max"),
+            ).alias(c)
+            for c in columns
+        ]
     )
-    return moments.join(exact_quantiles(pairs, {"p25": 0.25, "p50": 0.5, "p75": 0.75}), "column_name")
+    per_column = moments.unpivot([], list(columns), "column_name", "m").select("column_name", "m.*")
+    quartiles = exact_quantiles(numbers, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return per_column.join(quartiles, "column_name", "left")
 
 
-def exact_quantiles(pairs: DataFrame, fractions: Mapping[str, float]) -> DataFrame:
-    """Interpolated quantiles of ``v`` per ``column_name``, at any size.
+def exact_quantiles(numbers: DataFrame, fractions: Mapping[str, float]) -> DataFrame:
+    """Interpolated quantiles of every column of doubles, at any size.
 
     Equal values are counted before the shuffle. The counts are sorted by a
     range shuffle, each range knows how many values lie before it, and only
     the ranges that hold a wanted rank are looked into.
     """
+    pairs = numbers.unpivot([], numbers.columns, "column_name", "v")
     counts = (
         pairs.where(F.col("v").isNotNull())
         .groupBy("column_name", "v")

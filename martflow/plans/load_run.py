@@ -1,4 +1,4 @@
-"""A load in dependency order: fact, then dimensions, then the quality gate."""
+"""A load in dependency order: staging, fact, dimensions, quality gate."""
 
 from __future__ import annotations
 
@@ -9,28 +9,35 @@ from pyspark.sql import DataFrame, SparkSession
 from martflow.operators.quality import enforce, nonempty_report
 from martflow.sinks.writers import load
 
-Build = Callable[[], DataFrame]
+# Builds a table from those written before it, by name.
+Build = Callable[[Mapping[str, DataFrame]], DataFrame]
 
 
 def run_load(
     spark: SparkSession,
     out: str,
-    fact: tuple[str, Build],
-    dimensions: Mapping[str, Callable[[DataFrame], DataFrame]],
+    staged: Mapping[str, DataFrame],
+    fact: Mapping[str, Build],
+    dimensions: Mapping[str, Build],
     truncate: bool = True,
 ) -> DataFrame:
-    """Write the fact, then each dimension, then count and check all of them.
+    """Write staging tables, then the fact, then the dimensions, and check them.
 
-    A dimension is built from the written fact or ignores it; dimensions do
-    not depend on one another. Returns the report of row counts, or raises
-    when a table came out empty.
+    Raw sources are parsed once, into staging tables that are always replaced;
+    fact and dimensions are replaced or added to. A dimension may draw on the
+    fact but not on another dimension. Returns the row counts of the fact and
+    the dimensions, or raises when one of them came out empty.
     """
-    name, build = fact
-    load(build(), f"{out}/{name}", truncate)
-    written = {name: spark.read.parquet(f"{out}/{name}")}
-    for dimension, build_from in dimensions.items():
-        load(build_from(written[name]), f"{out}/{dimension}", truncate)
-        written[dimension] = spark.read.parquet(f"{out}/{dimension}")
-    report = nonempty_report(written)
+    written: dict[str, DataFrame] = {}
+
+    def write(name: str, df: DataFrame, replace: bool) -> None:
+        load(df, f"{out}/{name}", replace)
+        written[name] = spark.read.parquet(f"{out}/{name}")
+
+    for name, source in staged.items():
+        write(name, source, replace=True)
+    for name, build in {**fact, **dimensions}.items():
+        write(name, build(written), truncate)
+    report = nonempty_report({name: written[name] for name in {**fact, **dimensions}})
     enforce(report)
     return report

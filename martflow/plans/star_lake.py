@@ -10,7 +10,7 @@ from martflow.functions.timeparts import format_start_time, from_epoch_ms, padde
 from martflow.operators.aggregates import distinct_rows
 from martflow.operators.columns import select_as
 from martflow.operators.filters import of_kind
-from martflow.operators.joins import equi_join
+from martflow.operators.joins import Join, equi_join
 from martflow.plans.star_warehouse import ARTIST_NAMES, USER_NAMES
 from martflow.schemas import LOG_FILE, SONG_FILE, SONG_PLAY
 from martflow.session import materialize
@@ -61,10 +61,10 @@ def times(played: DataFrame) -> DataFrame:
     return distinct_rows(played, TIME_COLUMNS)
 
 
-def songplays(played: DataFrame, songs: DataFrame) -> DataFrame:
+def songplays(played: DataFrame, songs: DataFrame, join: Join = equi_join) -> DataFrame:
     """Plays of known songs; the location is the listener's."""
     known = songs.select("title", "artist_name", "song_id", "artist_id")
-    return equi_join(played, known, {"song": "title", "artist": "artist_name"}).select(
+    return join(played, known, {"song": "title", "artist": "artist_name"}, "inner").select(
         "year", "month", "start_time", F.col("userId").alias("user_id"), "level", "song_id", "artist_id",
         F.col("sessionId").alias("session_id"), "location", F.col("userAgent").alias("user_agent"),
     )
@@ -85,5 +85,6 @@ def run(spark: SparkSession, song_path: str, log_path: str, out: str, text_time:
     write_parquet(users(played), f"{out}/users")
     write_parquet(times(played), f"{out}/time", ["year", "month"])
     known = read_partitioned(spark, f"{out}/songs", SONGS)
-    fact = unique_ids(songplays(played, known), "songplay_id")
-    write_parquet(fact, f"{out}/songplays", ["year", "month"])
+    by_month = songplays(played, known).hint("rebalance", "year", "month")
+    fact = unique_ids(by_month, "songplay_id")
+    write_parquet(fact, f"{out}/songplays", ["year", "month"], gather=False)

@@ -14,12 +14,14 @@ from martflow.functions.timeparts import clock_parts, from_epoch_ms
 from martflow.operators.aggregates import distinct_rows
 from martflow.operators.columns import select_as
 from martflow.operators.filters import of_kind
-from martflow.operators.joins import left_join_numeric
+from martflow.operators.joins import Join, equi_join, left_join_numeric
 from martflow.plans.star_warehouse import ARTIST_NAMES, SONG_COLUMNS, USER_NAMES
 from martflow.schemas import SONG_PLAY
 
 
-def songplays(log: DataFrame, catalogue: DataFrame, length_scale: int = 5) -> DataFrame:
+def songplays(
+    log: DataFrame, catalogue: DataFrame, length_scale: int = 5, join: Join = equi_join
+) -> DataFrame:
     """Every play, with the ids of songs that match in title, artist and length.
 
     ``length_scale`` is the number of decimals lengths are compared to; 0
@@ -30,7 +32,7 @@ def songplays(log: DataFrame, catalogue: DataFrame, length_scale: int = 5) -> Da
     )
     known = catalogue.select("title", "artist_name", "duration", "song_id", "artist_id")
     matched = left_join_numeric(
-        played, known, {"song": "title", "artist": "artist_name"}, ("length", "duration"), length_scale
+        played, known, {"song": "title", "artist": "artist_name"}, ("length", "duration"), length_scale, join
     )
     return matched.select(
         md5_key(F.col("sessionId"), F.col("start_time")).alias("playid"),

@@ -13,7 +13,7 @@ from martflow.functions.keys import dense_ids
 from martflow.functions.timeparts import clock_parts
 from martflow.operators.columns import select_as
 from martflow.operators.filters import of_kind, present
-from martflow.operators.joins import resolve
+from martflow.operators.joins import Join, equi_join, resolve
 from martflow.operators.upsert import absent_rows, upsert_columns, upsert_do_nothing
 from martflow.plans.star_warehouse import ARTIST_NAMES, PLAY_COLUMNS, SONG_COLUMNS, USER_NAMES
 from martflow.schemas import SONG_PLAY
@@ -45,7 +45,9 @@ def times(target: DataFrame, log: DataFrame) -> DataFrame:
     return target.unionByName(new.withColumns(clock_parts(F.col("start_time"), "monday0")))
 
 
-def songplays(log: DataFrame, songs: DataFrame, artists: DataFrame, start: int = 1) -> DataFrame:
+def songplays(
+    log: DataFrame, songs: DataFrame, artists: DataFrame, start: int = 1, join: Join = equi_join
+) -> DataFrame:
     """Every play, with the song's and artist's ids or nulls, numbered from ``start``."""
     named = artists.select("artist_id", F.col("name").alias("artist_name"))
     catalogue = songs.select("song_id", "title", "duration", "artist_id").join(named, "artist_id")
@@ -55,6 +57,7 @@ def songplays(log: DataFrame, songs: DataFrame, artists: DataFrame, start: int =
         {"song": "title", "artist": "artist_name"},
         ("length", "duration"),
         ["song_id", "artist_id"],
+        join=join,
     )
     fact = resolved.select(
         F.col("ts").alias("start_time"), F.col("userId").alias("user_id"), "level", "song_id", "artist_id",

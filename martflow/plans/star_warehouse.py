@@ -14,7 +14,7 @@ from martflow.functions.timeparts import clock_parts
 from martflow.operators.aggregates import distinct_rows, one_row_per_key
 from martflow.operators.columns import select_as
 from martflow.operators.filters import of_kind, present
-from martflow.operators.joins import equi_join
+from martflow.operators.joins import Join, equi_join
 from martflow.schemas import SONG_PLAY
 
 USER_NAMES = {
@@ -37,7 +37,9 @@ PLAY_COLUMNS = [
 SONG_COLUMNS = ["song_id", "title", "artist_id", "year", "duration"]
 
 
-def songplays(log: DataFrame, catalogue: DataFrame, ids: str | None = None) -> DataFrame:
+def songplays(
+    log: DataFrame, catalogue: DataFrame, ids: str | None = None, join: Join = equi_join
+) -> DataFrame:
     """Plays of catalogue songs; the location is the artist's.
 
     ``ids`` adds ``songplay_id``: "dense" numbers plays from 0 in time order,
@@ -50,7 +52,7 @@ def songplays(log: DataFrame, catalogue: DataFrame, ids: str | None = None) -> D
     known = catalogue.select(
         "title", "artist_name", "song_id", "artist_id", F.col("artist_location").alias("location")
     )
-    matched = equi_join(plays, known, {"song": "title", "artist": "artist_name"})
+    matched = join(plays, known, {"song": "title", "artist": "artist_name"}, "inner")
     fact = distinct_rows(matched, PLAY_COLUMNS)
     if ids == "dense":
         return dense_ids(fact, "songplay_id", fact.columns)

@@ -130,18 +130,18 @@ def join_lookup_decode(spark, sf_dir):
     "join_role_playing",
     """SELECT l_orderkey, l_linenumber, cn.n_name AS buyer_nation, sn.n_name AS seller_nation
        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-       LEFT JOIN nation cn ON o_custkey % 30 = cn.n_nationkey
-       LEFT JOIN nation sn ON l_suppkey % 28 = sn.n_nationkey""",
+       LEFT JOIN nation cn ON day(o_orderdate) = cn.n_nationkey
+       LEFT JOIN nation sn ON day(l_shipdate) = sn.n_nationkey""",
 )
 def join_role_playing(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     nation = table(spark, sf_dir, "nation")
     fact = equi_join(lines, orders, {"l_orderkey": "o_orderkey"}).select(
         "l_orderkey",
         "l_linenumber",
-        (F.col("o_custkey") % 30).cast("int").alias("buyer"),
-        (F.col("l_suppkey") % 28).cast("int").alias("seller"),
+        F.dayofmonth("o_orderdate").alias("buyer"),
+        F.dayofmonth("l_shipdate").alias("seller"),
     )
     return enrich(
         fact,

@@ -293,12 +293,13 @@ def load_report(spark, sf_dir):
     return load_run.run_load(
         spark,
         scratch_path(spark, "star"),
-        ("songplays", lambda: star_orchestrated.songplays(log, songs)),
+        {"staging_events": log, "staging_songs": songs},
+        {"songplays": lambda t: star_orchestrated.songplays(t["staging_events"], t["staging_songs"])},
         {
-            "users": lambda fact: star_orchestrated.users(log),
-            "songs": lambda fact: star_orchestrated.songs(songs),
-            "artists": lambda fact: star_orchestrated.artists(songs),
-            "time": star_orchestrated.times,
+            "users": lambda t: star_orchestrated.users(t["staging_events"]),
+            "songs": lambda t: star_orchestrated.songs(t["staging_songs"]),
+            "artists": lambda t: star_orchestrated.artists(t["staging_songs"]),
+            "time": lambda t: star_orchestrated.times(t["songplays"]),
         },
     )
 
@@ -409,11 +410,11 @@ def imm_dates(spark, sf_dir):
     "temp_by_state",
     f"""WITH {CLIMATE_SQL}
     SELECT state, round(avg(v), 4) AS average_temperature
-    FROM kept LEFT JOIN city_state ON kept.City = city_state.city WHERE Country = 'Country 1' GROUP BY state""",
+    FROM kept LEFT JOIN city_state ON kept.City = city_state.city WHERE Country = 'Home' GROUP BY state""",
 )
 def temp_by_state(spark, sf_dir):
     sources = standins.climate(spark, sf_dir)
-    means = climate.by_state(sources["readings"], sources["cities"], country="Country 1")
+    means = climate.by_state(sources["readings"], sources["cities"], country="Home")
     return means.withColumn("average_temperature", F.round("average_temperature", 4))
 
 
@@ -431,7 +432,7 @@ def temp_by_country(spark, sf_dir):
     "temp_by_state_code",
     f"""WITH {CLIMATE_SQL},
     placed AS (SELECT *, (date, kept.City, Latitude, Longitude) AS o
-               FROM kept JOIN city_state ON kept.City = city_state.city WHERE Country = 'Country 1')
+               FROM kept JOIN city_state ON kept.City = city_state.city WHERE Country = 'Home')
     SELECT Code AS state, round(avg(v), 4) AS average_temperature, arg_min(Latitude, o) AS "Latitude",
            arg_min(Longitude, o) AS "Longitude"
     FROM placed JOIN abbreviations ON placed.state = abbreviations.State GROUP BY Code""",
@@ -439,7 +440,7 @@ def temp_by_country(spark, sf_dir):
 def temp_by_state_code(spark, sf_dir):
     sources = standins.climate(spark, sf_dir)
     means = climate.by_state_code(
-        sources["readings"], sources["cities"], sources["abbreviations"], country="Country 1"
+        sources["readings"], sources["cities"], sources["abbreviations"], country="Home"
     )
     return means.withColumn("average_temperature", F.round("average_temperature", 4))
 

@@ -124,11 +124,11 @@ arrivals AS (
   SELECT CAST(o_orderkey AS DOUBLE) AS cicid,
          CAST(year(o_orderdate) AS DOUBLE) AS i94yr,
          CAST(month(o_orderdate) AS DOUBLE) AS i94mon,
-         CAST(o_custkey % 30 AS DOUBLE) AS i94cit,
-         CAST(o_custkey % 25 AS DOUBLE) AS i94res,
-         'N' || (o_orderkey % 28) AS i94port,
+         CAST(day(o_orderdate) AS DOUBLE) AS i94cit,
+         CAST(month(o_orderdate) * 2 AS DOUBLE) AS i94res,
+         'N' || day(o_orderdate) AS i94port,
          CAST(date_diff('day', DATE '1960-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS arrdate,
-         CAST(o_custkey % 7 AS DOUBLE) AS i94mode,
+         CAST(dayofweek(o_orderdate) AS DOUBLE) AS i94mode,
          CASE WHEN o_orderstatus <> 'P'
               THEN CAST(date_diff('day', DATE '1960-01-01', CAST(o_orderdate AS DATE)) + 10 AS DOUBLE)
          END AS depdate,
@@ -151,11 +151,11 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("double").alias("cicid"),
         F.year("o_orderdate").cast("double").alias("i94yr"),
         F.month("o_orderdate").cast("double").alias("i94mon"),
-        (F.col("o_custkey") % 30).cast("double").alias("i94cit"),
-        (F.col("o_custkey") % 25).cast("double").alias("i94res"),
-        F.concat(F.lit("N"), F.col("o_orderkey") % 28).alias("i94port"),
+        F.dayofmonth("o_orderdate").cast("double").alias("i94cit"),
+        (F.month("o_orderdate") * 2).cast("double").alias("i94res"),
+        F.concat(F.lit("N"), F.dayofmonth("o_orderdate")).alias("i94port"),
         day.cast("double").alias("arrdate"),
-        (F.col("o_custkey") % 7).cast("double").alias("i94mode"),
+        (F.dayofweek("o_orderdate") - 1).cast("double").alias("i94mode"),
         F.when(F.col("o_orderstatus") != "P", (day + 10).cast("double")).alias("depdate"),
         F.substring("o_orderpriority", 1, 1).cast("double").alias("i94visa"),
         F.when(F.col("o_orderstatus") == "F", "F").when(F.col("o_orderstatus") == "O", "M").alias("gender"),
@@ -185,17 +185,17 @@ CLIMATE_SQL = """
 readings AS (
   SELECT strftime(o_orderdate, '%Y-%m-%d') AS dt,
          CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS VARCHAR) END AS AverageTemperature,
-         'City ' || (c_custkey % 1000) AS City,
-         'Country ' || (c_custkey % 3) AS Country,
-         CAST(c_custkey % 90 AS VARCHAR) || 'N' AS Latitude,
-         CAST(c_custkey % 180 AS VARCHAR) || 'W' AS Longitude
+         c_mktsegment || ' ' || c_nationkey AS City,
+         CASE WHEN c_nationkey < 22 THEN 'Home' ELSE 'Away' END AS Country,
+         c_nationkey || 'N' AS Latitude,
+         length(c_mktsegment) || 'W' AS Longitude
   FROM orders JOIN customer ON o_custkey = c_custkey
 ),
 cities AS (
-  SELECT 'Country ' || (c_custkey % 3) AS country,
-         'City ' || (c_custkey % 1000) AS city,
+  SELECT CASE WHEN c_nationkey < 22 THEN 'Home' ELSE 'Away' END AS country,
+         c_mktsegment || ' ' || c_nationkey AS city,
          c_mktsegment AS admin_name
-  FROM customer WHERE c_acctbal > 0
+  FROM customer WHERE c_nationkey < 18
 ),
 abbreviations AS (SELECT DISTINCT c_mktsegment AS State, substr(c_mktsegment, 1, 2) AS Code FROM customer),
 kept AS (
@@ -203,25 +203,25 @@ kept AS (
   FROM readings WHERE AverageTemperature IS NOT NULL AND CAST(dt AS DATE) > DATE '2000-01-01'
 ),
 city_state AS (
-  SELECT city, min(admin_name) AS state FROM cities WHERE country = 'Country 1' GROUP BY city
+  SELECT city, min(admin_name) AS state FROM cities WHERE country = 'Home' GROUP BY city
 )"""
 
 
 def climate(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Temperature readings from orders, cities and state codes from customers."""
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    city = F.concat(F.lit("City "), key % 1000)
-    country = F.concat(F.lit("Country "), key % 3)
-    readings = orders.join(customer, F.col("o_custkey") == key).select(
+    nation = F.col("c_nationkey")
+    city = F.concat_ws(" ", "c_mktsegment", "c_nationkey")
+    country = F.when(nation < 22, "Home").otherwise("Away")
+    readings = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice").cast("string")).alias("AverageTemperature"),
         city.alias("City"),
         country.alias("Country"),
-        F.concat(key % 90, F.lit("N")).alias("Latitude"),
-        F.concat(key % 180, F.lit("W")).alias("Longitude"),
+        F.concat(nation, F.lit("N")).alias("Latitude"),
+        F.concat(F.length("c_mktsegment"), F.lit("W")).alias("Longitude"),
     )
-    cities = customer.where(F.col("c_acctbal") > 0).select(
+    cities = customer.where(nation < 18).select(
         country.alias("country"), city.alias("city"), F.col("c_mktsegment").alias("admin_name")
     )
     codes = customer.select(
@@ -237,13 +237,13 @@ races AS (
 ),
 lines AS (
   SELECT c_name AS "City", 'State ' || c_nationkey AS "State",
-         CAST(c_custkey % 60 AS VARCHAR) AS "Median Age",
+         CAST(c_nationkey + 20 AS VARCHAR) AS "Median Age",
          CAST(c_custkey AS VARCHAR) AS "Male Population",
          CAST(c_custkey + 7 AS VARCHAR) AS "Female Population",
          CAST(c_custkey * 2 + 7 AS VARCHAR) AS "Total Population",
-         CASE WHEN c_acctbal > 0 THEN CAST(c_custkey % 100 AS VARCHAR) END AS "Number of Veterans",
-         CAST(c_custkey % 50 AS VARCHAR) AS "Foreign-born",
-         CAST(c_custkey % 5 AS VARCHAR) AS "Average Household Size",
+         CASE WHEN c_acctbal > 0 THEN CAST(c_custkey + 1 AS VARCHAR) END AS "Number of Veterans",
+         CAST(c_custkey + 3 AS VARCHAR) AS "Foreign-born",
+         CAST(length(c_mktsegment) AS VARCHAR) AS "Average Household Size",
          'S' || c_nationkey AS "State Code",
          race AS "Race",
          CAST(count(*) AS VARCHAR) AS "Count"
@@ -265,13 +265,13 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(customer, F.col("o_custkey") == key).select(
         F.col("c_name").alias("City"),
         F.concat(F.lit("State "), F.col("c_nationkey")).alias("State"),
-        (key % 60).cast("string").alias("Median Age"),
+        (F.col("c_nationkey") + 20).cast("string").alias("Median Age"),
         key.cast("string").alias("Male Population"),
         (key + 7).cast("string").alias("Female Population"),
         (key * 2 + 7).cast("string").alias("Total Population"),
-        F.when(F.col("c_acctbal") > 0, (key % 100).cast("string")).alias("Number of Veterans"),
-        (key % 50).cast("string").alias("Foreign-born"),
-        (key % 5).cast("string").alias("Average Household Size"),
+        F.when(F.col("c_acctbal") > 0, (key + 1).cast("string")).alias("Number of Veterans"),
+        (key + 3).cast("string").alias("Foreign-born"),
+        F.length("c_mktsegment").cast("string").alias("Average Household Size"),
         F.concat(F.lit("S"), F.col("c_nationkey")).alias("State Code"),
         "Race",
         "Count",

@@ -95,9 +95,9 @@ def write_distributed(
             df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(*sort_by)
         )
     else:
-        spread = df.withColumn("_tie", F.xxhash64(*df.columns))
-        ranged = spread.repartitionByRange(buckets, *sort_by, "_tie")
-        writer = ranged.sortWithinPartitions(*sort_by).drop("_tie").write
+        ties = {"_tie": F.xxhash64(*df.columns), "_copy": F.spark_partition_id()}
+        ranged = df.withColumns(ties).repartitionByRange(buckets, *sort_by, *ties)
+        writer = ranged.sortWithinPartitions(*sort_by).drop(*ties).write
     writer.format("parquet").mode("overwrite").option("path", location).saveAsTable(table)
     return bucketed
 
