@@ -42,6 +42,17 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return counted.unpivot([], names, "column_name", "nulls")
 
 
+def cast_rejects(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Values per column that are present but do not fit the type they are cast to."""
+    counted = df.agg(
+        *[
+            F.count_if(F.col(c).isNotNull() & F.trim(F.col(c)).try_cast(t).isNull()).alias(c)
+            for c, t in types.items()
+        ]
+    )
+    return counted.unpivot([], list(types), "column_name", "rejects")
+
+
 def column_types(df: DataFrame) -> DataFrame:
     """Name and type of every column."""
     return df.sparkSession.createDataFrame(df.dtypes, "column_name string, type string")

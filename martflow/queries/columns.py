@@ -115,10 +115,10 @@ def filter_conjunction(spark, sf_dir):
 
 @query(
     "point_lookup_pair",
-    "SELECT l_partkey, l_quantity FROM lineitem WHERE l_orderkey = 338 AND l_linenumber = 4",
+    "SELECT l_partkey, l_quantity FROM lineitem WHERE l_orderkey = 1 AND l_linenumber = 3",
 )
 def point_lookup_pair(spark, sf_dir):
-    keys = {"l_orderkey": 338, "l_linenumber": 4}
+    keys = {"l_orderkey": 1, "l_linenumber": 3}
     return lookup(table(spark, sf_dir, "lineitem"), keys, ["l_partkey", "l_quantity"])
 
 

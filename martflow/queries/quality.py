@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from martflow.operators.quality import (
+    cast_rejects,
     key_violations,
     nonempty_report,
     not_null_violations,
@@ -57,6 +58,18 @@ def profile_nulls(spark, sf_dir):
     return null_counts(_events_with_nulls(spark, sf_dir))
 
 
+@query(
+    "dq_cast_rejects",
+    """SELECT 'tax' AS column_name, count(*) FILTER (l_returnflag = 'N') AS rejects FROM lineitem
+       UNION ALL SELECT 'shipped', count(*) FILTER (l_linestatus = 'F') FROM lineitem""",
+)
+def dq_cast_rejects(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    tax = F.when(F.col("l_returnflag") == "N", "none").otherwise(F.col("l_tax").cast("string"))
+    shipped = F.when(F.col("l_linestatus") == "F", "soon").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+    return cast_rejects(lines.select(tax.alias("tax"), shipped.alias("shipped")), {"tax": "double", "shipped": "date"})
+
+
 def _summary_sql(column: str) -> str:
     return f"""SELECT '{column}' AS column_name, count(v) AS count, round(avg(v), 6) AS mean,
       round(stddev_samp(v), 6) AS std, min(v) AS min, round(quantile_cont(v, 0.25), 6) AS p25,

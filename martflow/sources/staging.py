@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from martflow.functions.timeparts import from_epoch_ms
 
@@ -30,20 +30,34 @@ def stage_json_paths(
 ) -> DataFrame:
     """JSON lines to columns through an explicit column → JSON path map.
 
-    Columns named in ``epoch_ms`` hold epoch milliseconds and become timestamps.
+    Paths are names joined by dots below the root, as in ``$.user.id``. Columns named in ``epoch_ms`` hold epoch milliseconds and become timestamps.
     """
     millis = set(epoch_ms)
-    lines = spark.read.text(path)
-    return lines.select(
+    steps = {column: path.removeprefix("$.").split(".") for column, path in paths.items()}
+    # The paths make up one nested schema of text, so a line is parsed once.
+    parsed = spark.read.schema(_nested(list(steps.values()))).json(path)
+    return parsed.select(
         *[
             _typed(
-                F.get_json_object("value", paths[f.name]), f.dataType.simpleString(), f.name in millis
+                F.col(".".join(f"`{step}`" for step in steps[f.name])),
+                f.dataType.simpleString(),
+                f.name in millis,
             ).alias(f.name)
             for f in _target(schema)
         ]
     )
 
 
+def _nested(paths: list[list[str]]) -> StructType:
+    """The smallest schema in which every path leads to a text field."""
+    children: dict[str, list[list[str]]] = {}
+    for first, *rest in paths:
+        children.setdefault(first, []).extend([rest] if rest else [])
+    return StructType(
+        [StructField(name, _nested(below) if below else StringType()) for name, below in children.items()]
+    )
+
+
 def stage_json_auto(
     spark: SparkSession,
     path: str | list[str],

@@ -19,6 +19,11 @@ def test_null_counts(spark, rows):
     assert rows(quality.null_counts(df)) == [("a", 1), ("b", 2)]
 
 
+def test_cast_rejects_ignore_nulls(spark, rows):
+    df = spark.createDataFrame([("1", "2000-01-01"), (" 2 ", None), ("x", "2000-13-01"), ("", "")], "n string, d string")
+    assert rows(quality.cast_rejects(df, {"n": "int", "d": "date"})) == [("d", 2), ("n", 2)]
+
+
 def test_column_types(spark, rows):
     assert rows(quality.column_types(spark.range(1).select("id", F.lit("x").alias("s")))) == [("id", "bigint"), ("s", "string")]
 
