@@ -11,7 +11,7 @@ from martflow.functions.timeparts import calendar_parts, sas_date
 from martflow.operators.columns import cast_to_int, change_columns
 from martflow.operators.combine import distinct_values
 from martflow.operators.joins import enrich
-from martflow.schemas import ARRIVAL_COLUMNS, ARRIVAL_DATES, ARRIVAL_INTS
+from martflow.schemas import ARRIVAL_COLUMNS, ARRIVAL_DATES, ARRIVAL_INTS, DATE_PARTS
 
 
 def arrivals(source: DataFrame) -> DataFrame:
@@ -46,4 +46,10 @@ def fact(
 def dates(fact: DataFrame) -> DataFrame:
     """Every date of arrival or departure, with its calendar parts."""
     days = distinct_values(fact, ARRIVAL_DATES, "date")
-    return days.withColumns(calendar_parts(F.col("date")))
+    return days.withColumns(calendar_parts(F.col("date"))).select("date", *DATE_PARTS)
+
+
+def dates_of(source: DataFrame) -> DataFrame:
+    """The date dimension straight from the source, reading its two date columns only."""
+    numbers = cast_to_int(source.select(*ARRIVAL_DATES), ARRIVAL_DATES)
+    return dates(change_columns(numbers, ARRIVAL_DATES, sas_date))

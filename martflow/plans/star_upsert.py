@@ -6,7 +6,9 @@ logs can arrive in any number of pieces.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.keys import dense_ids
@@ -17,6 +19,8 @@ from martflow.operators.joins import Join, equi_join, resolve
 from martflow.operators.upsert import absent_rows, upsert_columns, upsert_do_nothing
 from martflow.plans.star_warehouse import ARTIST_NAMES, PLAY_COLUMNS, SONG_COLUMNS, USER_NAMES
 from martflow.schemas import SONG_PLAY
+from martflow.sinks.tables import replace_table
+from martflow.sinks.writers import load_table
 
 
 def _plays(log: DataFrame) -> DataFrame:
@@ -38,11 +42,15 @@ def users(target: DataFrame, log: DataFrame) -> DataFrame:
     return upsert_columns(target, seen, ["user_id"], ["level"], ["ts"])
 
 
-def times(target: DataFrame, log: DataFrame) -> DataFrame:
-    """New start times only are broken into parts; Monday is day 0."""
+def new_times(target: DataFrame, log: DataFrame) -> DataFrame:
+    """Start times the target lacks, broken into parts; Monday is day 0."""
     moments = present(_plays(log).select(F.col("ts").alias("start_time")), "start_time")
     new = absent_rows(target.select("start_time"), moments, ["start_time"], [])
-    return target.unionByName(new.withColumns(clock_parts(F.col("start_time"), "monday0")))
+    return new.withColumns(clock_parts(F.col("start_time"), "monday0"))
+
+
+def times(target: DataFrame, log: DataFrame) -> DataFrame:
+    return target.unionByName(new_times(target, log))
 
 
 def songplays(
@@ -65,3 +73,30 @@ def songplays(
     ).select(*PLAY_COLUMNS)
     return dense_ids(fact, "songplay_id", PLAY_COLUMNS, start)
 
+
+
+def load(
+    spark: SparkSession, log: DataFrame, catalogue: DataFrame, tables: Mapping[str, str], root: str, delivery: str
+) -> None:
+    """Bring the five catalog tables up to date with one delivery.
+
+    ``tables`` maps the names of ``schemas.STAR`` to catalog tables and
+    ``delivery`` names a directory below ``root`` no earlier delivery used.
+    Songs, artists and times only gain rows, so only new rows are written;
+    users, whose level changes, are rewritten. Each log is to be delivered
+    once, as incremental staging does.
+    """
+    current = {name: spark.table(table) for name, table in tables.items()}
+
+    def append(name: str, rows: DataFrame) -> DataFrame:
+        load_table(rows.select(*current[name].columns), tables[name], truncate=False)
+        spark.catalog.refreshTable(tables[name])
+        return spark.table(tables[name])
+
+    new_songs = absent_rows(current["songs"], catalogue.select(*SONG_COLUMNS), ["song_id"], [])
+    new_artists = absent_rows(current["artists"], select_as(catalogue, ARTIST_NAMES), ["artist_id"], [])
+    all_songs, all_artists = append("songs", new_songs), append("artists", new_artists)
+    append("time", new_times(current["time"], log))
+    replace_table(users(current["users"], log), tables["users"], f"{root}/users-{delivery}")
+    so_far = current["songplays"].agg(F.coalesce(F.max("songplay_id"), F.lit(0))).first()[0]
+    append("songplays", songplays(log, all_songs, all_artists, start=so_far + 1))

@@ -6,7 +6,9 @@ Takes the staged log (``schemas.STAGED_LOG``) and the song catalogue
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.keys import dense_ids, unique_ids
@@ -15,7 +17,9 @@ from martflow.operators.aggregates import distinct_rows, one_row_per_key
 from martflow.operators.columns import select_as
 from martflow.operators.filters import of_kind, present
 from martflow.operators.joins import Join, equi_join
-from martflow.schemas import SONG_PLAY
+from martflow.schemas import SONG_FILE, SONG_PLAY, STAGED_LOG
+from martflow.sinks.writers import load
+from martflow.sources.staging import stage_json_auto, stage_json_paths
 
 USER_NAMES = {
     "userId": "user_id",
@@ -86,3 +90,35 @@ def times(plays: DataFrame, weekday_as: str = "sunday0") -> DataFrame:
     """One row per start time of the fact."""
     moments = present(plays.select("start_time"), "start_time").distinct()
     return moments.withColumns(clock_parts(F.col("start_time"), weekday_as))
+
+
+def run(
+    spark: SparkSession,
+    log_path: str,
+    song_path: str,
+    out: str,
+    json_paths: Mapping[str, str],
+    truncate: bool = True,
+) -> dict[str, DataFrame]:
+    """Stage both JSON trees and load the five tables below ``out``.
+
+    The log is staged through ``json_paths`` (column → path), songs by name.
+    The staged rows are written before they are used, so the files are parsed
+    once; the time dimension is derived from the written fact.
+    """
+    written: dict[str, DataFrame] = {}
+
+    def write(name: str, df: DataFrame, replace: bool = truncate) -> DataFrame:
+        load(df, f"{out}/{name}", replace)
+        written[name] = spark.read.parquet(f"{out}/{name}")
+        return written[name]
+
+    staged_log = stage_json_paths(spark, log_path, STAGED_LOG, json_paths, epoch_ms=["ts"])
+    log = write("staging_events", staged_log, True)
+    catalogue = write("staging_songs", stage_json_auto(spark, song_path, SONG_FILE), True)
+    plays = write("songplays", songplays(log, catalogue, ids="dense"))
+    write("users", users(log))
+    write("songs", songs(catalogue))
+    write("artists", artists(catalogue))
+    write("time", times(plays))
+    return written

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martflow.functions.keys import dense_ids, md5_key
+from martflow.functions.keys import dense_ids, md5_key, unique_ids
 from martflow.operators.aggregates import one_row_per_key
 from martflow.operators.upsert import (
     reduce_updates,
@@ -36,6 +36,19 @@ def surrogate_key_dense(spark, sf_dir):
     return dense_ids(orders, "order_id", ["o_orderdate", "o_orderkey"])
 
 
+@query(
+    "surrogate_key_unique",
+    """SELECT count(*) AS n, count(*) AS distinct_ids, count(DISTINCT l_orderkey) AS orders FROM lineitem""",
+)
+def surrogate_key_unique(spark, sf_dir):
+    numbered = unique_ids(table(spark, sf_dir, "lineitem").select("l_orderkey"), "line_id")
+    return numbered.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("line_id").alias("distinct_ids"),
+        F.countDistinct("l_orderkey").alias("orders"),
+    )
+
+
 @query(
     "hash_key_md5",
     "SELECT event_id, md5(CAST(user_id AS VARCHAR) || CAST(ts AS VARCHAR)) AS event_key FROM events",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from martflow.operators.quality import nonempty_report
@@ -10,6 +12,7 @@ from martflow.plans import (
     climate,
     demographics,
     immigration,
+    immigration_mart,
     load_run,
     query_first,
     star_lake,
@@ -28,8 +31,9 @@ from martflow.queries.standins import (
     SONGS_SQL,
     STAGED_LOG_SQL,
 )
-from martflow.schemas import EVENT_CSV, STAR
+from martflow.schemas import EVENT_CSV, STAGED_LOG, STAR
 from martflow.session import scratch_path
+from martflow.sinks.tables import create_namespace, reset_tables, schema_of
 from martflow.sinks.writers import write_csv, write_parquet
 from martflow.sources.readers import read_csv, read_partitioned
 
@@ -104,6 +108,27 @@ def star_upsert_fact(spark, sf_dir):
     return star_upsert.songplays(standins.staged_log(spark, sf_dir), songs, artists)
 
 
+@query(
+    "star_upsert_load",
+    f"""WITH {LOG_SQL}, {SONGS_SQL}
+    SELECT 'songplays' AS table_name, count(*) AS row_count, true AS passed FROM log WHERE page = 'NextSong'
+    UNION ALL SELECT 'time', count(DISTINCT ts), true FROM log WHERE page = 'NextSong'
+    UNION ALL SELECT 'users', count(DISTINCT userId), true FROM log WHERE page = 'NextSong'
+    UNION ALL SELECT 'songs', count(DISTINCT song_id), true FROM songs
+    UNION ALL SELECT 'artists', count(DISTINCT artist_id), true FROM songs""",
+)
+def star_upsert_load(spark, sf_dir):
+    """Catalog tables brought up to date by two deliveries of the log."""
+    root = scratch_path(spark, "upserts")
+    suffix = uuid.uuid4().hex
+    tables = {name: f"{name}_{suffix}" for name in STAR}
+    reset_tables(spark, {tables[name]: ddl for name, ddl in STAR.items()}, root)
+    catalogue = standins.songs(spark, sf_dir)
+    for i, delivery in enumerate(_halves(standins.staged_log(spark, sf_dir))):
+        star_upsert.load(spark, delivery, catalogue, tables, root, f"delivery-{i}")
+    return nonempty_report({name: spark.table(table) for name, table in tables.items()})
+
+
 @query(
     "star_upsert_artists",
     f"""WITH {SONGS_SQL}
@@ -169,6 +194,23 @@ def star_dw_time(spark, sf_dir):
     return star_warehouse.times(plays)
 
 
+@query(
+    "star_dw_staged",
+    f"""WITH {STAGED_LOG_SQL}, {SONGS_SQL}, {DW_FACT_SQL}
+    SELECT song_id, user_id, level, start_time, CAST(dayofweek(start_time) AS INTEGER) AS weekday, location
+    FROM plays""",
+)
+def star_dw_staged(spark, sf_dir):
+    """From JSON files through staging to the five tables; the fact beside its time."""
+    root = scratch_path(spark, "warehouse")
+    standins.songs(spark, sf_dir).write.json(f"{root}/song/A/B/C")
+    standins.log(spark, sf_dir).write.json(f"{root}/log/2018/11")
+    paths = {name: f"$.{name}" for name in schema_of(STAGED_LOG).names}
+    star = star_warehouse.run(spark, f"{root}/log/*/*", f"{root}/song/*/*/*", f"{root}/out", paths)
+    joined = star["songplays"].join(star["time"], "start_time")
+    return joined.select("song_id", "user_id", "level", "start_time", "weekday", "location")
+
+
 # Partitioned lake
 
 
@@ -403,6 +445,40 @@ def imm_dates(spark, sf_dir):
     return dates.withColumn("date", F.col("date").cast("string"))
 
 
+@query(
+    "imm_mart_report",
+    f"""WITH {ENRICHED_SQL}, {CLIMATE_SQL.replace("cities AS", "places AS").replace("FROM cities", "FROM places")},
+    {AIRPORTS_SQL.replace("airports AS", "airport_file AS")},
+    days AS (SELECT arrdate AS date FROM fact UNION SELECT depdate FROM fact)
+    SELECT 'i94' AS table_name, count(*) AS row_count, true AS passed FROM fact
+    UNION ALL SELECT 'date', count(date), true FROM days
+    UNION ALL SELECT 'us_states_temperature', count(*), true FROM (SELECT DISTINCT state FROM kept
+      LEFT JOIN city_state ON kept.City = city_state.city WHERE Country = 'Home')
+    UNION ALL SELECT 'world_temperature', count(DISTINCT Country), true FROM kept
+    UNION ALL SELECT 'airport', count(*), true FROM airport_file WHERE iata_code IS NOT NULL AND iso_country = 'US'
+    UNION ALL SELECT 'demographic', count(DISTINCT c_nationkey), true FROM customer
+      WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
+)
+def imm_mart_report(spark, sf_dir):
+    """Files of every source to CSV tables to typed, checked tables."""
+    root = scratch_path(spark, "immigration")
+    paths = {name: f"{root}/in/{name}" for name in immigration_mart.INPUT_NAMES}
+    standins.arrivals(spark, sf_dir).write.parquet(paths["arrivals"])
+    codes = standins.arrival_lookups(spark, sf_dir)
+    for lookup in ("airport", "country", "mode", "visa"):
+        plural = {"country": "countries"}.get(lookup, f"{lookup}s")
+        codes[plural].write.csv(paths[f"{lookup}_codes"], header=True)
+    climate_sources = standins.climate(spark, sf_dir)
+    write_csv(climate_sources["readings"], paths["temperatures"])
+    write_csv(climate_sources["cities"], paths["cities"])
+    write_csv(standins.airport_source(spark, sf_dir), paths["airports"])
+    write_csv(standins.demographics(spark, sf_dir), paths["demographics"], sep=";")
+    database = f"immigration_{uuid.uuid4().hex}"
+    create_namespace(spark, database, f"{root}/db")
+    immigration_mart.build(spark, immigration_mart.Inputs(**paths), f"{root}/out", country="Home")
+    return immigration_mart.publish(spark, f"{root}/out", database, f"{root}/tables")
+
+
 # Climate, airports, demographics
 
 

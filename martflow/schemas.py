@@ -81,6 +81,8 @@ ARRIVAL_INTS = (
 )
 ARRIVAL_DATES = ("arrdate", "depdate")
 
+DATE_PARTS = ("day", "month", "year", "week", "weekday", "yearday")
+
 AIRPORT_COLUMNS = ("name", "iso_country", "iso_region", "municipality", "iata_code")
 
 # City demographics: one line per city and race.
@@ -103,3 +105,24 @@ STATE_SUMS = {
     "Number of Veterans": "number_of_veterans",
     "Foreign-born": "foreignborn",
 }
+
+# Immigration mart, in the column order of its files.
+IMMIGRATION_MART = {
+    "i94": (
+        "cicid int, i94yr int, i94mon int, i94cit int, i94res int, i94port string, arrdate date, "
+        "i94mode int, depdate date, i94visa int, gender string, airline string, "
+        "airport_name string, state_code string, born_country string, residence_country string, "
+        "mode string, visa string"
+    ),
+    "date": "date date, day int, month int, year int, week int, weekday int, yearday int",
+    "us_states_temperature": "state string, average_temperature double",
+    "world_temperature": "country string, average_temperature double",
+    "airport": "name string, iso_country string, municipality string, iata_code string, state string",
+    "demographic": (
+        "state string, state_code string, median_age double, male_population double, "
+        "female_population double, total_population double, number_of_veterans double, "
+        "foreignborn double, average_household_size double, "
+        "american_indian_and_alaska_native double, asian double, black_or_africanamerican double, "
+        "hispanic_latino double, white double"
+    ),
+}

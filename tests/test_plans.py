@@ -15,6 +15,7 @@ from martflow.plans import (
     climate,
     demographics,
     immigration,
+    immigration_mart,
     load_run,
     query_first,
     star_lake,
@@ -22,8 +23,8 @@ from martflow.plans import (
     star_upsert,
     star_warehouse,
 )
-from martflow.schemas import CITY_COLUMNS, EVENT_CSV, LOG_FILE, SONG_FILE, STAR
-from martflow.sinks.tables import schema_of
+from martflow.schemas import ARRIVAL_COLUMNS, CITY_COLUMNS, EVENT_CSV, LOG_FILE, SONG_FILE, STAR
+from martflow.sinks.tables import create_namespace, reset_tables, schema_of
 
 T0 = 1541106000250
 
@@ -262,3 +263,89 @@ def test_demographics(spark):
     assert (row["median_age"], row["average_household_size"]) == (35.0, 3.0)
     assert (row["male_population"], row["total_population"], row["number_of_veterans"]) == (11.0, 25.0, 4.0)
     assert (row["white"], row["asian"], row["hispanic_latino"]) == (23.0, 2.0, None)
+
+
+def test_upsert_load_by_deliveries(spark, staged, songs, tmp_path, rows):
+    suffix = uuid.uuid4().hex
+    tables = {name: f"{name}_{suffix}" for name in STAR}
+    reset_tables(spark, {tables[name]: ddl for name, ddl in STAR.items()}, str(tmp_path))
+    first = staged.where("itemInSession = 0")
+    star_upsert.load(spark, first, songs.where("song_id != 'S3'"), tables, str(tmp_path), "one")
+    assert rows(spark.table(tables["users"]).select("user_id", "level")) == [("8", "free"), ("9", "free")]
+    star_upsert.load(spark, staged.where("itemInSession = 1"), songs, tables, str(tmp_path), "two")
+    assert rows(spark.table(tables["users"]).select("user_id", "level")) == [("8", "paid"), ("9", "free")]
+    assert rows(spark.table(tables["songplays"]).select("songplay_id")) == [(1,), (2,), (3,)]
+    assert [spark.table(tables[t]).count() for t in ("songs", "artists", "time")] == [3, 2, 3]
+
+
+def test_warehouse_run_from_files(spark, log, songs, tmp_path, rows):
+    songs.write.json(str(tmp_path / "song"))
+    log.write.json(str(tmp_path / "log"))
+    paths = {name: f"$.{name}" for name in schema_of(LOG_FILE).names}
+    args = (spark, str(tmp_path / "log"), str(tmp_path / "song"), str(tmp_path / "out"), paths)
+    star = star_warehouse.run(*args)
+    assert {n: d.count() for n, d in star.items()} == {
+        "staging_events": 4, "staging_songs": 4, "songplays": 2, "users": 3, "songs": 3, "artists": 2, "time": 2,
+    }
+    assert rows(star["songplays"].select("songplay_id", "song_id")) == [(0, "S1"), (1, "S2")]
+    assert rows(star["staging_events"].select("ts")) == rows(log.select(from_epoch_ms(F.col("ts"))))
+    appended = star_warehouse.run(*args, truncate=False)
+    assert appended["songs"].count() == 6 and appended["staging_events"].count() == 4
+
+
+def _immigration_files(spark, root, arrivals):
+    def put(name, *lines):
+        path = root / name
+        path.write_text("\n".join(lines) + "\n")
+        return str(path)
+
+    schema = ", ".join(f"{c} {'string' if c in ('i94port', 'gender', 'airline') else 'double'}" for c in ARRIVAL_COLUMNS)
+    spark.createDataFrame(arrivals, schema).write.orc(str(root / "arrivals"))
+    return immigration_mart.Inputs(
+        arrivals=str(root / "arrivals"),
+        arrivals_format="orc",
+        airport_codes=put("a.csv", "airport_code,airport_name,state_code", "ZZA,PORT, NORTH, ZZ "),
+        country_codes=put("c.csv", "country_code,country", "5,ATLANTIS, by sea", "0=UNUSABLE: NOWHERE"),
+        mode_codes=put("m.csv", "mode_code,mode", "1,Air"),
+        visa_codes=put("v.csv", "visa_code,visa", "2,Pleasure"),
+        temperatures=put("t.csv", "dt,AverageTemperature,City,Country", "2001-01-01,3.5,Mesa,United States"),
+        cities=put("w.csv", "country,city,admin_name", "United States,Mesa,Arizona"),
+        airports=put(
+            "p.csv", "name,iso_country,iso_region,municipality,iata_code", '"A, B",US,US-AZ,"Mesa, East",AZA'
+        ),
+        demographics=put(
+            "d.csv", ";".join([*CITY_COLUMNS, "Race", "Count"]), "Mesa;Arizona;30;1;2;3;4;5;2.5;AZ;White;3"
+        ),
+    )
+
+
+def test_immigration_mart(spark, tmp_path, rows):
+    row = (1.0, 2016.0, 1.0, 5.0, 9.0, "ZZA", 20454.0, 1.0, 20456.0, 2.0, "F", "AA")
+    inputs = _immigration_files(spark, tmp_path, [row, row])
+    database = f"mart_{uuid.uuid4().hex}"
+    create_namespace(spark, database, str(tmp_path / "db"))
+    immigration_mart.build(spark, inputs, str(tmp_path / "out"))
+    report = immigration_mart.publish(spark, str(tmp_path / "out"), database, str(tmp_path / "tables"))
+    assert rows(report) == [
+        ("airport", 1, True), ("date", 2, True), ("demographic", 1, True), ("i94", 1, True),
+        ("us_states_temperature", 1, True), ("world_temperature", 1, True),
+    ]
+    fact = spark.table(f"{database}.i94").first()
+    assert (fact.airport_name, fact.state_code, fact.born_country, fact.residence_country) == (
+        "PORT, NORTH", "ZZ", "ATLANTIS, by sea", None,
+    )
+    assert (fact.arrdate, fact.depdate, fact.mode, fact.visa) == (date(2016, 1, 1), date(2016, 1, 3), "Air", "Pleasure")
+    assert rows(spark.table(f"{database}.airport")) == [("A  B", "US", "Mesa  East", "AZA", "AZ")]
+    assert rows(spark.table(f"{database}.date").select("date", "day", "weekday", "yearday")) == [
+        (date(2016, 1, 1), 1, 6, 1), (date(2016, 1, 3), 3, 1, 3),
+    ]
+    assert spark.table(f"{database}.demographic").first().white == 3.0
+
+
+def test_immigration_mart_without_arrivals_fails(spark, tmp_path):
+    inputs = _immigration_files(spark, tmp_path, [])
+    database = f"mart_{uuid.uuid4().hex}"
+    create_namespace(spark, database, str(tmp_path / "db"))
+    immigration_mart.build(spark, inputs, str(tmp_path / "out"))
+    with pytest.raises(QualityError, match="date, i94"):
+        immigration_mart.publish(spark, str(tmp_path / "out"), database, str(tmp_path / "tables"))
