@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow.functions.text import exact_number
+from martflow.operators.aggregates import first_row
 from martflow.operators.filters import all_of
+from martflow.session import materialize
 
 # (left, right, on, how) -> joined
 Join = Callable[[DataFrame, DataFrame, Mapping[str, str], str], DataFrame]
@@ -116,15 +118,19 @@ def resolve(
     """Add the ids of the one matching catalogue row, or nulls.
 
     The catalogue is first reduced to one row per key, the smallest ids
-    winning, so the fact keeps exactly its rows.
+    winning, so the fact keeps exactly its rows. The reduced catalogue is
+    written before it is joined: its true size then decides whether it is
+    broadcast, and if not, AQE can split a hot key of the fact, which it
+    cannot while the other side comes straight from an aggregate on that key.
     """
     text_keys = list(on.values())
     numeric = exact_number(F.col(number[1]), scale)
-    unique = (
+    reduced = (
         catalogue.groupBy(*text_keys, numeric.alias(number[1]))
         .agg(F.min(F.struct(*ids)).alias("_ids"))
         .select(*text_keys, number[1], "_ids.*")
     )
+    unique = materialize(reduced, "catalogue")
     return left_join_numeric(fact, unique, on, number, scale, join)
 
 
@@ -162,14 +168,24 @@ def mean_by_attribute(
     attribute_key: str,
     attribute: str,
     name: str,
+    first: Sequence[str] = (),
+    order_by: Sequence[str] = (),
+    how: str = "left",
 ) -> DataFrame:
     """Mean of a measure per attribute of its key, e.g. per state of its city.
 
     Measures are summed per key before the join, so only one row per key is
     shuffled to it. Keys without an entry form the group whose attribute is
-    null.
+    null, or are left out by an inner join. ``first`` adds columns of the
+    group's first measure in a stated order.
     """
-    per_key = measures.groupBy(key).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
-    joined = equi_join(per_key, attributes.select(attribute_key, attribute), {key: attribute_key}, "left")
+    aggregates = [F.sum(value).alias("_s"), F.count(value).alias("_n")]
+    if first:
+        aggregates.append(first_row(first, order_by).alias("_row"))
+    per_key = measures.groupBy(key).agg(*aggregates)
+    joined = equi_join(per_key, attributes.select(attribute_key, attribute), {key: attribute_key}, how)
     total, n = F.sum("_s"), F.sum("_n")
-    return joined.groupBy(attribute).agg(F.when(n > 0, total / n).alias(name))
+    means = [F.when(n > 0, total / n).alias(name)]
+    if first:
+        means.append(F.min("_row").alias("_row"))
+    return joined.groupBy(attribute).agg(*means).select(attribute, name, *[f"_row.{c}" for c in first])

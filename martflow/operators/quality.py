@@ -28,11 +28,17 @@ def nonempty_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     return stack_frames(*counts)
 
 
-def enforce(report: DataFrame) -> None:
-    """Raise if any line of a report (one per table or rule) did not pass."""
-    failed = [r["table_name"] for r in report.where(~F.col("passed")).select("table_name").collect()]
+def enforce(report: DataFrame) -> DataFrame:
+    """Raise if any line of a report (one per table or rule) did not pass.
+
+    Returns the report with its lines settled, so that looking at it does not
+    run the checks again.
+    """
+    lines = report.collect()
+    failed = sorted({line["table_name"] for line in lines if not line["passed"]})
     if failed:
-        raise QualityError(f"data quality check failed: {', '.join(sorted(failed))}")
+        raise QualityError(f"data quality check failed: {', '.join(failed)}")
+    return report.sparkSession.createDataFrame(lines, report.schema)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -38,11 +38,20 @@ def by_state(temperatures: DataFrame, cities: DataFrame, country: str = HOME_COU
     )
 
 
-def by_country(temperatures: DataFrame) -> DataFrame:
-    mean = group_mean(readings(temperatures), ["Country"], "AverageTemperature", "average_temperature")
+def by_country(temperatures: DataFrame, since: str | None = SINCE) -> DataFrame:
+    mean = group_mean(readings(temperatures, since), ["Country"], "AverageTemperature", "average_temperature")
     return mean.withColumnRenamed("Country", "country")
 
 
+def by_country_position(temperatures: DataFrame, since: str | None = None) -> DataFrame:
+    """Mean per country over all its readings, with the position of the first."""
+    means = mean_and_first(
+        readings(temperatures, since), ["Country"], "AverageTemperature", "average_temperature",
+        ["Latitude", "Longitude"], ["date", "City"],
+    )
+    return means.withColumnRenamed("Country", "country")
+
+
 def by_state_code(
     temperatures: DataFrame, cities: DataFrame, abbreviations: DataFrame, country: str = HOME_COUNTRY
 ) -> DataFrame:
@@ -52,10 +61,10 @@ def by_state_code(
     position is that of the state's first reading by date and city.
     """
     home = of_kind(readings(temperatures), "Country", country)
-    placed = equi_join(home, city_states(cities, country), {"City": "city"})
-    per_state = mean_and_first(
-        placed, ["state"], "AverageTemperature", "average_temperature",
-        ["Latitude", "Longitude"], ["date", "City"],
+    value = F.col("AverageTemperature").try_cast("double")
+    per_state = mean_by_attribute(
+        home, "City", value, city_states(cities, country), "city", "state", "average_temperature",
+        first=["Latitude", "Longitude"], order_by=["date", "City"], how="inner",
     )
     coded = equi_join(per_state, abbreviations, {"state": "State"})
     return coded.select(F.col("Code").alias("state"), "average_temperature", "Latitude", "Longitude")

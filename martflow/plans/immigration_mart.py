@@ -89,6 +89,4 @@ def publish(spark: SparkSession, out: str, database: str, root: str) -> DataFram
         staged = stage_csv(spark, f"{out}/{name}", ddl, sep=SEPARATORS.get(name, ","))
         load_table(staged, table, truncate=True)
         published[name] = spark.table(table)
-    report = nonempty_report(published)
-    enforce(report)
-    return report
+    return enforce(nonempty_report(published))

@@ -38,6 +38,4 @@ def run_load(
         write(name, source, replace=True)
     for name, build in {**fact, **dimensions}.items():
         write(name, build(written), truncate)
-    report = nonempty_report({name: written[name] for name in {**fact, **dimensions}})
-    enforce(report)
-    return report
+    return enforce(nonempty_report({name: written[name] for name in {**fact, **dimensions}}))

@@ -83,8 +83,9 @@ def load(
     ``tables`` maps the names of ``schemas.STAR`` to catalog tables and
     ``delivery`` names a directory below ``root`` no earlier delivery used.
     Songs, artists and times only gain rows, so only new rows are written;
-    users, whose level changes, are rewritten. Each log is to be delivered
-    once, as incremental staging does.
+    users, whose level changes, are rewritten. The delivery is read for each
+    table, so it should be a staged one, and each log is to be delivered once,
+    as incremental staging does.
     """
     current = {name: spark.table(table) for name, table in tables.items()}
 

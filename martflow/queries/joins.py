@@ -28,6 +28,7 @@ from martflow.queries.standins import (
     log,
     songs,
 )
+from martflow.session import materialize
 
 CATALOGUE_SQL = """
 catalogue AS (
@@ -60,7 +61,7 @@ def _catalogue(spark, sf_dir):
         F.col("p_name").alias("title"), F.col("p_brand").alias("artist"),
         F.col("p_partkey").alias("song_id"), F.col("p_retailprice").alias("duration"),
     )
-    return one_row_per_key(named, ["title", "artist"], ["song_id"], latest=False)
+    return materialize(one_row_per_key(named, ["title", "artist"], ["song_id"], latest=False), "catalogue")
 
 
 ON = {"song": "title", "singer": "artist"}

@@ -31,8 +31,8 @@ from martflow.queries.standins import (
     SONGS_SQL,
     STAGED_LOG_SQL,
 )
-from martflow.schemas import EVENT_CSV, STAGED_LOG, STAR
-from martflow.session import scratch_path
+from martflow.schemas import EVENT_CSV, RACES, STAGED_LOG, STAR
+from martflow.session import materialize, scratch_path
 from martflow.sinks.tables import create_namespace, reset_tables, schema_of
 from martflow.sinks.writers import write_csv, write_parquet
 from martflow.sources.readers import read_csv, read_partitioned
@@ -124,7 +124,8 @@ def star_upsert_load(spark, sf_dir):
     tables = {name: f"{name}_{suffix}" for name in STAR}
     reset_tables(spark, {tables[name]: ddl for name, ddl in STAR.items()}, root)
     catalogue = standins.songs(spark, sf_dir)
-    for i, delivery in enumerate(_halves(standins.staged_log(spark, sf_dir))):
+    log = materialize(standins.staged_log(spark, sf_dir), "staged-log")
+    for i, delivery in enumerate(_halves(log)):
         star_upsert.load(spark, delivery, catalogue, tables, root, f"delivery-{i}")
     return nonempty_report({name: spark.table(table) for name, table in tables.items()})
 
@@ -521,6 +522,20 @@ def temp_by_state_code(spark, sf_dir):
     return means.withColumn("average_temperature", F.round("average_temperature", 4))
 
 
+@query(
+    "temp_by_country_position",
+    f"""WITH {CLIMATE_SQL},
+    valued AS (SELECT *, CAST(AverageTemperature AS DOUBLE) AS v, (dt, City, Latitude, Longitude) AS o
+               FROM readings WHERE AverageTemperature IS NOT NULL)
+    SELECT Country AS country, round(avg(v), 4) AS average_temperature, arg_min(Latitude, o) AS "Latitude",
+           arg_min(Longitude, o) AS "Longitude"
+    FROM valued GROUP BY Country""",
+)
+def temp_by_country_position(spark, sf_dir):
+    means = climate.by_country_position(standins.climate(spark, sf_dir)["readings"])
+    return means.withColumn("average_temperature", F.round("average_temperature", 4))
+
+
 @query(
     "airport_dim",
     f"""WITH {AIRPORTS_SQL}
@@ -542,26 +557,17 @@ def _race_sql(race: str, name: str, total: bool) -> str:
     return f"""min(CAST("Count" AS DOUBLE)) FILTER ("Race" = '{race}') AS {name}"""
 
 
-RACE_NAMES = {
-    "American Indian and Alaska Native": "american_indian_and_alaska_native",
-    "Asian": "asian",
-    "Black or African-American": "black_or_africanamerican",
-    "Hispanic or Latino": "hispanic_latino",
-    "White": "white",
-}
-
-
 @query(
     "demographics_by_state",
     f"""WITH {DEMOGRAPHICS_SQL},
-    city AS (SELECT * EXCLUDE ("Race", "Count"), {", ".join(_race_sql(r, n, False) for r, n in RACE_NAMES.items())}
+    city AS (SELECT * EXCLUDE ("Race", "Count"), {", ".join(_race_sql(r, n, False) for r, n in RACES.items())}
              FROM lines GROUP BY ALL)
     SELECT "State" AS state, "State Code" AS state_code, round(avg("Median Age"::DOUBLE), 6) AS median_age,
            sum("Male Population"::DOUBLE) AS male_population, sum("Female Population"::DOUBLE) AS female_population,
            sum("Total Population"::DOUBLE) AS total_population, sum("Number of Veterans"::DOUBLE) AS number_of_veterans,
            sum("Foreign-born"::DOUBLE) AS foreignborn,
            round(avg("Average Household Size"::DOUBLE), 6) AS average_household_size,
-           {", ".join(_race_sql(r, n, True) for r, n in RACE_NAMES.items())}
+           {", ".join(_race_sql(r, n, True) for r, n in RACES.items())}
     FROM city GROUP BY ALL""",
 )
 def demographics_by_state(spark, sf_dir):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from martflow.functions.timeparts import from_epoch_ms, to_epoch_ms
 from martflow.queries.registry import table
+from martflow.schemas import RACES
 
 SONGS_SQL = """
 songs AS (
@@ -232,8 +233,7 @@ def climate(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 DEMOGRAPHICS_SQL = """
 races AS (
-  SELECT * FROM (VALUES ('1', 'American Indian and Alaska Native'), ('2', 'Asian'),
-    ('3', 'Black or African-American'), ('4', 'Hispanic or Latino'), ('5', 'White')) AS r(digit, race)
+  SELECT * FROM (VALUES """ + ", ".join(f"('{i}', '{r}')" for i, r in enumerate(RACES, 1)) + """) AS r(digit, race)
 ),
 lines AS (
   SELECT c_name AS "City", 'State ' || c_nationkey AS "State",
@@ -257,8 +257,7 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City and race lines: customers are cities, order priorities races."""
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     digit = F.substring("o_orderpriority", 1, 1)
-    names = ["American Indian and Alaska Native", "Asian", "Black or African-American", "Hispanic or Latino", "White"]
-    race = F.get(F.array(*[F.lit(n) for n in names]), digit.cast("int") - 1)
+    race = F.get(F.array(*[F.lit(r) for r in RACES]), digit.cast("int") - 1)
     # Orders are counted per customer before the join.
     counts = orders.groupBy("o_custkey", race.alias("Race")).agg(F.count(F.lit(1)).cast("string").alias("Count"))
     key = F.col("c_custkey")

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
+from martflow.operators.joins import replicate
 from martflow.session import materialize
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
@@ -65,7 +66,7 @@ def merge_partitions(
     staged in the shared folder before anything is overwritten.
     """
     names = list(partition_by)
-    touched = incoming.select(*names).distinct()
+    touched = replicate(materialize(incoming.select(*names).distinct(), "touched-partitions"))
     current = target.join(touched, names, "left_semi")
     merged = materialize(merge(current, incoming), "merged-partitions")
     (

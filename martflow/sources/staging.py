@@ -69,25 +69,23 @@ def stage_json_auto(
     Keys the schema does not name are ignored; columns no key fits are null.
     """
     millis = {name.lower() for name in epoch_ms}
-    target = _target(schema)
-    wanted = {f.name.lower() for f in target}
-    # One pass: each line becomes a map keyed by lower-cased name. Where a line
-    # holds a key in two spellings the first one counts.
+    # One parse per line, into its keys in lower case and their values. Where a
+    # line holds a key in two spellings the first one counts.
     pairs = F.from_json("value", "map<string,string>")
-    entries = F.filter(F.map_entries(pairs), lambda e: F.lower(e["key"]).isin(*wanted))
-    fields = spark.read.text(path).select(
-        F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"])).alias("kv")
+    lines = spark.read.text(path).select(pairs.alias("pairs"))
+    fields = lines.select(
+        F.transform(F.map_keys("pairs"), F.lower).alias("names"), F.map_values("pairs").alias("texts")
     )
 
     def value_of(name: str) -> Column:
-        return F.get(F.filter("kv", lambda e: e["key"] == name), F.lit(0))["value"]
+        return F.get("texts", (F.array_position("names", name) - 1).cast("int"))
 
     return fields.select(
         *[
             _typed(
                 value_of(f.name.lower()), f.dataType.simpleString(), f.name.lower() in millis
             ).alias(f.name)
-            for f in target
+            for f in _target(schema)
         ]
     )
 

@@ -94,6 +94,37 @@ def test_resolve_keeps_every_play_once(spark, rows):
     ]
 
 
+def test_hot_key_is_split_against_a_reduced_catalogue(spark, tmp_path):
+    """A third of the plays name one song; no task may join them all."""
+    hot = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    saved = {k: spark.conf.get(k, None) for k in hot}
+    for k, v in hot.items():
+        spark.conf.set(k, v)
+    try:
+        n = 300_000
+        plays = spark.range(0, n, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, "hit").otherwise(F.concat(F.lit("s"), F.col("id") % 5000)).alias("song"),
+            F.lit(1.0).alias("length"),
+            F.uuid().alias("agent"),
+        )
+        songs = plays.select(F.col("song").alias("title"), F.lit(1.0).alias("d"), F.lit("i").alias("id")).distinct()
+        got = joins.resolve(plays, songs, {"song": "title"}, ("length", "d"), ["id"])
+        got.write.parquet(str(tmp_path / "out"))
+        files = [spark.read.parquet(p) for p in set(spark.read.parquet(str(tmp_path / "out")).inputFiles())]
+        sizes = [f.where("song = 'hit'").count() for f in files]
+        assert sum(sizes) == n / 3
+        assert max(sizes) < n / 6
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def test_roles_share_one_lookup(spark, rows):
     fact = spark.createDataFrame([(1, 10, 20), (2, 20, 99)], "id int, born int, lives int")
     countries = spark.createDataFrame([(10, "A"), (20, "B")], "code int, country string")

@@ -235,6 +235,9 @@ def test_climate(spark, rows):
     codes = spark.createDataFrame([("Arizona", "AZ"), ("Texas", "TX")], "State string, Code string")
     assert rows(climate.by_state(readings, cities)) == [(None, 5.0), ("Arizona", 15.0)]
     assert rows(climate.by_country(readings)) == [("France", 7.0), ("United States", 35 / 3)]
+    # Without the date filter the undated reading counts too, and comes first.
+    assert rows(climate.by_country_position(readings.where("Country = 'France'"))) == [("France", 7.0, "5N", "5W")]
+    assert rows(climate.by_country_position(readings).select("average_temperature")) == [(7.0,), (33.5,)]
     assert rows(climate.by_state_code(readings, cities, codes)) == [("AZ", 15.0, "2N", "2W")]
 
 
