@@ -6,12 +6,16 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from martflow.operators.upsert import upsert_columns
+from martflow.operators.upsert import upsert_columns, upsert_do_nothing
 from martflow.queries.keyed import MIDDLE
 from martflow.queries.registry import query, table
 from martflow.session import scratch_path
 from martflow.sinks.tables import create_table
-from martflow.streaming.incremental import stage_incrementally, upsert_incrementally
+from martflow.streaming.incremental import (
+    merge_partitions_incrementally,
+    stage_incrementally,
+    upsert_incrementally,
+)
 
 SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
 
@@ -58,3 +62,32 @@ def incremental_upsert(spark, sf_dir):
                 spark, source, "parquet", SCHEMA, name, f"{root}/versions", f"{root}/progress", merge
             )
     return merged
+
+
+@query(
+    "incremental_partitions",
+    """SELECT user_id, CAST(week(ts) AS INTEGER) AS week, arg_min(event_type, (ts, event_id)) AS event_type,
+              arg_min(value, (ts, event_id)) AS value
+       FROM events GROUP BY ALL""",
+)
+def incremental_partitions(spark, sf_dir):
+    """First event per user and week; the week the deliveries share is merged."""
+    root = scratch_path(spark, "stream")
+    source = f"{root}/source"
+    keys = ["user_id", "week"]
+
+    def prepare(batch):
+        return batch.withColumn("week", F.weekofyear("ts"))
+
+    def merge(target, incoming):
+        return upsert_do_nothing(target, incoming, keys, ["ts", "event_id"])
+
+    merged = None
+    for delivery in _deliveries(spark, sf_dir):
+        delivery.write.mode("append").parquet(source)
+        for _ in range(2):
+            merged = merge_partitions_incrementally(
+                spark, source, "parquet", SCHEMA, f"{root}/by-week", f"{SCHEMA}, week int", ["week"],
+                f"{root}/progress", prepare, merge,
+            )
+    return merged.drop("event_id", "ts")

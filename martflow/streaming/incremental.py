@@ -6,12 +6,13 @@ only what is new and a repeated run stages nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from martflow.sinks.tables import replace_table
-from martflow.sinks.writers import Merge
+from martflow.sinks.writers import Merge, merge_partitions, write_parquet
+from martflow.sources.readers import read_partitioned
 
 
 def run_available(
@@ -64,7 +65,8 @@ def upsert_incrementally(
 ) -> DataFrame:
     """Merge unseen files into an existing catalog table, batch by batch.
 
-    ``merge(target, incoming)`` is one of the upserts; replaying a batch
+    For tables small enough to be rewritten with every batch, such as
+    dimensions. ``merge(target, incoming)`` is one of the upserts; replaying a batch
     merges the same rows again and changes nothing. Each batch writes a new
     version of the table below ``root`` and switches to it; versions
     alternate between two directories per batch number, so the one being
@@ -83,3 +85,25 @@ def upsert_incrementally(
     spark.catalog.refreshTable(table)
     return spark.table(table)
 
+
+
+def merge_partitions_incrementally(
+    spark: SparkSession, source: str, fmt: str, schema: str, path: str, target_schema: str,
+    partition_by: Sequence[str], progress: str, prepare: Callable[[DataFrame], DataFrame], merge: Merge,
+    files_per_batch: int | None = None, **options,
+) -> DataFrame:
+    """Merge unseen files into a partitioned directory, rewriting only what they touch.
+
+    For tables too large to be rewritten. ``prepare`` gives the incoming rows
+    the target's columns; ``merge`` is one of the upserts, on keys that
+    include or determine the partition columns.
+    """
+    write_parquet(spark.createDataFrame([], target_schema), path, partition_by, mode="append", gather=False)
+
+    def apply(batch: DataFrame, number: int) -> None:
+        target = read_partitioned(batch.sparkSession, path, target_schema)
+        merge_partitions(target, prepare(batch), path, partition_by, merge)
+
+    run_available(spark, source, fmt, schema, progress, apply, files_per_batch, **options)
+    spark.catalog.refreshByPath(path)
+    return read_partitioned(spark, path, target_schema)

@@ -1,8 +1,14 @@
+import os
 import uuid
 
-from martflow.operators.upsert import upsert_columns
+from martflow.operators.upsert import upsert_columns, upsert_rows
 from martflow.sinks.tables import create_table
-from martflow.streaming.incremental import run_available, stage_incrementally, upsert_incrementally
+from martflow.streaming.incremental import (
+    merge_partitions_incrementally,
+    run_available,
+    stage_incrementally,
+    upsert_incrementally,
+)
 
 SCHEMA = "id int, seq int, level string"
 
@@ -72,3 +78,21 @@ def test_upsert_by_batches(spark, tmp_path, rows):
     deliver(spark, source, [(3, 4, "free")])
     assert rows(run()) == [(1, "paid"), (2, "free"), (3, "free")]
     assert rows(run()) == [(1, "paid"), (2, "free"), (3, "free")]
+
+
+def test_partitions_not_touched_keep_their_files(spark, tmp_path, rows):
+    source, path = str(tmp_path / "in"), tmp_path / "by-level"
+
+    def run():
+        return merge_partitions_incrementally(
+            spark, source, "json", SCHEMA, str(path), SCHEMA, ["level"], str(tmp_path / "progress"),
+            lambda batch: batch, lambda t, n: upsert_rows(t, n, ["id", "level"], ["seq"]), files_per_batch=1,
+        )
+
+    deliver(spark, source, [(1, 1, "free"), (2, 2, "paid")])
+    assert rows(run()) == [(1, 1, "free"), (2, 2, "paid")]
+    before = sorted(os.listdir(path / "level=paid"))
+    deliver(spark, source, [(1, 3, "free"), (5, 4, "new")])
+    for _ in range(2):
+        assert rows(run()) == [(1, 3, "free"), (2, 2, "paid"), (5, 4, "new")]
+    assert sorted(os.listdir(path / "level=paid")) == before
