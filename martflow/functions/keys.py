@@ -26,41 +26,49 @@ def unique_ids(df: DataFrame, name: str) -> DataFrame:
 
 
 def dense_ids(
-    df: DataFrame, name: str, order_by: Sequence[str], start: int = 0, partitions: int | None = None
+    df: DataFrame,
+    name: str,
+    order_by: Sequence[str] = (),
+    start: int = 0,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Ids ``start, start+1, ...`` in the order of ``order_by``, at any size.
 
     One range shuffle sorts the rows; each row then knows its partition and
     its place in it. Only the row count of each partition, one number apiece,
-    is brought together to give every partition its first id. Rows equal in
-    ``order_by`` are told apart by their other columns, and full copies by the
-    input partition they are in, so no run of equals has to fit in one task.
-    Both stay the same when a lost task is run again.
+    is brought together to give every partition its first id. Without
+    ``order_by`` rows are numbered as they lie and nothing is shuffled.
     """
-    order = [*order_by, "_tie", "_copy"]
-    tied = df.withColumns({"_tie": F.xxhash64(*df.columns), "_copy": F.spark_partition_id()})
-    ranged = (
-        tied.repartitionByRange(partitions, *order) if partitions else tied.repartitionByRange(*order)
-    )
-    placed = (
-        ranged.sortWithinPartitions(*order)
-        .drop("_tie", "_copy")
-        .withColumn("_place", F.monotonically_increasing_id())
-        .withColumns(
-            {
-                "_part": F.shiftright("_place", 33),
-                "_row": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)),
-            }
-        )
-        .drop("_place")
+    placed = _ranged(df, order_by, partitions) if order_by else df
+    place = F.monotonically_increasing_id()  # partition number above 33 bits of row number
+    placed = placed.withColumn("_place", place).withColumns(
+        {
+            "_part": F.shiftright("_place", 33),
+            "_row": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)),
+        }
     )
-    # Range bounds come from a sample: written once, so that counts and rows agree.
-    placed = materialize(placed, "dense-ids")
+    # Written once, so that the rows counted are the rows numbered.
+    placed = materialize(placed.drop("_place"), "dense-ids")
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        placed.join(F.broadcast(_offsets(sizes)), "_part")
-        .select((F.col("_before") + F.col("_row") + F.lit(start)).alias(name), *df.columns)
+    return placed.join(F.broadcast(_offsets(sizes)), "_part").select(
+        (F.col("_before") + F.col("_row") + F.lit(start)).alias(name), *df.columns
+    )
+
+
+def _ranged(df: DataFrame, order_by: Sequence[str], partitions: int | None) -> DataFrame:
+    """Rows sorted across partitions, with no run of equals bound to one of them.
+
+    Rows equal in ``order_by`` are told apart by their other columns, and full
+    copies by the input partition they are in. Both stay the same when a lost
+    task is run again.
+    """
+    ties = {"_tie": F.xxhash64(*df.columns), "_copy": F.spark_partition_id()}
+    order = [*order_by, *ties]
+    tied = df.withColumns(ties)
+    ranged = (
+        tied.repartitionByRange(partitions, *order) if partitions else tied.repartitionByRange(*order)
     )
+    return ranged.sortWithinPartitions(*order).drop(*ties)
 
 
 def _offsets(sizes: DataFrame) -> DataFrame:

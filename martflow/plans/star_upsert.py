@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.keys import dense_ids
+from martflow.functions.text import blank_to_null
 from martflow.functions.timeparts import clock_parts
-from martflow.operators.columns import select_as
+from martflow.operators.columns import change_columns, select_as
 from martflow.operators.filters import of_kind, present
 from martflow.operators.joins import Join, equi_join, resolve
 from martflow.operators.upsert import absent_rows, upsert_columns, upsert_do_nothing
@@ -38,7 +39,8 @@ def artists(target: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 def users(target: DataFrame, log: DataFrame) -> DataFrame:
     """A known user keeps every attribute but the level, which is the last seen."""
-    seen = select_as(present(_plays(log), "userId"), {**USER_NAMES, "ts": "ts"})
+    plays = change_columns(_plays(log), ["userId"], blank_to_null)
+    seen = select_as(present(plays, "userId"), {**USER_NAMES, "ts": "ts"})
     return upsert_columns(target, seen, ["user_id"], ["level"], ["ts"])
 
 

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.keys import dense_ids, unique_ids
+from martflow.functions.text import blank_to_null
 from martflow.functions.timeparts import clock_parts
 from martflow.operators.aggregates import distinct_rows, one_row_per_key
-from martflow.operators.columns import select_as
+from martflow.operators.columns import change_columns, select_as
 from martflow.operators.filters import of_kind, present
 from martflow.operators.joins import Join, equi_join
 from martflow.schemas import SONG_FILE, SONG_PLAY, STAGED_LOG
@@ -64,12 +65,12 @@ def songplays(
 
 
 def users(log: DataFrame, policy: str = "distinct") -> DataFrame:
-    """Users seen playing songs.
+    """Users seen playing songs; a blank id is no user.
 
     "distinct" keeps a row per combination of attributes, so a user who
     changed level has two; "latest" keeps the last row of each user.
     """
-    plays = present(of_kind(log, "page", SONG_PLAY), "userId")
+    plays = present(change_columns(of_kind(log, "page", SONG_PLAY), ["userId"], blank_to_null), "userId")
     if policy == "latest":
         named = select_as(plays, {**USER_NAMES, "ts": "ts"})
         return one_row_per_key(named, ["user_id"], ["ts"]).drop("ts")

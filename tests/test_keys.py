@@ -35,6 +35,12 @@ def test_dense_ids_do_not_depend_on_partitioning(spark, rows):
     assert rows(dense_ids(df.repartition(2), "id", ["k"])) == rows(dense_ids(df.repartition(9, "v"), "id", ["k"]))
 
 
+def test_dense_ids_without_an_order_need_no_shuffle(spark):
+    df = spark.range(0, 1000, 1, 7).where("id % 3 != 0")
+    ids = [r["n"] for r in dense_ids(df, "n", start=1).collect()]
+    assert sorted(ids) == list(range(1, 667))
+
+
 def test_dense_ids_of_nothing(spark):
     assert dense_ids(spark.range(0), "n", ["id"]).count() == 0
 

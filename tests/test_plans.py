@@ -77,6 +77,15 @@ def test_warehouse_star(staged, songs, rows):
     assert star_warehouse.times(plays).select("weekday").distinct().first()[0] == 4  # a Thursday
 
 
+def test_a_blank_id_is_no_user(spark):
+    log = spark.createDataFrame([line(user=""), line(user=None), line(user="7")], LOG_FILE)
+    staged = log.withColumn("ts", from_epoch_ms(F.col("ts")))
+    for policy in ("distinct", "latest"):
+        assert [r.user_id for r in star_warehouse.users(staged, policy).collect()] == ["7"]
+    empty = spark.createDataFrame([], STAR["users"])
+    assert [r.user_id for r in star_upsert.users(empty, staged).collect()] == ["7"]
+
+
 def test_upserted_star(spark, staged, songs, rows):
     empty = {name: spark.createDataFrame([], ddl) for name, ddl in STAR.items()}
     all_songs = star_upsert.songs(empty["songs"], songs)
