@@ -35,21 +35,35 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="martflow-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="martflow-"))
+    return context.getCheckpointDir()
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/martflow/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used yet.
 
-    Everything one application writes lies below ``martflow/<application id>``,
-    which can be dropped as a whole once the application has ended.
+    Everything one application writes there lies below
+    ``martflow/<application id>``.
+    """
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder.
+
+    For the end of a job: frames that still read from there become unusable.
     """
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/martflow/{app}/{label}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
