@@ -30,7 +30,8 @@ def stage_json_paths(
 ) -> DataFrame:
     """JSON lines to columns through an explicit column → JSON path map.
 
-    Paths are names joined by dots below the root, as in ``$.user.id``. Columns named in ``epoch_ms`` hold epoch milliseconds and become timestamps.
+    Paths are names joined by dots below the root, as in ``$.user.id``. Columns
+    named in ``epoch_ms`` hold epoch milliseconds and become timestamps.
     """
     millis = set(epoch_ms)
     steps = {column: path.removeprefix("$.").split(".") for column, path in paths.items()}
