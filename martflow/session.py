@@ -61,8 +61,13 @@ def clear_scratch(spark: SparkSession) -> None:
 
     For the end of a job: frames that still read from there become unusable.
     """
+    delete_folder(spark, _own_folder(spark))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is; nothing if it is not there."""
     context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 

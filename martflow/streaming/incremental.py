@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martflow.session import delete_folder
 from martflow.sinks.tables import replace_table
 from martflow.sinks.writers import Merge, merge_partitions, write_parquet
 from martflow.sources.readers import read_partitioned
@@ -66,11 +67,12 @@ def upsert_incrementally(
     """Merge unseen files into an existing catalog table, batch by batch.
 
     For tables small enough to be rewritten with every batch, such as
-    dimensions. ``merge(target, incoming)`` is one of the upserts; replaying a batch
-    merges the same rows again and changes nothing. Each batch writes a new
-    version of the table below ``root`` and switches to it; versions
-    alternate between two directories per batch number, so the one being
-    read is never the one being written.
+    dimensions. ``merge(target, incoming)`` is one of the upserts; replaying a
+    batch merges the same rows again and changes nothing. Each batch writes a
+    new version of the table below ``root`` and switches to it. A batch has two
+    directories to choose from, so the one being read is never the one being
+    written. The version before the current one is kept for readers still at
+    it, older ones are deleted.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
@@ -80,13 +82,14 @@ def upsert_incrementally(
         versions = (f"{root}/batch-{number}-a", f"{root}/batch-{number}-b")
         target = next(v for v in versions if not any(v in path for path in read_from))
         replace_table(merge(current, batch), table, target)
+        for outdated in ("a", "b") if number >= 2 else ():
+            delete_folder(session, f"{root}/batch-{number - 2}-{outdated}")
 
     run_available(spark, source, fmt, schema, progress, apply, files_per_batch, **options)
     spark.catalog.refreshTable(table)
     return spark.table(table)
 
 
-
 def merge_partitions_incrementally(
     spark: SparkSession, source: str, fmt: str, schema: str, path: str, target_schema: str,
     partition_by: Sequence[str], progress: str, prepare: Callable[[DataFrame], DataFrame], merge: Merge,

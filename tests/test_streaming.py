@@ -78,6 +78,8 @@ def test_upsert_by_batches(spark, tmp_path, rows):
     deliver(spark, source, [(3, 4, "free")])
     assert rows(run()) == [(1, "paid"), (2, "free"), (3, "free")]
     assert rows(run()) == [(1, "paid"), (2, "free"), (3, "free")]
+    # The current version and the one before it are left.
+    assert sorted(os.listdir(tmp_path / "versions")) == ["batch-1-a", "batch-2-a"]
 
 
 def test_partitions_not_touched_keep_their_files(spark, tmp_path, rows):
