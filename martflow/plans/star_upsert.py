@@ -76,7 +76,6 @@ def songplays(
     return dense_ids(fact, "songplay_id", PLAY_COLUMNS, start)
 
 
-
 def load(
     spark: SparkSession, log: DataFrame, catalogue: DataFrame, tables: Mapping[str, str], root: str, delivery: str
 ) -> None:
