@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from martflow.session import configure
 
 # A key above this share of all rows is hot. At most 1 / share keys can be,
 # which bounds the broadcast of their lookup rows.
@@ -52,6 +57,31 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def one_in(doc_id: Column, rate: float, seed: int) -> Column:
-    """A fixed pseudo-random choice of ids at the given rate."""
-    return F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1_000_000)) < int(rate * 1_000_000)
+
+
+def map_batches(rows: DataFrame, make: Callable, schema: str) -> DataFrame:
+    """Apply Arrow-batched Python to ``rows``.
+
+    ``make()`` runs once per task and returns a function from a dict of column
+    lists to a dict of column lists, or an iterator of such dicts. If that
+    function has an attribute ``last``, its dict is sent at the task's end.
+    """
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        work = make()
+        for batch in batches:
+            made = work(batch.to_pydict())
+            for columns in [made] if isinstance(made, dict) else made:
+                yield pa.RecordBatch.from_pydict(columns, schema=arrow)
+        if hasattr(work, "last"):
+            yield pa.RecordBatch.from_pydict(work.last(), schema=arrow)
+
+    return rows.mapInArrow(run, schema)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings of the operators: small Arrow batches, as texts may be long."""
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    return spark

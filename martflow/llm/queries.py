@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import exact_dedup, mixing, sharding
-from martflow.session import configure
+from martflow.llm import exact_dedup, language, mixing, pii, sharding, toxicity
+from martflow.llm.common import held_out, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,7 +18,7 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: build(configure(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: build(prepare(spark), sf_dir)
         if sql:
             ORACLE[name] = sql
         return build
@@ -71,3 +71,34 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of equal texts."""
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).withColumnRenamed("digest", "text_sha256")
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    return language.identify(documents(spark, sf_dir))
+
+
+@query("op5_pii")
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, with the words that reveal it."""
+    found = pii.findings(documents(spark, sf_dir))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[pii.count_of(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.written(pii.base_of(F.col("spans"))), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.scored(docs, toxicity.fit(docs, labels)).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
