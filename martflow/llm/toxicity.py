@@ -35,7 +35,7 @@ from martflow.llm.common import WORD, held_out, map_batches
 SAMPLE = 16_000  # expected labelled rows fitted on, half of each class at most
 TERMS = 4096  # mined features kept, strongest first
 MIN_DOCS = 3  # toxic rows a feature must occur in
-MIN_LOG_ODDS = 3.0
+MIN_LOG_ODDS = 4.0
 THRESHOLD = 0.3
 PREFIXES = (4, 5)
 VOTERS_PER_KIND = 6
