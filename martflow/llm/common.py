@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -17,8 +19,8 @@ from martflow.session import configure
 # which bounds the broadcast of their lookup rows.
 HOT_KEYS = 256
 
-# A list of ids up to this many is broadcast to pick rows; a longer one is
-# joined by shuffle. Both give the same rows.
+# A written list of ids, or of a few numbers per id, up to this many rows is
+# broadcast; a longer one is joined by shuffle. Both give the same rows.
 BROADCAST_IDS = 1_000_000
 
 WORD = re.compile(r"\w+")
@@ -43,10 +45,11 @@ def join_per_key(
     return of_hot.unionByName(of_cold)
 
 
-def rows_with_ids(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """The rows of ``docs`` whose ``key`` is in ``ids`` (a distinct, written list)."""
+def by_ids(docs: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Join ``docs`` to ``ids``, a written table, on ``key``: by broadcast while
+    that has at most ``BROADCAST_IDS`` rows, else by shuffle. Rows are the same."""
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, key, "left_semi")
+    return docs.join(F.broadcast(ids) if few else ids, key, how)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -85,3 +88,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     return spark
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, remembered up to a bound."""
+
+    def __missing__(self, word):
+        if len(self) > 500_000:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+    def of(self, words: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import exact_dedup, language, mixing, pii, sharding, toxicity
+from martflow.llm import decontaminate, exact_dedup, html_text, language, mixing, pii, sharding, toxicity
 from martflow.llm.common import held_out, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query("op9_html_text")
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op8_decontaminate")
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item."""
+    found = decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "item_id", "matched", "item_words")
