@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import decontaminate, exact_dedup, html_text, language, mixing, pii, sharding, toxicity
+from martflow.llm import decontaminate, exact_dedup, html_text, language, mixing, ngram_join, pii, sharding, toxicity
 from martflow.llm.common import held_out, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,9 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item."""
     found = decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", "item_id", "matched", "item_words")
+
+
+@query("op7_ngram_join")
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-copy component of every document: 4 words, similarity 0.85."""
+    return ngram_join.jaccard_components(documents(spark, sf_dir))
