@@ -119,10 +119,9 @@ def _filter_of(windows: DataFrame) -> np.ndarray:
     words = windows.select(
         F.shiftright(slot, 6).alias("word"), (slot % 64).cast("int").alias("bit")
     ).distinct()
-    words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect()
+    words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
     bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
-    for r in words:
-        bits[r.word] = r.bits & 0xFFFFFFFFFFFFFFFF
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint64)
     return bits
 
 

@@ -165,13 +165,16 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     place = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1_000_000)) / 1e6
     sample = rows.join(F.broadcast(rates), "label").filter(place < F.col("rate")).select("text", "label")
     sums = map_batches(sample, _count_by_label, "label string, feature int, n long")
-    sums = sums.groupBy("label", "feature").agg(F.sum("n").alias("n")).toPandas()
-    if sums.empty:
+    sums = sums.groupBy("label", "feature").agg(F.sum("n").alias("n")).toArrow()
+    if not len(sums):
         return None
-    labels = sorted(sums["label"].unique())
+    of_label = sums["label"].combine_chunks().dictionary_encode()
+    known = of_label.dictionary.to_pylist()
+    labels = sorted(known)
     place_of = {name: i for i, name in enumerate(labels)}
+    place = np.array([place_of[name] for name in known])[of_label.indices.to_numpy()]
     counts = np.zeros((len(labels), FEATURES))
-    counts[sums["label"].map(place_of), sums["feature"]] = sums["n"]
+    counts[place, sums["feature"].to_numpy()] = sums["n"].to_numpy()
     model = Model(labels, counts)
     bits = model.code.shape[1]
     if bits:
@@ -179,8 +182,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
         means = scored.groupBy("label").agg(
             F.count(F.lit(1)).alias("n"), *[F.avg(F.col("margins")[b]).alias(f"m{b}") for b in range(bits)]
         )
-        found = means.toPandas().set_index("label").loc[labels]
-        by_label = found[[f"m{b}" for b in range(bits)]].to_numpy()
+        found = {r.label: r for r in means.collect()}
+        by_label = np.array([[found[name][f"m{b}"] for b in range(bits)] for name in labels])
         model.calibrate(by_label, np.ones(bits))
         code = {name: model.code[i] for name, i in place_of.items()}
         right = [
@@ -188,8 +191,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
             for b in range(bits)
             for side in [F.create_map(*[F.lit(x) for name in labels for x in (name, float(code[name][b]))])[F.col("label")]]
         ]
-        shares = scored.agg(*right).toPandas().iloc[0].to_numpy(dtype=float)
-        model.calibrate(by_label, shares)
+        model.calibrate(by_label, np.array(scored.agg(*right).first(), dtype=float))
     return model
 
 

@@ -35,7 +35,7 @@ from martflow.llm.components import components
 from martflow.session import materialize
 
 GROWTH = 1.6  # of the bands' lower ends
-FILTER_BITS = 26
+FILTER_BITS = 24
 BLOCK = 400  # members of a block; a tile is compared block by block
 PART_SEED = np.uint64(0x9E3779B97F4A7C15)
 
@@ -174,7 +174,7 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
         keys.select(F.shiftright(slot, 6).alias("word"), (slot % 64).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
     bits[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint64)

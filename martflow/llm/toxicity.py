@@ -270,20 +270,21 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     model = Model(features, np.zeros(len(features) + voters), -5.0)
     read = map_batches(
         sample.select("text", "toxic"), _reader_rows(features), "toxic int, found array<int>, others array<boolean>"
-    ).toPandas()
-    if read.empty:
+    ).toArrow()
+    if not len(read):
         # Nothing to fit on: two insults, or one and a pattern, are toxic.
         model.weights[: len(features)] = 3.0
         return model
-    rows = [model.places(list(f), list(o)) for f, o in zip(read["found"], read["others"], strict=True)]
+    rows = [model.places(f, o) for f, o in zip(read["found"].to_pylist(), read["others"].to_pylist(), strict=True)]
     # The last voter fires where no lexicon does.
     votes = np.zeros((len(rows), voters + 1))
     for i, places in enumerate(rows):
         votes[i, places[places >= len(features)] - len(features)] = 1
     votes[:, -1] = votes[:, :lexicons].sum(axis=1) == 0
-    weight = read["toxic"].map(weight_of).to_numpy(dtype=float)
+    given = read["toxic"].to_numpy()
+    weight = np.where(given == 1, weight_of[1], weight_of[0])
     label_model = LabelModel(voters + 1)
-    posterior = label_model.fit(votes, weight, read["toxic"].to_numpy())
+    posterior = label_model.fit(votes, weight, given)
     model.weights, model.bias = _train(rows, posterior, weight, len(model.weights))
     return model
 
