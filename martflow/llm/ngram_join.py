@@ -86,9 +86,11 @@ def shingles(text: str | None, width: int, hashes: WordHashes) -> np.ndarray:
     codes = hashes.of(words)
     n = max(1, len(codes) - width + 1)
     total = np.full(n, len(codes) if len(codes) < width else 0, dtype=np.uint64)
+    factor = 0xD6E8FEB86659FD93
     for i in range(min(width, len(codes))):
-        total = _mix(total + codes[i : i + n])
-    return np.unique(total)
+        total += codes[i : i + n] * np.uint64(factor)
+        factor = factor * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF | 1
+    return np.unique(_mix(total))
 
 
 def parts_of(found: np.ndarray, level: int, parts: int, slack: int) -> np.ndarray:
@@ -304,15 +306,21 @@ def _unsettled(tiles: DataFrame, sets: DataFrame, labels: DataFrame, like: Liken
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows = named.join(open_tiles, "key").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select(
-        "key", "id", "component", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
+    # Documents that agree in many parts meet in many tiles with the same
+    # members; each set of members is compared once.
+    member = F.struct("id", "component", "block")
+    tiles = (
+        rows.groupBy("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+        .agg(F.array_sort(F.collect_set(member)).alias("members"))
+        .select("members", (F.col("x") != F.col("y")).alias("cross"))
+        .distinct()
     )
-    member = F.struct("id", "component", "size", "block", "levels", "bitmaps")
+    tiles = materialize(tiles.withColumn("tile", F.monotonically_increasing_id()), "distinct-tiles")
     grouped = (
-        rows.join(sets.select("id", "size", "levels", "bitmaps"), "id")
-        .groupBy("key", "x", "y")
-        .agg(F.collect_list(member).alias("members"))
-        .select("members", (F.col("x") != F.col("y")).alias("cross"))
+        tiles.select("tile", "cross", F.inline("members"))
+        .join(sets.select("id", "size", "levels", "bitmaps"), "id")
+        .groupBy("tile", "cross")
+        .agg(F.collect_list(F.struct("id", "component", "size", "block", "levels", "bitmaps")).alias("members"))
     )
     return materialize(map_batches(grouped, _tile_pairs(like), "a long, b long").distinct(), "open-pairs")
 
