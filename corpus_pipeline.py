@@ -1,27 +1,59 @@
-"""A corpus pipeline: each stage's documents are written and read by the next."""
+"""A corpus pipeline: each stage's documents are written and read by the next.
+
+Toxic documents go, one document of each near-copy group stays (the one with
+the smallest id), documents that hold a benchmark item go, the rest is mixed
+by source into training order, and every document gets its shard.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martflow.llm import mixing, sharding
+from martflow.llm import decontaminate, mixing, ngram_join, sharding, toxicity
 from martflow.llm.common import prepare
 from martflow.session import scratch_path
 
 SHARDS = 24
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a classifier fitted on this stage's input does not reject."""
+    prepare(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.without_toxic(docs, toxicity.fit(docs, labels))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at 0.8 or more."""
+    prepare(spark)
+    return ngram_join.without_near_copies(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    prepare(spark)
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often and in the order the curriculum reads them."""
+    prepare(spark)
     return mixing.curriculum(docs).drop("position")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their slot and shard."""
+    prepare(spark)
     return sharding.sharded(docs, SHARDS)
 
 
-STAGES = [("mix", mix), ("shard", shard)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_join", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("mixing", mix),
+    ("sharding", shard),
+]
 
 # Stages rest on trained models and on similarity, which SQL cannot state.
 ORACLE_SQL = None
@@ -29,7 +61,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

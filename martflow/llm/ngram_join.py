@@ -7,12 +7,13 @@ in at most d shingles. The level's hash space is cut into more than d parts,
 so some part is the same in both: sets that agree in a part form a tile, and
 no link lies outside all tiles.
 
-In a tile every member is first compared with the tile's smallest id. Bitmaps
-of hashed shingles bound each overlap from above (a bit set in one alone is a
-shingle missing in the other), and pairs that pass are decided by intersecting
-the sorted shingle arrays. Links so found are joined to components; only tiles
-that still hold several components are compared all against all across
-components, in blocks of bounded size. The result is exact.
+Bitmaps of hashed shingles bound each overlap from above (a bit set in one
+alone is a shingle missing in the other), and pairs that pass are decided by
+intersecting the sorted shingle arrays. Every document first tries the partner
+it meets in most tiles, then components that meet try one pair each; links are
+joined to components. Only tiles that still hold several components are
+compared all against all across components, in blocks of bounded size. The
+result is exact.
 
 A first pass finds the parts that occur more than once; a bit filter of fixed
 size made of them keeps all other parts of the second pass at home.
@@ -37,6 +38,7 @@ from martflow.session import materialize
 GROWTH = 1.6  # of the bands' lower ends
 FILTER_BITS = 24
 BLOCK = 400  # members of a block; a tile is compared block by block
+ROUNDS = 3  # in which components that meet try a single pair
 PART_SEED = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -260,7 +262,7 @@ def _tile_pairs(like: Likeness):
 
     def make():
         def work(batch):
-            out_a, out_b = [], []
+            found: set[tuple[int, int]] = set()
             for members, cross in zip(batch["members"], batch["cross"], strict=True):
                 by_level: dict[int, list] = {}
                 for m in members:
@@ -284,33 +286,78 @@ def _tile_pairs(like: Likeness):
                         only_o = np.bitwise_count(bits[other] & ~bits[i]).sum(axis=1, dtype=np.int64)
                         most = np.minimum(size[i] - only_i, size[other] - only_o)
                         fits = (most > 0) & (like.den * most >= like.num * (size[i] + size[other] - most))
-                        out_b += ids[other[fits]].tolist()
-                        out_a += [int(ids[i])] * int(fits.sum())
-            return {"a": out_a, "b": out_b}
+                        found.update((int(ids[i]), b) for b in ids[other[fits]].tolist())
+            return {"a": [a for a, _ in found], "b": [b for _, b in found]}
 
         return work
 
     return make
 
 
-def _unsettled(tiles: DataFrame, sets: DataFrame, labels: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs of different components that share a tile and whose bitmaps allow a link. Written."""
-    named = tiles.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
+def _joined(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
+    """Labels after further links, and whether there were any."""
+    if links.isEmpty():
+        return labels, False
+    return components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)), True
+
+
+def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (``key``, ``id``, ``component``) of tiles that hold several components. Written."""
+    named = members.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("component")
     )
     named = materialize(named, "named-tiles")
-    open_tiles = named.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
+    held = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    held = materialize(held.filter("low <> high").select("key"), "open-tiles")
+    return materialize(named.join(held, "key"), "open-members")
+
+
+def _one_pair_each(members: DataFrame) -> DataFrame:
+    """For components that meet in a tile with its lowest component: one pair of documents."""
+    local = members.groupBy("key", "component").agg(F.min("id").alias("id"))
+    lowest = local.groupBy("key").agg(F.min(F.struct("component", "id")).alias("low"))
+    met = local.join(lowest, "key").filter("component <> low.component")
+    pairs = met.groupBy("component", F.col("low.component").alias("other")).agg(
+        F.min(F.struct(F.col("id").alias("a"), F.col("low.id").alias("b"))).alias("pair")
+    )
+    return pairs.select("pair.a", "pair.b")
+
+
+def _unsettled(members: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """Pairs of different components that share a tile and whose bitmaps allow a link. Written.
+
+    Tiles that overlap form a cluster. Where comparing the cluster's members
+    all against all costs less than comparing tile by tile, which meets the
+    same pair again and again, the cluster stands for its tiles.
+    """
+    first = members.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    first = materialize(first, "tile-firsts")
+    edges = members.join(first, "key").select(F.col("id").alias("u"), F.col("first").alias("v")).filter("u <> v")
+    cluster = components(edges.distinct())
+    named = members.join(cluster.select(F.col("node").alias("id"), F.col("component").alias("_c")), "id", "left")
+    named = materialize(named.withColumn("cluster", F.coalesce("_c", "id")).drop("_c"), "clustered")
+    tile_cost = named.groupBy("cluster", "key").agg(F.count(F.lit(1)).alias("n"))
+    tile_cost = tile_cost.groupBy("cluster").agg(F.sum(F.col("n") * F.col("n")).alias("by_tile"))
+    sizes = named.select("cluster", "id").distinct().groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    whole = sizes.join(tile_cost, "cluster").filter(F.col("size") * F.col("size") <= F.col("by_tile"))
+    whole = materialize(whole.select("cluster", F.lit(True).alias("whole")), "whole-clusters")
+    of_cluster = F.coalesce("whole", F.lit(False))
+    named = named.join(whole, "cluster", "left").select(
+        F.when(of_cluster, F.col("cluster")).otherwise(F.col("key")).alias("key"),
+        of_cluster.alias("whole"),
+        "id",
+        "component",
     )
-    open_tiles = materialize(open_tiles.filter("low <> high").select("key", "members"), "open-tiles")
+    named = materialize(named.distinct(), "compared")
+    counted = materialize(named.groupBy("key", "whole").agg(F.count(F.lit(1)).alias("members")), "compared-sizes")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = named.join(open_tiles, "key").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    rows = named.join(counted, ["key", "whole"]).withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     # Documents that agree in many parts meet in many tiles with the same
     # members; each set of members is compared once.
     member = F.struct("id", "component", "block")
     tiles = (
-        rows.groupBy("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+        rows.groupBy("key", "whole", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
         .agg(F.array_sort(F.collect_set(member)).alias("members"))
         .select("members", (F.col("x") != F.col("y")).alias("cross"))
         .distinct()
@@ -353,7 +400,10 @@ def jaccard_components(
     firsts = materialize(firsts.filter("n > 1"), "firsts")
     tiles = join_per_key(members, firsts, ["key"], "n", members.count()).filter(F.col("first").isNotNull())
     tiles = materialize(tiles.select("key", "id", "first"), "tiles")
-    pairs = tiles.filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
+    # Each document first tries the one it meets most often.
+    met = tiles.filter("id <> first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("n"))
+    pairs = met.groupBy("id").agg(F.max(F.struct("n", (-F.col("first")).alias("least"))).alias("best"))
+    pairs = pairs.select(F.col("id").alias("a"), (-F.col("best.least")).alias("b"))
 
     # Sets too small to differ have no parts; equal ones meet by digest.
     nodes = sets.filter(F.col("id").isNotNull() & (F.col("size") > 0))
@@ -370,11 +420,16 @@ def jaccard_components(
     links = materialize(_links(pairs, sets, texts, like).unionByName(equal), "first-links")
     labels = components(links)
 
-    rest = _unsettled(tiles.select("key", "id"), sets, labels, like)
-    if not rest.isEmpty():
-        more = _links(rest, sets, texts, like)
-        if not more.isEmpty():
-            labels = components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
+    # Then components that meet in a tile try one pair, a few times over, ...
+    members = tiles.select("key", "id")
+    for _ in range(ROUNDS):
+        members = _open_members(members, labels)
+        labels, changed = _joined(labels, _links(_one_pair_each(members), sets, texts, like))
+        members = members.select("key", "id")
+        if not changed:
+            break
+    # ... and at last everything left is compared.
+    labels, _ = _joined(labels, _links(_unsettled(_open_members(members, labels), sets, like), sets, texts, like))
     found = sets.select("id", "size").join(labels, F.col("id") == F.col("node"), "left")
     own = F.when(F.col("size") > 0, F.coalesce("component", "id")).otherwise(F.col("id"))
     return found.select(F.col("id").alias(key), F.col("size").alias("n_shingles"), own.alias("component_id"))
