@@ -64,14 +64,22 @@ def salted_join(
     if not hot:
         return equi_join(left, right, on, how)
 
-    def is_hot(keys: Sequence[str]) -> Column:
-        return F.xxhash64(*keys).isin(hot)
+    left_hot = F.xxhash64(*on).isin(hot)
+    # Right rows are compared with the hot values themselves, as the join
+    # compares them: keys of unlike types have unlike hashes.
+    values = left.filter(left_hot).select(*on).distinct().collect()
+    right_hot = F.lit(False)
+    for row in values:
+        if None not in row:
+            same = [
+                F.col(f"`{b}`") == F.lit(v).cast(left.schema[a].dataType)
+                for (a, b), v in zip(on.items(), row, strict=True)
+            ]
+            right_hot = right_hot | F.coalesce(all_of(*same), F.lit(False))
 
     dealt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    left_salted = left.withColumn("_salt", F.when(is_hot(list(on)), dealt).otherwise(F.lit(0)))
-    copies = F.when(
-        is_hot(list(on.values())), F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
+    left_salted = left.withColumn("_salt", F.when(left_hot, dealt).otherwise(F.lit(0)))
+    copies = F.when(right_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right_salted = right.withColumn("_salt_r", F.explode(copies))
     return equi_join(left_salted, right_salted, {**on, "_salt": "_salt_r"}, how).drop("_salt")
 

@@ -3,7 +3,7 @@
 Incoming rows are first reduced to one row per key with an explicit order of
 arrival, then merged with the target. Each function returns rows; writing
 them, and replacing a table that the plan reads, is the sinks' business.
-Applying a merge twice gives what applying it once does.
+Applying a merge twice gives what applying it once does, null keys included.
 """
 
 from __future__ import annotations
@@ -21,10 +21,12 @@ def absent_rows(
 ) -> DataFrame:
     """Incoming rows to append: the first of each key the target lacks.
 
-    Only the target's key columns are read.
+    Only the target's key columns are read. Null keys equal null keys.
     """
-    first = one_row_per_key(incoming, keys, order_by, latest=False)
-    return first.join(target.select(*keys), list(keys), "left_anti").select(*target.columns)
+    first = one_row_per_key(incoming, keys, order_by, latest=False).alias("n")
+    known = target.select(*keys).alias("t")
+    matched = [F.col(f"t.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
+    return first.join(known, matched, "left_anti").select(*target.columns)
 
 
 def upsert_do_nothing(
@@ -75,7 +77,7 @@ def upsert_rows(
 def _merged(
     target: DataFrame, new: DataFrame, keys: Sequence[str], update: Sequence[str]
 ) -> DataFrame:
-    """Full outer join of two frames that are unique by key."""
+    """Full outer join of two frames that are unique by key; null keys equal null keys."""
     t = target.withColumn("_t", F.lit(True)).alias("t")
     n = new.withColumn("_n", F.lit(True)).alias("n")
 
@@ -87,5 +89,5 @@ def _merged(
             return F.when(F.col("_n"), theirs).otherwise(ours).alias(c)
         return F.when(F.col("_t"), ours).otherwise(theirs).alias(c)
 
-    matched = [F.col(f"t.{k}") == F.col(f"n.{k}") for k in keys]
+    matched = [F.col(f"t.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
     return t.join(n, matched, "full").select(*[column(c) for c in target.columns])

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
 
-from martflow.operators.joins import replicate
 from martflow.session import materialize
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
@@ -55,6 +57,24 @@ def load(df: DataFrame, path: str, truncate: bool) -> None:
     df.write.mode("overwrite" if truncate else "append").parquet(path)
 
 
+def _in_partitions(target: DataFrame, touched: Sequence[Row], names: Sequence[str]) -> Column:
+    """Whether a row lies in one of the partitions, as a filter on literals."""
+
+    def value(name: str, v) -> Column:
+        return F.lit(v).cast(target.schema[name].dataType)
+
+    if len(names) == 1:
+        name = names[0]
+        known = [value(name, r[0]) for r in touched if r[0] is not None]
+        held = F.col(name).isin(*known) if known else F.lit(False)
+        return held | F.col(name).isNull() if any(r[0] is None for r in touched) else held
+    held = F.lit(False)
+    for r in touched:
+        here = [F.col(n).isNull() if v is None else F.col(n) == value(n, v) for n, v in zip(names, r, strict=True)]
+        held = held | reduce(and_, here)
+    return held
+
+
 def merge_partitions(
     target: DataFrame, incoming: DataFrame, path: str, partition_by: Sequence[str], merge: Merge
 ) -> None:
@@ -62,12 +82,13 @@ def merge_partitions(
 
     ``target`` is the scan of ``path`` and ``merge(target, incoming)`` one of
     the upserts, on keys that include or determine the partition columns. Only
-    touched partitions are read, merged and replaced. The merged rows are
-    staged in the shared folder before anything is overwritten.
+    touched partitions are read, merged and replaced; a null partition value is
+    a partition like others. The touched values, names of partitions, are put
+    into the plan as literals, so the scan is pruned before it runs. The merged
+    rows are staged in the shared folder before anything is overwritten.
     """
     names = list(partition_by)
-    touched = replicate(materialize(incoming.select(*names).distinct(), "touched-partitions"))
-    current = target.join(touched, names, "left_semi")
+    current = target.filter(_in_partitions(target, incoming.select(*names).distinct().collect(), names))
     merged = materialize(merge(current, incoming), "merged-partitions")
     (
         merged.hint("rebalance", *names)

@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martflow.session import delete_folder
+from martflow.session import delete_folder, folder_exists
 from martflow.sinks.tables import replace_table
 from martflow.sinks.writers import Merge, merge_partitions, write_parquet
 from martflow.sources.readers import read_partitioned
@@ -51,12 +51,15 @@ def stage_incrementally(
     """Append unseen files to a staging directory, each row exactly once.
 
     A batch owns one partition directory and overwrites it when replayed.
+    Before the first file has come the result is an empty frame of the schema.
     """
 
     def stage(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     run_available(spark, source, fmt, schema, progress, stage, files_per_batch, **options)
+    if not folder_exists(spark, target):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(f"{schema}, batch bigint").parquet(target).drop("batch")
 
 
