@@ -241,13 +241,12 @@ def without_main(source: str) -> str:
 def fit(pages: DataFrame, html: str = "html", sample: int = SAMPLE_PAGES, seed: int = 3) -> Trees:
     """Train on at most ``sample`` pages of up to ``SAMPLE_CHARS`` characters,
     chosen by a hash of their source."""
-    some = (
-        pages.filter(F.length(html) <= SAMPLE_CHARS)
-        .select(F.col(html).alias("html"), F.xxhash64(html, F.lit(seed)).alias("h"))
-        .orderBy("h")
-        .limit(sample)
-        .collect()
+    rows = pages.filter(F.length(html) <= SAMPLE_CHARS).select(
+        F.col(html).alias("html"), F.xxhash64(html, F.lit(seed)).alias("h")
     )
+    # The hashes alone are ranked; whole pages leave the executors for the chosen ones only.
+    lowest = [r.h for r in rows.select("h").distinct().orderBy("h").limit(sample).collect()]
+    some = rows.filter(F.col("h").isin(lowest)).dropDuplicates(["h"]).orderBy("h").collect()
     rng = random.Random(seed)
     sources = [r.html for r in some] or ["<body><nav><a>a b</a></nav><article><p>Some text, of a page.</p></article></body>"]
     sources += [with_plants(s, rng) for s in sources for _ in range(3)]
