@@ -394,18 +394,7 @@ def jaccard_components(
         "signatures",
     )
 
-    members = sets.filter(F.col("id").isNotNull()).select(F.explode("keys").alias("key"), "id").distinct()
-    members = materialize(members, "members")
-    firsts = members.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-    firsts = materialize(firsts.filter("n > 1"), "firsts")
-    tiles = join_per_key(members, firsts, ["key"], "n", members.count()).filter(F.col("first").isNotNull())
-    tiles = materialize(tiles.select("key", "id", "first"), "tiles")
-    # Each document first tries the one it meets most often.
-    met = tiles.filter("id <> first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("n"))
-    pairs = met.groupBy("id").agg(F.max(F.struct("n", (-F.col("first")).alias("least"))).alias("best"))
-    pairs = pairs.select(F.col("id").alias("a"), (-F.col("best.least")).alias("b"))
-
-    # Sets too small to differ have no parts; equal ones meet by digest.
+    # Equal sets are linked by digest, and one of them stands for all in tiles.
     nodes = sets.filter(F.col("id").isNotNull() & (F.col("size") > 0))
     leaders = nodes.groupBy("digest", "size").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     leaders = materialize(leaders.withColumn("of", F.concat("digest", F.col("size").cast("string").cast("binary"))), "equal")
@@ -417,6 +406,19 @@ def jaccard_components(
         nodes.count(),
     )
     equal = equal.filter("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v"))
+    equal = materialize(equal.distinct(), "equal-links")
+    members = sets.filter(F.col("id").isNotNull()).select(F.explode("keys").alias("key"), "id").distinct()
+    members = members.join(equal.select(F.col("u").alias("id")).distinct(), "id", "left_anti")
+    members = materialize(members, "members")
+    firsts = members.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = materialize(firsts.filter("n > 1"), "firsts")
+    tiles = join_per_key(members, firsts, ["key"], "n", members.count()).filter(F.col("first").isNotNull())
+    tiles = materialize(tiles.select("key", "id", "first"), "tiles")
+    # Each document first tries the one it meets most often.
+    met = tiles.filter("id <> first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("n"))
+    pairs = met.groupBy("id").agg(F.max(F.struct("n", (-F.col("first")).alias("least"))).alias("best"))
+    pairs = pairs.select(F.col("id").alias("a"), (-F.col("best.least")).alias("b"))
+
     links = materialize(_links(pairs, sets, texts, like).unionByName(equal), "first-links")
     labels = components(links)
 
