@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import decontaminate, exact_dedup, html_text, language, mixing, ngram_join, pii, sharding, toxicity
+from martflow.llm import decontaminate, exact_dedup, html_text, language, licenses, mixing, ngram_join, pii, sharding, toxicity
 from martflow.llm.common import held_out, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,32 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-copy component of every document: 4 words, similarity 0.85."""
     return ngram_join.jaccard_components(documents(spark, sf_dir))
+
+
+@query(
+    "op6_licenses",
+    """
+    WITH folded AS (
+      SELECT doc_id, regexp_replace(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '(^|\\n)[^a-z\\n]*copyright[ \\t]+(\\(c\\)|©|[0-9]{4})[^\\n]*', '\\1', 'g') AS t
+      FROM documents
+    ), spelt AS (
+      SELECT doc_id, replace(replace(replace(replace(replace(replace(t, 'licence', 'license'),
+        'sub-license', 'sublicense'), 'organisation', 'organization'), 'non-commercial', 'noncommercial'),
+        'https', 'http'), '&', ' and ') AS t
+      FROM folded
+    ), digested AS (
+      SELECT doc_id, sha256(trim(regexp_replace(t, '[^a-z0-9]+', ' ', 'g'))) AS digest FROM spelt
+    )
+    SELECT doc_id, digest,
+           CASE digest
+             WHEN sha256('licensed under cc by nc 4 0') THEN 'CC-BY-NC-4.0 notice'
+             WHEN sha256('licensed under cc by 4 0') THEN 'CC-BY-4.0 notice'
+           END AS license
+    FROM digested
+    """,
+)
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its canonical digest and the known licence it is."""
+    return licenses.scan(documents(spark, sf_dir), licenses.known_digests(spark))

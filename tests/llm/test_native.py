@@ -7,7 +7,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from martflow.llm import exact_dedup, mixing, sharding
+from martflow.llm import exact_dedup, licenses, mixing, sharding
 from llm.conftest import AWKWARD
 
 
@@ -144,3 +144,21 @@ def test_curriculum_of_awkward_rows(documents):
     rows = [r.position for r in out.collect()]
     assert rows == sorted(rows)
     assert mixing.mixture(documents([])).count() == 0
+
+
+def test_licences_by_canonical_text(prepared, documents, capsys):
+    isc = licenses.KNOWN["ISC"]
+    rows = [
+        (50, isc), (51, "Copyright (c) 2020 A. Person\n\n" + isc.upper().replace(". ", ".\n")),
+        (52, "LICENCED... under: CC-BY 4.0"), (53, isc + " And more."),
+    ]
+    docs = documents(rows + AWKWARD).withColumn("license", F.lit("mine"))
+    out = licenses.scan(docs, licenses.known_digests(prepared))
+    found = {r.doc_id: r.license for r in out.collect()}
+    assert (found[50], found[51], found[53], found[1]) == ("ISC", "ISC", None, None)
+    assert found[52] == "CC-BY-4.0 notice"
+    assert out.count() == len(rows) + len(AWKWARD)
+    assert licenses.scan(documents([]), licenses.known_digests(prepared)).count() == 0
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Arrow" not in plan
