@@ -2,10 +2,14 @@
 
 Documents are sets of word shingles. Two sets can only be similar if their
 sizes are, so sets fall into size bands; a level holds one band and the sizes
-its members may pair with. Two sets of a level that are similar enough differ
-in at most d shingles. The level's hash space is cut into more than d parts,
-so some part is the same in both: sets that agree in a part form a tile, and
-no link lies outside all tiles.
+its members may pair with. All shingles have one order, the rarest first. Two
+sets of a level that are similar enough share a shingle among the first few of
+each, as many as may be missing in the other and one more: sets that share such
+a shingle form a tile, and no link lies outside all tiles.
+
+The order comes from document counts in a table of fixed size, into which
+shingles are hashed. Any order gives the same links; counts keep shingles of
+frequent lines and passages out of the tiles.
 
 Bitmaps of hashed shingles bound each overlap from above (a bit set in one
 alone is a shingle missing in the other), and pairs that pass are decided by
@@ -15,8 +19,8 @@ joined to components. Only tiles that still hold several components are
 compared all against all across components, in blocks of bounded size. The
 result is exact.
 
-A first pass finds the parts that occur more than once; a bit filter of fixed
-size made of them keeps all other parts of the second pass at home.
+A first pass finds the keys of tiles that occur more than once; a bit filter of
+fixed size made of them keeps all other keys of the second pass at home.
 
 Defined results: ``A``-``Z`` are lower-cased; words are runs of anything but
 ASCII white space. Fewer words than a shingle make one shingle of the whole.
@@ -39,7 +43,8 @@ GROWTH = 1.6  # of the bands' lower ends
 FILTER_BITS = 24
 BLOCK = 400  # members of a block; a tile is compared block by block
 ROUNDS = 3  # in which components that meet try a single pair
-PART_SEED = np.uint64(0x9E3779B97F4A7C15)
+COUNT_BITS = 18  # of the table of counts that orders shingles
+LEVEL_SEED = np.array([0x9E3779B97F4A7C15], dtype=np.uint64)
 
 
 class Likeness:
@@ -52,25 +57,26 @@ class Likeness:
     def similar(self, shared: int, a: int, b: int) -> bool:
         return shared > 0 and self.den * shared >= self.num * (a + b - shared)
 
-    def level(self, j: int) -> tuple[int, int, int, int]:
-        """Least and largest size, parts, and empty parts a member may have."""
+    def level(self, j: int) -> tuple[int, int, bool]:
+        """Least and largest size, and whether unequal sets can be similar."""
         while len(self.lows) < j + 2:
             self.lows.append(max(self.lows[-1] + 1, int(self.lows[-1] * GROWTH)))
         top = self.lows[j + 1] - 1
         cap = top * self.den // self.num
-        differ = (self.den - self.num) * (top + cap) // (self.den + self.num)
-        slack = 2 + differ // 16 if differ else 0
-        return self.lows[j], cap, differ + 1 + slack if differ else 0, slack
+        return self.lows[j], cap, (self.den - self.num) * (top + cap) >= self.den + self.num
 
-    def levels(self, size: int) -> list[tuple[int, int, int, int]]:
-        """(level, parts, slack, bits) for each level that compares sets of this size."""
+    def levels(self, size: int) -> list[tuple[int, int, int]]:
+        """(level, first, bits) for each level that compares sets of this size:
+        a similar set of the level shares one of the ``first`` shingles."""
         found, j = [], 0
         while True:
-            low, cap, parts, slack = self.level(j)
+            low, cap, unequal = self.level(j)
             if low > size:
                 return found
-            if size <= cap and parts:
-                found.append((j, parts, slack, 1 << max(6, int(np.ceil(np.log2(1.5 * cap))))))
+            if size <= cap and unequal:
+                least = max(low, -(-self.num * size // self.den))
+                shared = -(-self.num * (size + least) // (self.num + self.den))
+                found.append((j, size - shared + 1, 1 << max(6, int(np.ceil(np.log2(1.5 * cap))))))
             j += 1
 
 
@@ -95,17 +101,12 @@ def shingles(text: str | None, width: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(_mix(total))
 
 
-def parts_of(found: np.ndarray, level: int, parts: int, slack: int) -> np.ndarray:
-    """A key for each non-empty part of a level; sets with many empty parts share one more."""
-    part = ((found >> np.uint64(11)) % np.uint64(parts)).astype(np.int64)
-    high = np.bincount(part, (found >> np.uint64(32)).astype(float), parts).astype(np.uint64)
-    low = np.bincount(part, (found & np.uint64(0xFFFFFFFF)).astype(float), parts).astype(np.uint64)
-    used = np.bincount(part, minlength=parts)
-    place = np.arange(parts, dtype=np.uint64) + np.uint64(level << 32)
-    keys = _mix(_mix(high + PART_SEED * place) + low)[used > 0]
-    if (used == 0).sum() > slack:
-        keys = np.append(keys, _mix(np.array([level], dtype=np.uint64) + PART_SEED))
-    return keys
+def tile_keys(found: np.ndarray, levels: list, ranks: np.ndarray) -> np.ndarray:
+    """Keys of the tiles a set is a member of: its first shingles in each of its levels."""
+    order = np.argsort(ranks[found >> np.uint64(64 - COUNT_BITS)], kind="stable")
+    keys = [np.zeros(0, dtype=np.uint64)]
+    keys += [_mix(found[order[:first]] + LEVEL_SEED * np.uint64(j + 1)) for j, first, _ in levels]
+    return np.concatenate(keys)
 
 
 def bitmap(found: np.ndarray, bits: int) -> bytes:
@@ -121,15 +122,46 @@ def overlap_bound(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> int
     return min(size_a - only_a, size_b - only_b)
 
 
-def _all_parts(like: Likeness):
+def _counts(like: Likeness):
+    """Documents of all shingles that share a slot of the table of counts."""
+
     def make():
-        hashes = WordHashes()
+        hashes, counts = WordHashes(), np.zeros(1 << COUNT_BITS, dtype=np.int64)
+
+        def work(batch):
+            for text in batch["text"]:
+                np.add.at(counts, shingles(text, like.width, hashes) >> np.uint64(64 - COUNT_BITS), 1)
+            return {"slot": [], "n": []}
+
+        def last():
+            used = np.flatnonzero(counts)
+            return {"slot": used.astype(np.int32), "n": counts[used]}
+
+        work.last = last
+        return work
+
+    return make
+
+
+def _ranks(texts: DataFrame, like: Likeness) -> np.ndarray:
+    """Each slot's place by its count; the collected table has a fixed size."""
+    found = map_batches(texts, _counts(like), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
+    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
+    ranks = np.empty(1 << COUNT_BITS, dtype=np.int32)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(1 << COUNT_BITS, dtype=np.int32)
+    return ranks
+
+
+def _all_keys(like: Likeness, ranked):
+    def make():
+        hashes, ranks = WordHashes(), ranked.value
 
         def work(batch):
             keys = [np.zeros(0, dtype=np.uint64)]
             for text in batch["text"]:
                 found = shingles(text, like.width, hashes)
-                keys += [parts_of(found, j, parts, slack) for j, parts, slack, _ in like.levels(len(found))]
+                keys.append(tile_keys(found, like.levels(len(found)), ranks))
             return {"key": np.concatenate(keys).astype(np.int64)}
 
         return work
@@ -137,9 +169,9 @@ def _all_parts(like: Likeness):
     return make
 
 
-def _signatures(like: Likeness, filtered):
+def _signatures(like: Likeness, ranked, filtered):
     def make():
-        hashes, bits = WordHashes(), filtered.value
+        hashes, ranks, bits = WordHashes(), ranked.value, filtered.value
         shift = np.uint64(64 - FILTER_BITS)
 
         def work(batch):
@@ -147,9 +179,7 @@ def _signatures(like: Likeness, filtered):
             for name, text in zip(batch["id"], batch["text"], strict=True):
                 found = shingles(text, like.width, hashes)
                 levels = like.levels(len(found)) if name is not None else []
-                keys = [np.zeros(0, dtype=np.uint64)]
-                keys += [parts_of(found, j, parts, slack) for j, parts, slack, _ in levels]
-                keys = np.concatenate(keys)
+                keys = tile_keys(found, levels, ranks)
                 slot = keys >> shift
                 shared = bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)
                 out["size"].append(len(found))
@@ -353,7 +383,7 @@ def _unsettled(members: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows = named.join(counted, ["key", "whole"]).withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    # Documents that agree in many parts meet in many tiles with the same
+    # Documents that share many first shingles meet in many tiles with the same
     # members; each set of members is compared once.
     member = F.struct("id", "component", "block")
     tiles = (
@@ -382,13 +412,14 @@ def jaccard_components(
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     named = texts.filter(F.col("id").isNotNull() & F.col("text").isNotNull())
 
-    parts = map_batches(named.select("text"), _all_parts(like), "key long")
-    shared = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    ranked = spark.sparkContext.broadcast(_ranks(named.select("text"), like))
+    keys = map_batches(named.select("text"), _all_keys(like, ranked), "key long")
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     filtered = spark.sparkContext.broadcast(_filter_of(shared))
     sets = materialize(
         map_batches(
             texts,
-            _signatures(like, filtered),
+            _signatures(like, ranked, filtered),
             "id long, size long, digest binary, levels array<int>, bitmaps array<binary>, keys array<long>",
         ),
         "signatures",
