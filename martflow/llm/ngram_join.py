@@ -7,9 +7,14 @@ sets of a level that are similar enough share a shingle among the first few of
 each, as many as may be missing in the other and one more: sets that share such
 a shingle form a tile, and no link lies outside all tiles.
 
-The order comes from document counts in a table of fixed size, into which
-shingles are hashed. Any order gives the same links; counts keep shingles of
-frequent lines and passages out of the tiles.
+Any order gives the same links. The one used puts first what is known to occur
+in one document alone, and so makes no tile: of the shingles whose hashes fall
+into a fixed quarter, those that are shared are found exactly and kept in a bit
+filter of fixed size; the rest of the quarter comes first. A document with
+enough shingles of its own is a member of no tile. Then come shingles outside
+the quarter, then shared ones, each by counts of documents in a table of fixed
+size, into which all shingles are hashed. That keeps shingles of frequent lines
+and passages out of the tiles. A full filter only makes tiles more numerous.
 
 Bitmaps of hashed shingles bound each overlap from above (a bit set in one
 alone is a shingle missing in the other), and pairs that pass are decided by
@@ -19,9 +24,6 @@ joined to components. Only tiles that still hold several components are
 compared all against all across components, in blocks of bounded size. The
 result is exact.
 
-A first pass finds the keys of tiles that occur more than once; a bit filter of
-fixed size made of them keeps all other keys of the second pass at home.
-
 Defined results: ``A``-``Z`` are lower-cased; words are runs of anything but
 ASCII white space. Fewer words than a shingle make one shingle of the whole.
 Null and empty texts have size 0 and link with nothing. Rows with a null id
@@ -40,7 +42,8 @@ from martflow.llm.components import components
 from martflow.session import materialize
 
 GROWTH = 1.6  # of the bands' lower ends
-FILTER_BITS = 24
+FILTER_BITS = 26
+SAMPLE_SHIFT, SAMPLE_MASK = 40, 3  # shingles with none of these bits form the quarter
 BLOCK = 400  # members of a block; a tile is compared block by block
 ROUNDS = 3  # in which components that meet try a single pair
 COUNT_BITS = 18  # of the table of counts that orders shingles
@@ -101,11 +104,23 @@ def shingles(text: str | None, width: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(_mix(total))
 
 
-def tile_keys(found: np.ndarray, levels: list, ranks: np.ndarray) -> np.ndarray:
-    """Keys of the tiles a set is a member of: its first shingles in each of its levels."""
-    order = np.argsort(ranks[found >> np.uint64(64 - COUNT_BITS)], kind="stable")
+def sampled(found: np.ndarray) -> np.ndarray:
+    """Which shingles are of the quarter that is looked at for shared ones."""
+    return found >> np.uint64(SAMPLE_SHIFT) & np.uint64(SAMPLE_MASK) == 0
+
+
+def tile_keys(found: np.ndarray, levels: list, ranks: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Keys of the tiles a set is a member of: its first shingles in each of
+    its levels, but for those that no other document has."""
     keys = [np.zeros(0, dtype=np.uint64)]
-    keys += [_mix(found[order[:first]] + LEVEL_SEED * np.uint64(j + 1)) for j, first, _ in levels]
+    if levels:
+        slot = found >> np.uint64(64 - FILTER_BITS)
+        marked = shared[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1) == 1
+        group = np.where(sampled(found), np.where(marked, 2, 0), 1)
+        order = np.argsort(ranks[found >> np.uint64(64 - COUNT_BITS)] + (group << COUNT_BITS), kind="stable")
+        for j, first, _ in levels:
+            chosen = order[:first]
+            keys.append(_mix(found[chosen[group[chosen] > 0]] + LEVEL_SEED * np.uint64(j + 1)))
     return np.concatenate(keys)
 
 
@@ -123,19 +138,25 @@ def overlap_bound(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> int
 
 
 def _counts(like: Likeness):
-    """Documents of all shingles that share a slot of the table of counts."""
+    """(``key``, ``n``): each shingle of the quarter once per document; and per
+    slot of the table of counts, marked by a bit that no such shingle has, the
+    documents of all shingles that share it."""
 
     def make():
         hashes, counts = WordHashes(), np.zeros(1 << COUNT_BITS, dtype=np.int64)
 
         def work(batch):
+            keys = [np.zeros(0, dtype=np.uint64)]
             for text in batch["text"]:
-                np.add.at(counts, shingles(text, like.width, hashes) >> np.uint64(64 - COUNT_BITS), 1)
-            return {"slot": [], "n": []}
+                found = shingles(text, like.width, hashes)
+                np.add.at(counts, found >> np.uint64(64 - COUNT_BITS), 1)
+                keys.append(found[sampled(found)])
+            keys = np.concatenate(keys).astype(np.int64)
+            return {"key": keys, "n": np.ones(len(keys), dtype=np.int64)}
 
         def last():
             used = np.flatnonzero(counts)
-            return {"slot": used.astype(np.int32), "n": counts[used]}
+            return {"key": used | 1 << SAMPLE_SHIFT, "n": counts[used]}
 
         work.last = last
         return work
@@ -143,50 +164,34 @@ def _counts(like: Likeness):
     return make
 
 
-def _ranks(texts: DataFrame, like: Likeness) -> np.ndarray:
-    """Each slot's place by its count; the collected table has a fixed size."""
-    found = map_batches(texts, _counts(like), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+def _order(texts: DataFrame, like: Likeness) -> tuple[np.ndarray, np.ndarray]:
+    """Each slot's place by its count, and the bit filter of shared shingles of
+    the quarter. What is collected has a fixed size."""
+    is_slot = F.shiftright("key", SAMPLE_SHIFT).bitwiseAND(SAMPLE_MASK) > 0
+    found = map_batches(texts, _counts(like), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    found = materialize(found.filter(is_slot | (F.col("n") > 1)), "shingle-counts")
+    slots = found.filter(is_slot).select((F.col("key") - (1 << SAMPLE_SHIFT)).alias("slot"), "n").toArrow()
     counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
-    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
+    counts[slots["slot"].to_numpy()] = slots["n"].to_numpy()
     ranks = np.empty(1 << COUNT_BITS, dtype=np.int32)
     ranks[np.argsort(counts, kind="stable")] = np.arange(1 << COUNT_BITS, dtype=np.int32)
-    return ranks
-
-
-def _all_keys(like: Likeness, ranked):
-    def make():
-        hashes, ranks = WordHashes(), ranked.value
-
-        def work(batch):
-            keys = [np.zeros(0, dtype=np.uint64)]
-            for text in batch["text"]:
-                found = shingles(text, like.width, hashes)
-                keys.append(tile_keys(found, like.levels(len(found)), ranks))
-            return {"key": np.concatenate(keys).astype(np.int64)}
-
-        return work
-
-    return make
+    return ranks, _filter_of(found.filter(~is_slot).select("key"))
 
 
-def _signatures(like: Likeness, ranked, filtered):
+def _signatures(like: Likeness, order):
     def make():
-        hashes, ranks, bits = WordHashes(), ranked.value, filtered.value
-        shift = np.uint64(64 - FILTER_BITS)
+        hashes, (ranks, shared) = WordHashes(), order.value
 
         def work(batch):
             out = {"id": batch["id"], "size": [], "digest": [], "levels": [], "bitmaps": [], "keys": []}
             for name, text in zip(batch["id"], batch["text"], strict=True):
                 found = shingles(text, like.width, hashes)
                 levels = like.levels(len(found)) if name is not None else []
-                keys = tile_keys(found, levels, ranks)
-                slot = keys >> shift
-                shared = bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)
                 out["size"].append(len(found))
                 out["digest"].append(_digest(found))
                 out["levels"].append([j for j, *_ in levels])
                 out["bitmaps"].append([bitmap(found, width) for *_, width in levels])
-                out["keys"].append(keys[shared == 1].astype(np.int64))
+                out["keys"].append(tile_keys(found, levels, ranks, shared).astype(np.int64))
             return out
 
         return work
@@ -412,14 +417,11 @@ def jaccard_components(
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     named = texts.filter(F.col("id").isNotNull() & F.col("text").isNotNull())
 
-    ranked = spark.sparkContext.broadcast(_ranks(named.select("text"), like))
-    keys = map_batches(named.select("text"), _all_keys(like, ranked), "key long")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    filtered = spark.sparkContext.broadcast(_filter_of(shared))
+    order = spark.sparkContext.broadcast(_order(named.select("text"), like))
     sets = materialize(
         map_batches(
             texts,
-            _signatures(like, ranked, filtered),
+            _signatures(like, order),
             "id long, size long, digest binary, levels array<int>, bitmaps array<binary>, keys array<long>",
         ),
         "signatures",

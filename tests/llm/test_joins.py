@@ -82,6 +82,7 @@ def test_levels_hold_every_similar_pair():
     like = ngram_join.Likeness(4, 85, 100)
     rng = np.random.default_rng(4)
     slots = 1 << ngram_join.COUNT_BITS
+    full = np.full(1 << (ngram_join.FILTER_BITS - 6), 2**64 - 1, dtype=np.uint64)
     orders = [np.zeros(slots, dtype=np.int32), rng.permutation(slots).astype(np.int32)]
     for size in list(range(1, 60)) + [150, 700, 3000]:
         a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
@@ -89,9 +90,13 @@ def test_levels_hold_every_similar_pair():
             b = np.unique(np.concatenate([a[lost:], rng.integers(0, 2**63, rng.integers(0, lost + 1), dtype=np.uint64)]))
             shared = len(np.intersect1d(a, b))
             if like.similar(shared, len(a), len(b)) and shared < max(len(a), len(b)):
+                both = np.intersect1d(a, b) >> np.uint64(64 - ngram_join.FILTER_BITS)
+                exact = np.zeros(1 << (ngram_join.FILTER_BITS - 6), dtype=np.uint64)
+                np.bitwise_or.at(exact, both >> np.uint64(6), np.uint64(1) << (both & np.uint64(63)))
                 for ranks in orders:
-                    keys = [set(ngram_join.tile_keys(s, like.levels(len(s)), ranks).tolist()) for s in (a, b)]
-                    assert keys[0] & keys[1]
+                    for marks in (exact, full):
+                        keys = [set(ngram_join.tile_keys(s, like.levels(len(s)), ranks, marks).tolist()) for s in (a, b)]
+                        assert keys[0] & keys[1]
 
 
 def test_near_copies_go(documents):
