@@ -79,7 +79,7 @@ class Likeness:
             if size <= cap and unequal:
                 least = max(low, -(-self.num * size // self.den))
                 shared = -(-self.num * (size + least) // (self.num + self.den))
-                found.append((j, size - shared + 1, 1 << max(6, int(np.ceil(np.log2(1.5 * cap))))))
+                found.append((j, size - shared + 1, 1 << max(6, int(np.ceil(np.log2(cap))))))
             j += 1
 
 
@@ -130,6 +130,11 @@ def bitmap(found: np.ndarray, bits: int) -> bytes:
     return np.packbits(marks).tobytes()
 
 
+def folded(marks: bytes, size: int) -> bytes:
+    """The bitmap of ``size`` bytes of the same set, from a wider one."""
+    return np.bitwise_or.reduce(np.frombuffer(marks, np.uint8).reshape(-1, size), axis=0).tobytes()
+
+
 def overlap_bound(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> int:
     """Shingles two sets can share at most, by the bits that only one has."""
     only_a = int(np.bitwise_count(a & ~b).sum())
@@ -183,14 +188,13 @@ def _signatures(like: Likeness, order):
         hashes, (ranks, shared) = WordHashes(), order.value
 
         def work(batch):
-            out = {"id": batch["id"], "size": [], "digest": [], "levels": [], "bitmaps": [], "keys": []}
+            out = {"id": batch["id"], "size": [], "digest": [], "bitmap": [], "keys": []}
             for name, text in zip(batch["id"], batch["text"], strict=True):
                 found = shingles(text, like.width, hashes)
                 levels = like.levels(len(found)) if name is not None else []
                 out["size"].append(len(found))
                 out["digest"].append(_digest(found))
-                out["levels"].append([j for j, *_ in levels])
-                out["bitmaps"].append([bitmap(found, width) for *_, width in levels])
+                out["bitmap"].append(bitmap(found, max(width for *_, width in levels)) if levels else b"")
                 out["keys"].append(tile_keys(found, levels, ranks, shared).astype(np.int64))
             return out
 
@@ -228,14 +232,10 @@ def _bounds(like: Likeness):
                 if batch["digest_a"][i] == batch["digest_b"][i]:
                     states.append(1)
                     continue
-                states.append(0)
-                for level, bits in zip(batch["levels_a"][i], batch["bitmaps_a"][i], strict=True):
-                    if level in batch["levels_b"][i]:
-                        other = batch["bitmaps_b"][i][batch["levels_b"][i].index(level)]
-                        sizes = batch["size_a"][i], batch["size_b"][i]
-                        most = overlap_bound(np.frombuffer(bits, np.uint64), np.frombuffer(other, np.uint64), *sizes)
-                        states[-1] = 2 if like.similar(most, *sizes) else 0
-                        break
+                marks, sizes = (batch["bitmap_a"][i], batch["bitmap_b"][i]), (batch["size_a"][i], batch["size_b"][i])
+                width = min(map(len, marks))
+                both = [np.frombuffer(folded(m, width), np.uint64) for m in marks] if width else []
+                states.append(2 if both and like.similar(overlap_bound(*both, *sizes), *sizes) else 0)
             return {"a": batch["a"], "b": batch["b"], "state": states}
 
         return work
@@ -270,10 +270,13 @@ def _exact(like: Likeness):
 
 def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     """The pairs (``a``, ``b``) that are similar, as edges (``u``, ``v``). Written."""
-    own = ["size", "digest", "levels", "bitmaps"]
+    own = ["size", "digest", "bitmap"]
+    pairs = materialize(pairs, "pairs")
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    met = by_ids(sets.select("id", *own), materialize(ids, "met"), "id")
 
     def side(name: str) -> DataFrame:
-        return sets.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in own])
+        return met.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in own])
 
     bounded = map_batches(
         pairs.join(side("a"), "a").join(side("b"), "b"), _bounds(like), "a long, b long, state int"
@@ -301,7 +304,8 @@ def _tile_pairs(like: Likeness):
             for members, cross in zip(batch["members"], batch["cross"], strict=True):
                 by_level: dict[int, list] = {}
                 for m in members:
-                    for level, bits in zip(m["levels"], m["bitmaps"], strict=True):
+                    for level, _, width in like.levels(m["size"]):
+                        bits = folded(m["bitmap"], width // 8)
                         by_level.setdefault(level, []).append((m["id"], m["component"], m["size"], m["block"], bits))
                 for rows in by_level.values():
                     rows.sort(key=lambda r: (r[2], r[0]))
@@ -400,9 +404,9 @@ def _unsettled(members: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame
     tiles = materialize(tiles.withColumn("tile", F.monotonically_increasing_id()), "distinct-tiles")
     grouped = (
         tiles.select("tile", "cross", F.inline("members"))
-        .join(sets.select("id", "size", "levels", "bitmaps"), "id")
+        .join(sets.select("id", "size", "bitmap"), "id")
         .groupBy("tile", "cross")
-        .agg(F.collect_list(F.struct("id", "component", "size", "block", "levels", "bitmaps")).alias("members"))
+        .agg(F.collect_list(F.struct("id", "component", "size", "block", "bitmap")).alias("members"))
     )
     return materialize(map_batches(grouped, _tile_pairs(like), "a long, b long").distinct(), "open-pairs")
 
@@ -422,7 +426,7 @@ def jaccard_components(
         map_batches(
             texts,
             _signatures(like, order),
-            "id long, size long, digest binary, levels array<int>, bitmaps array<binary>, keys array<long>",
+            "id long, size long, digest binary, bitmap binary, keys array<long>",
         ),
         "signatures",
     )
