@@ -79,7 +79,7 @@ class Likeness:
             if size <= cap and unequal:
                 least = max(low, -(-self.num * size // self.den))
                 shared = -(-self.num * (size + least) // (self.num + self.den))
-                found.append((j, size - shared + 1, 1 << max(6, int(np.ceil(np.log2(cap))))))
+                found.append((j, size - shared + 1, 1 << max(6, int(np.ceil(np.log2(4 * cap))))))
             j += 1
 
 
