@@ -22,7 +22,7 @@ def consolidate(spark: SparkSession, csv_dir: str, out: str) -> DataFrame:
     """Write the song events of all CSV files as one fully quoted data set."""
     events = song_events(read_csv(spark, csv_dir, EVENT_CSV))
     write_csv(events, out, quote_all=True)
-    return read_csv(spark, out, events.schema)
+    return read_csv(spark, out, events.schema, multi_line=True)
 
 
 def table(events: DataFrame, name: str, order_by: list[str] | None = None) -> DataFrame:
@@ -43,11 +43,13 @@ def table(events: DataFrame, name: str, order_by: list[str] | None = None) -> Da
     return latest.select(*[f.name for f in fields])
 
 
-def write_table(rows: DataFrame, name: str, catalog_name: str, location: str, buckets: int) -> bool:
+def write_table(
+    rows: DataFrame, name: str, catalog_name: str, location: str, buckets: int, layout: str = "ranged"
+) -> None:
     """Lay a table out by its partition key, sorted by its whole key."""
     _, partition_key, clustering_key = QUERY_FIRST[name]
-    return write_distributed(
-        rows, catalog_name, location, partition_key[0], [*partition_key, *clustering_key], buckets
+    write_distributed(
+        rows, catalog_name, location, partition_key[0], [*partition_key, *clustering_key], buckets, layout
     )
 
 

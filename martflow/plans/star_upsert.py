@@ -7,6 +7,9 @@ logs can arrive in any number of pieces.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +26,8 @@ from martflow.schemas import SONG_PLAY
 from martflow.sinks.tables import replace_table
 from martflow.sinks.writers import load_table
 
+PLAY_KEY = ["start_time", "user_id", "session_id", "level", "location", "user_agent"]
+
 
 def _plays(log: DataFrame) -> DataFrame:
     return of_kind(log, "page", SONG_PLAY)
@@ -56,9 +61,11 @@ def times(target: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def songplays(
-    log: DataFrame, songs: DataFrame, artists: DataFrame, start: int = 1, join: Join = equi_join
+    log: DataFrame, songs: DataFrame, artists: DataFrame, start: int = 1, join: Join = equi_join,
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """Every play, with the song's and artist's ids or nulls, numbered from ``start``."""
+    """Every play, with the song's and artist's ids or nulls, numbered from
+    ``start``. Plays that the fact ``known`` holds already are left out."""
     named = artists.select("artist_id", F.col("name").alias("artist_name"))
     catalogue = songs.select("song_id", "title", "duration", "artist_id").join(named, "artist_id")
     resolved = resolve(
@@ -73,20 +80,25 @@ def songplays(
         F.col("ts").alias("start_time"), F.col("userId").alias("user_id"), "level", "song_id", "artist_id",
         F.col("sessionId").alias("session_id"), "location", F.col("userAgent").alias("user_agent"),
     ).select(*PLAY_COLUMNS)
+    if known is not None:
+        held = known.select(*[F.col(c).alias(f"held_{c}") for c in PLAY_KEY])
+        fact = fact.join(held, reduce(and_, [F.col(c).eqNullSafe(F.col(f"held_{c}")) for c in PLAY_KEY]), "left_anti")
     return dense_ids(fact, "songplay_id", PLAY_COLUMNS, start)
 
 
 def load(
-    spark: SparkSession, log: DataFrame, catalogue: DataFrame, tables: Mapping[str, str], root: str, delivery: str
+    spark: SparkSession, log: DataFrame, catalogue: DataFrame, tables: Mapping[str, str], root: str, delivery: str,
+    join: Join = equi_join,
 ) -> None:
     """Bring the five catalog tables up to date with one delivery.
 
     ``tables`` maps the names of ``schemas.STAR`` to catalog tables and
-    ``delivery`` names a directory below ``root`` no earlier delivery used.
+    ``delivery`` is part of the names of directories made below ``root``.
     Songs, artists and times only gain rows, so only new rows are written;
     users, whose level changes, are rewritten. The delivery is read for each
-    table, so it should be a staged one, and each log is to be delivered once,
-    as incremental staging does.
+    table, so it should be a staged one. A delivery that comes again, whole or
+    in part, adds no play twice: plays are told by ``PLAY_KEY``, what the log
+    itself says of them, and equal plays within one delivery are all kept.
     """
     current = {name: spark.table(table) for name, table in tables.items()}
 
@@ -99,6 +111,6 @@ def load(
     new_artists = absent_rows(current["artists"], select_as(catalogue, ARTIST_NAMES), ["artist_id"], [])
     all_songs, all_artists = append("songs", new_songs), append("artists", new_artists)
     append("time", new_times(current["time"], log))
-    replace_table(users(current["users"], log), tables["users"], f"{root}/users-{delivery}")
+    replace_table(users(current["users"], log), tables["users"], f"{root}/users-{delivery}-{uuid4().hex}")
     so_far = current["songplays"].agg(F.coalesce(F.max("songplay_id"), F.lit(0))).first()[0]
-    append("songplays", songplays(log, all_songs, all_artists, start=so_far + 1))
+    append("songplays", songplays(log, all_songs, all_artists, so_far + 1, join, current["songplays"]))

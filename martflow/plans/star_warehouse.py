@@ -19,6 +19,7 @@ from martflow.operators.columns import change_columns, select_as
 from martflow.operators.filters import of_kind, present
 from martflow.operators.joins import Join, equi_join
 from martflow.schemas import SONG_FILE, SONG_PLAY, STAGED_LOG
+from martflow.session import folder_exists
 from martflow.sinks.writers import load
 from martflow.sources.staging import stage_json_auto, stage_json_paths
 
@@ -43,12 +44,12 @@ SONG_COLUMNS = ["song_id", "title", "artist_id", "year", "duration"]
 
 
 def songplays(
-    log: DataFrame, catalogue: DataFrame, ids: str | None = None, join: Join = equi_join
+    log: DataFrame, catalogue: DataFrame, ids: str | None = None, join: Join = equi_join, start: int = 0
 ) -> DataFrame:
     """Plays of catalogue songs; the location is the artist's.
 
-    ``ids`` adds ``songplay_id``: "dense" numbers plays from 0 in time order,
-    "unique" leaves gaps but needs no shuffle.
+    ``ids`` adds ``songplay_id``: "dense" numbers plays from ``start`` in time
+    order, "unique" leaves gaps but needs no shuffle.
     """
     plays = of_kind(log, "page", SONG_PLAY).select(
         F.col("ts").alias("start_time"), F.col("userId").alias("user_id"), "level", "song", "artist",
@@ -60,7 +61,7 @@ def songplays(
     matched = join(plays, known, {"song": "title", "artist": "artist_name"}, "inner")
     fact = distinct_rows(matched, PLAY_COLUMNS)
     if ids == "dense":
-        return dense_ids(fact, "songplay_id", fact.columns)
+        return dense_ids(fact, "songplay_id", fact.columns, start)
     return unique_ids(fact, "songplay_id") if ids == "unique" else fact
 
 
@@ -100,12 +101,15 @@ def run(
     out: str,
     json_paths: Mapping[str, str],
     truncate: bool = True,
+    join: Join = equi_join,
 ) -> dict[str, DataFrame]:
     """Stage both JSON trees and load the five tables below ``out``.
 
     The log is staged through ``json_paths`` (column → path), songs by name.
     The staged rows are written before they are used, so the files are parsed
-    once; the time dimension is derived from the written fact.
+    once; the time dimension is derived from the written fact. With
+    ``truncate=False`` rows are added to those of earlier runs, and ids go on
+    after the largest so far.
     """
     written: dict[str, DataFrame] = {}
 
@@ -117,7 +121,11 @@ def run(
     staged_log = stage_json_paths(spark, log_path, STAGED_LOG, json_paths, epoch_ms=["ts"])
     log = write("staging_events", staged_log, True)
     catalogue = write("staging_songs", stage_json_auto(spark, song_path, SONG_FILE), True)
-    plays = write("songplays", songplays(log, catalogue, ids="dense"))
+    start = 0
+    if not truncate and folder_exists(spark, f"{out}/songplays"):
+        earlier = spark.read.parquet(f"{out}/songplays").agg(F.max("songplay_id")).first()[0]
+        start = 0 if earlier is None else earlier + 1
+    plays = write("songplays", songplays(log, catalogue, ids="dense", join=join, start=start))
     write("users", users(log))
     write("songs", songs(catalogue))
     write("artists", artists(catalogue))

@@ -50,11 +50,11 @@ def replace_table(df: DataFrame, name: str, location: str) -> None:
     """Point a table at a new directory holding ``df``.
 
     Safe when ``df`` reads the table itself: the rows go to ``location``,
-    which must be unused, and only a finished write is switched to. Readers
+    which must be unused (else this raises), and only a finished write is switched to. Readers
     see the old rows or the new ones, never a mixture.
     """
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(location)
+    df.write.mode("errorifexists").parquet(location)
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         spark.catalog.refreshTable(name)
@@ -62,13 +62,6 @@ def replace_table(df: DataFrame, name: str, location: str) -> None:
         spark.catalog.createTable(name, path=location, source="parquet")
 
 
-def hottest_share(df: DataFrame, key: str) -> float:
-    """The part of all rows held by the most frequent value of ``key``."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    top, total = counts.agg(F.max("n"), F.sum("n")).first()
-    return top / total if total else 0.0
-
-
 def write_distributed(
     df: DataFrame,
     table: str,
@@ -76,30 +69,33 @@ def write_distributed(
     key: str,
     sort_by: Sequence[str],
     buckets: int,
-    max_share: float | None = None,
-) -> bool:
+    layout: str = "bucketed",
+    files_per_bucket: int = 1,
+) -> None:
     """A table laid out for joins, aggregates and lookups on ``key``.
 
-    Bucketed and sorted, it is grouped by ``key`` without a shuffle and a
-    point lookup opens one bucket. A value holding more than ``max_share``
-    (two buckets' worth by default) of the rows would make one bucket file
-    that a single task writes and reads, so such data is range-partitioned
-    on the sort columns instead: the hot value spans several files and
-    lookups skip files by their column statistics. Returns whether the table
-    was bucketed.
+    "bucketed": grouped by ``key`` without a shuffle, and a point lookup opens
+    one bucket. All rows of a key are in one bucket; ``files_per_bucket``
+    spreads the writing of each bucket, and so of a hot key, over as many
+    tasks, but a scan by buckets reads it in one.
+
+    "ranged": for keys that may be hot. Rows are range-partitioned on the sort
+    columns, so a hot key spans several files, lookups skip files by their
+    column statistics, and readers that group by ``key`` shuffle.
+
+    The caller chooses; the data never change the layout.
     """
-    limit = 2 / buckets if max_share is None else max_share
-    bucketed = hottest_share(df, key) <= limit
-    if bucketed:
-        writer = (
-            df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(*sort_by)
-        )
-    else:
+    if layout == "bucketed":
+        spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
+        dealt = df.repartition(buckets * files_per_bucket, key, *([spread] if files_per_bucket > 1 else []))
+        writer = dealt.write.bucketBy(buckets, key).sortBy(*sort_by)
+    elif layout == "ranged":
         ties = {"_tie": F.xxhash64(*df.columns), "_copy": F.spark_partition_id()}
         ranged = df.withColumns(ties).repartitionByRange(buckets, *sort_by, *ties)
         writer = ranged.sortWithinPartitions(*sort_by).drop(*ties).write
+    else:
+        raise ValueError(f"no such layout: {layout}")
     writer.format("parquet").mode("overwrite").option("path", location).saveAsTable(table)
-    return bucketed
 
 
 def length_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:

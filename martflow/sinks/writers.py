@@ -45,10 +45,18 @@ def write_csv(
     quote_all: bool = False,
     mode: str = "overwrite",
 ) -> None:
-    """CSV with a header line in every file."""
+    """CSV with a header line in every file; ``read_csv`` returns what was written.
+
+    Outer spaces are kept. A null is an empty field and empty text a quoted
+    one. Where that cannot tell them apart, with all fields quoted or in a
+    single column, a null is written as ``\\N``. Text with line breaks is
+    quoted and needs ``multi_line`` when it is read.
+    """
     chosen = df.select(*columns) if columns else df
+    null = r"\N" if quote_all or len(chosen.columns) == 1 else ""
     chosen.write.mode(mode).csv(
-        path, header=True, sep=sep, quote='"', escape='"', quoteAll=quote_all
+        path, header=True, sep=sep, quote='"', escape='"', quoteAll=quote_all, nullValue=null, emptyValue='""',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
 
 

@@ -35,15 +35,25 @@ def read_tree(
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: Schema | None = None, sep: str = ","
+    spark: SparkSession,
+    path: str | list[str],
+    schema: Schema | None = None,
+    sep: str = ",",
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV files that each start with a header line, as one frame.
 
-    Quoted fields may hold separators; a doubled quote stands for a quote.
-    Without a schema every column is text.
+    Quoted fields may hold separators; a doubled quote stands for a quote. An
+    empty field and ``\\N`` are null, a quoted empty field is empty text.
+    Without a schema every column is text and a file whose header differs from
+    the first file's is refused. ``multi_line`` allows line breaks in quoted
+    fields, but then no file can be split among tasks.
     """
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.csv(path, header=True, sep=sep, quote='"', escape='"')
+    return reader.csv(
+        path, header=True, sep=sep, quote='"', escape='"', nullValue=r"\N", multiLine=multi_line,
+        enforceSchema=schema is not None,
+    )
 
 
 def read_csv_typed(
@@ -51,8 +61,9 @@ def read_csv_typed(
 ) -> DataFrame:
     """Header CSV read as text, with the named columns cast afterwards.
 
-    Columns are found by header name, in whatever order the file has them;
-    text that does not fit its type becomes null.
+    Columns are found by header name, in whatever order the files have them;
+    all files must have the same header. Text that does not fit its type
+    becomes null.
     """
     text = read_csv(spark, path, sep=sep)
     return text.withColumns({c: F.trim(F.col(f"`{c}`")).try_cast(t) for c, t in types.items()})

@@ -42,6 +42,17 @@ def test_csv_round_trip_keeps_quotes_commas_and_nulls(spark, tmp_path, rows):
         assert rows(read_csv(spark, path, df.schema, sep=sep)) == rows(df)
 
 
+def test_csv_round_trip_keeps_spaces_breaks_and_empty_text(spark, tmp_path, rows):
+    texts = [" outer ", "two\nlines", "", None, 'a "b"', "back\\slash", ",", " "]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, label string")
+    for i, frame in enumerate((df, df.select("label"))):
+        for quote_all in (False, True):
+            path = str(tmp_path / f"{i}{quote_all}")
+            writers.write_csv(frame, path, quote_all=quote_all)
+            found = read_csv(spark, path, frame.schema, multi_line=True)
+            assert sorted(map(repr, found.collect())) == sorted(map(repr, frame.collect()))
+
+
 def test_quote_all_and_column_subset(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", "z")], "id int, label string, unused string")
     writers.write_csv(df, str(tmp_path / "q"), columns=["label", "id"], quote_all=True)
@@ -124,7 +135,7 @@ def test_replace_table_from_itself(spark, tmp_path, rows):
 def test_bucketed_layout_groups_without_a_shuffle(spark, tmp_path, capsys):
     name = unused()
     df = spark.range(4000).select((F.col("id") % 500).alias("k"), "id")
-    assert tables.write_distributed(df, name, str(tmp_path / "t"), "k", ["k", "id"], 8)
+    tables.write_distributed(df, name, str(tmp_path / "t"), "k", ["k", "id"], 8)
     grouped = spark.table(name).groupBy("k").count()
     grouped.explain()
     assert "Exchange" not in capsys.readouterr().out
@@ -137,17 +148,28 @@ def test_bucketed_layout_groups_without_a_shuffle(spark, tmp_path, capsys):
     assert "SelectedBucketsCount: 1 out of 8" in capsys.readouterr().out
 
 
-def test_hot_key_is_not_bucketed_into_one_file(spark, tmp_path, rows):
+def test_layout_is_the_callers_choice_and_splits_hot_keys(spark, tmp_path, rows):
     name = unused()
     hot = spark.range(3000).select(F.lit(0).cast("bigint").alias("k"), "id")
     cold = spark.range(3000).select((F.col("id") + 1).alias("k"), "id")
     df = hot.union(cold)
-    assert tables.hottest_share(df, "k") == 0.5
-    assert not tables.write_distributed(df, name, str(tmp_path / "t"), "k", ["k", "id"], 16)
-    stored = spark.table(name)
-    assert rows(stored) == rows(df)
-    files = stored.where("k = 0").select(F.input_file_name()).distinct().count()
-    assert files > 1
+    for layout, spread in (("ranged", 1), ("bucketed", 4)):
+        name = unused()
+        tables.write_distributed(df, name, str(tmp_path / layout), "k", ["k", "id"], 16, layout, spread)
+        stored = spark.table(name)
+        assert rows(stored) == rows(df)
+        assert stored.where("k = 0").select(F.input_file_name()).distinct().count() > 1
+    assert stored.groupBy("k").count().where("k = 0").first()["count"] == 3000
+    with pytest.raises(ValueError):
+        tables.write_distributed(df, unused(), str(tmp_path / "t"), "k", ["k"], 4, "either")
+
+
+def test_replace_table_refuses_a_used_location(spark, tmp_path):
+    name = unused()
+    tables.replace_table(spark.range(3), name, str(tmp_path / "a"))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        tables.replace_table(spark.range(4), name, str(tmp_path / "a"))
+    assert spark.table(name).count() == 3
 
 
 def test_length_violations(spark, rows):

@@ -132,3 +132,10 @@ def test_code_name_tail_keeps_commas_in_the_middle(spark, tmp_path, rows):
     )
     df = lookups.read_code_name_tail(spark, path, "airport_code", "airport_name", "state_code")
     assert rows(df) == [("QAB", "PORT, NORTH", "QA"), ("XX", "NO STATE", None), ("ZZA", "SOMEWHERE", "ZZ")]
+
+
+def test_unlike_headers_are_refused(spark, tmp_path):
+    for name, lines in (("a", "a,b\n1,2\n"), ("b", "b,a\n2,1\n")):
+        (tmp_path / f"{name}.csv").write_text(lines)
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv_typed(spark, str(tmp_path), {"a": "int"}).collect()
