@@ -18,7 +18,7 @@ from martflow.sources.readers import (
     read_partitioned,
     read_tree,
 )
-from martflow.sources.staging import stage_csv, stage_json_auto, stage_json_paths, templated
+from martflow.sources.staging import json_rejects, stage_csv, stage_json_auto, stage_json_paths, templated
 
 EVENT = "event_id bigint, ms bigint, user_id bigint, event_type string, value double"
 EVENT_SQL = "SELECT event_id, epoch_us(ts) // 1000 AS ms, user_id, event_type, value FROM events"
@@ -242,3 +242,22 @@ def file_inventory(spark, sf_dir):
         .groupBy(folder.alias("folder"))
         .agg((F.sum("length") > 0).alias("has_bytes"))
     )
+
+
+@query(
+    "stage_rejects",
+    """SELECT CASE event_id % 3 WHEN 0 THEN '{broken ' || event_id
+                   ELSE '{"event_id":"x' || event_id || '","page":"' || event_type || '"}' END AS line,
+              CASE event_id % 3 WHEN 0 THEN 'no object' ELSE 'event_id' END AS reason
+       FROM events WHERE event_id % 3 < 2""",
+)
+def stage_rejects(spark, sf_dir):
+    path = scratch_path(spark, "json")
+    page = F.concat(F.lit('","page":"'), "event_type", F.lit('"}'))
+    line = (
+        F.when(F.expr("event_id % 3 = 0"), F.concat(F.lit("{broken "), "event_id"))
+        .when(F.expr("event_id % 3 = 1"), F.concat(F.lit('{"event_id":"x'), "event_id", page))
+        .otherwise(F.concat(F.lit('{"EVENT_ID":"'), "event_id", page))
+    )
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    return json_rejects(spark, path, "event_id bigint, page string")

@@ -64,31 +64,55 @@ def stage_json_auto(
     path: str | list[str],
     schema: str | StructType,
     epoch_ms: Iterable[str] = (),
+    strict: bool = False,
 ) -> DataFrame:
     """JSON lines to columns of the same name, whatever the case of the keys.
 
-    Keys the schema does not name are ignored; columns no key fits are null.
+    Keys the schema does not name are ignored; columns no key fits are null. A
+    line that is no JSON object gives a row of nulls and a value that does not
+    fit its type a null: ``json_rejects`` finds them, and ``strict`` makes the
+    first one fail the job instead.
     """
+    lines, typed, reason = _auto_columns(spark, path, schema, epoch_ms)
+    if strict:
+        message = F.concat(reason, F.lit(": "), F.col("value"))
+        lines = lines.filter(F.when(reason.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True))
+    return lines.select(*[column.alias(name) for name, column in typed.items()])
+
+
+def json_rejects(
+    spark: SparkSession, path: str | list[str], schema: str | StructType, epoch_ms: Iterable[str] = ()
+) -> DataFrame:
+    """(``line``, ``reason``) for each line ``stage_json_auto`` cannot take
+    whole: "no object", or the columns whose values do not fit."""
+    lines, _, reason = _auto_columns(spark, path, schema, epoch_ms)
+    return lines.select(F.col("value").alias("line"), reason.alias("reason")).filter("reason IS NOT NULL")
+
+
+def _auto_columns(
+    spark: SparkSession, path: str | list[str], schema: str | StructType, epoch_ms: Iterable[str]
+) -> tuple[DataFrame, dict[str, Column], Column]:
+    """Parsed lines, the schema's columns over them, and why a line is rejected or null."""
     millis = {name.lower() for name in epoch_ms}
     # One parse per line, into its keys in lower case and their values. Where a
     # line holds a key in two spellings the first one counts.
     pairs = F.from_json("value", "map<string,string>")
-    lines = spark.read.text(path).select(pairs.alias("pairs"))
+    lines = spark.read.text(path).select("value", pairs.alias("pairs"))
     fields = lines.select(
-        F.transform(F.map_keys("pairs"), F.lower).alias("names"), F.map_values("pairs").alias("texts")
+        "value",
+        F.col("pairs").isNull().alias("broken"),
+        F.transform(F.map_keys("pairs"), F.lower).alias("names"),
+        F.map_values("pairs").alias("texts"),
     )
 
-    def value_of(name: str) -> Column:
-        return F.get("texts", (F.array_position("names", name) - 1).cast("int"))
-
-    return fields.select(
-        *[
-            _typed(
-                value_of(f.name.lower()), f.dataType.simpleString(), f.name.lower() in millis
-            ).alias(f.name)
-            for f in _target(schema)
-        ]
-    )
+    typed, misfits = {}, []
+    for f in _target(schema):
+        text = F.get("texts", (F.array_position("names", f.name.lower()) - 1).cast("int"))
+        typed[f.name] = _typed(text, f.dataType.simpleString(), f.name.lower() in millis)
+        misfits.append(F.when(text.isNotNull() & typed[f.name].isNull(), F.lit(f.name)))
+    names = F.concat_ws(",", *misfits)
+    reason = F.when(F.col("broken"), "no object").when(names != "", names)
+    return fields, typed, reason
 
 
 def stage_csv(

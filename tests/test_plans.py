@@ -288,6 +288,9 @@ def test_upsert_load_by_deliveries(spark, staged, songs, tmp_path, rows):
     assert rows(spark.table(tables["users"]).select("user_id", "level")) == [("8", "paid"), ("9", "free")]
     assert rows(spark.table(tables["songplays"]).select("songplay_id")) == [(1,), (2,), (3,)]
     assert [spark.table(tables[t]).count() for t in ("songs", "artists", "time")] == [3, 2, 3]
+    held = rows(spark.table(tables["songplays"]))
+    star_upsert.load(spark, first, songs, tables, str(tmp_path), "one")
+    assert rows(spark.table(tables["songplays"])) == held
 
 
 def test_warehouse_run_from_files(spark, log, songs, tmp_path, rows):
@@ -303,6 +306,7 @@ def test_warehouse_run_from_files(spark, log, songs, tmp_path, rows):
     assert rows(star["staging_events"].select("ts")) == rows(log.select(from_epoch_ms(F.col("ts"))))
     appended = star_warehouse.run(*args, truncate=False)
     assert appended["songs"].count() == 6 and appended["staging_events"].count() == 4
+    assert rows(appended["songplays"].select("songplay_id")) == [(0,), (1,), (2,), (3,)]
 
 
 def _immigration_files(spark, root, arrivals):

@@ -139,3 +139,14 @@ def test_unlike_headers_are_refused(spark, tmp_path):
         (tmp_path / f"{name}.csv").write_text(lines)
     with pytest.raises(Exception, match="header"):
         readers.read_csv_typed(spark, str(tmp_path), {"a": "int"}).collect()
+
+
+def test_json_rejects_and_strict_staging(spark, tmp_path, rows):
+    from martflow.sources.staging import json_rejects, stage_json_auto
+
+    (tmp_path / "a.json").write_text('{"ID": 1, "name": "a"}\n{broken\n{"id": "x", "name": null}\n')
+    args = (spark, str(tmp_path), "id int, name string")
+    assert rows(json_rejects(*args)) == [('{"id": "x", "name": null}', "id"), ("{broken", "no object")]
+    assert stage_json_auto(*args).where("id = 1 AND name = 'a'").count() == 1
+    with pytest.raises(Exception, match="no object|id"):
+        stage_json_auto(*args, strict=True).collect()
