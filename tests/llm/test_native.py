@@ -162,3 +162,25 @@ def test_licences_by_canonical_text(prepared, documents, capsys):
     out.explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_known_licence_in_several_spellings(prepared, documents):
+    rows, want = [], []
+    for name, body in sorted(licenses.KNOWN.items()):
+        plain = body.strip("\r\n")
+        heads = ["", "Copyright Jane Doe 2020\n", "(c) 2020 X\n\n", "© 2020 X\r\n", " * Copyright © 2019-2020, X. All rights reserved.\n"]
+        heads += ["The MIT License (MIT)\n\nCopyright 2020 X and others\n(C) Y\n", 'BSD 2-Clause "Simplified" License\n\n(c) Z 2020\n']
+        spelt = [h + plain for h in heads] + [plain.upper(), plain.replace("\n", "\r\n"), "\n".join("// " + x for x in plain.split("\n"))]
+        for text in spelt:
+            rows.append((len(rows), text))
+            want.append(name)
+    for text in (licenses.KNOWN["MIT"] + "and more", "The MIT License\n", "Copyright law\n" + licenses.KNOWN["ISC"]):
+        rows.append((len(rows), text))
+        want.append(None)
+    bsd = licenses.KNOWN["BSD-3-Clause"].replace("of the copyright holder", "of Acme, Inc.").replace(" * Neither", " 3. Neither")
+    gpl = licenses.KNOWN["GPL-2.0"].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301", "59 Temple Place, Suite 330, Boston, MA  02111-1307")
+    for text, name in ((bsd, "BSD-3-Clause"), (gpl, "GPL-2.0"), (gpl[: gpl.index("How to Apply")].strip(), "GPL-2.0")):
+        rows.append((len(rows), text))
+        want.append(name)
+    found = {r.doc_id: r.license for r in licenses.scan(documents(rows), licenses.known_digests(prepared)).collect()}
+    assert [(want[i], rows[i][1][:80]) for i in range(len(rows)) if found[i] != want[i]][:5] == []
