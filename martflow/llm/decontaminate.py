@@ -1,19 +1,21 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Fixed masks of 12 words look at 8 of them and ignore the others, so a window
-still hashes alike when words at ignored places are substituted. Windows of
-all documents and of all test items are hashed under each mask and joined on
+Fixed masks look at 5 of at most 6 words and ignore the other, so a window
+still hashes alike when the word at the ignored place is substituted. Windows
+of all documents and of all test items are hashed under each mask and joined on
 the hash. Every hit fixes an alignment; around it the words of both texts are
 compared, stretches that tolerate substitutions are found, and the share of
 the item's words they cover decides.
 
+The masks lose nothing: the running score of a stretch stays above zero, so
+its first five matches lie in its first six words and are those of a mask.
+
 A bit filter of fixed size, built from the items' hashes, keeps windows that
 match no item out of the shuffle; the join drops its false hits.
 
 Defined results: words are runs of letters, digits and ``_``, lower-cased.
 Items of fewer than ``SHORTEST`` words cannot be told from chance and match
-nothing; items of fewer than 12 words use masks of their own length. Null and
-empty texts match nothing. Null and repeated ids: rows are told apart by id
+nothing. Null and empty texts match nothing. Null and repeated ids: rows are told apart by id
 and text together, and equal rows are judged alike. Repeated items count once
 per id. Other columns are kept by ``without_leaks`` and not read.
 """
@@ -27,9 +29,9 @@ from pyspark.sql import functions as F
 from martflow.llm.common import WORD, WordHashes, by_ids, map_batches
 from martflow.session import materialize
 
-# Fixed masks: 1 is looked at, 0 ignored.
-SPAN = 12
-MASKS = ("110110110110", "101101101101", "011011011011", "111100001111")
+# Fixed masks: 1 is looked at, 0 ignored. With PENALTY 2 and STRETCH 5 every
+# stretch begins with one of them.
+MASKS = ("11111", "111101", "111011")
 SHORTEST = 5
 FILTER_BITS = 24
 COVERAGE = 0.5  # share of an item's words that must be matched
@@ -37,16 +39,6 @@ PENALTY = 2  # a substitution costs as much as so many matches earn
 STRETCH = 5  # matches a stretch needs at least
 
 
-def masks_of(span: int) -> tuple[str, ...]:
-    """The masks for windows of a span; short ones also ignore every third word from 8 on."""
-    if span == SPAN:
-        return MASKS
-    whole = ("1" * span,)
-    if span < 8:
-        return whole
-    return whole + tuple("".join("0" if i % 3 == k else "1" for i in range(span)) for k in range(3))
-
-
 def window_hashes(words: np.ndarray, mask: str, salt: int) -> np.ndarray:
     """A hash for each window, of the words the mask looks at."""
     n = len(words) - len(mask) + 1
@@ -63,42 +55,35 @@ def window_hashes(words: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return total ^ (total >> np.uint64(29))
 
 
-def _salted_masks(span: int) -> list[tuple[str, int]]:
-    return [(mask, 64 * span + i) for i, mask in enumerate(masks_of(span))]
-
-
 def _item_windows():
     hashes = WordHashes()
 
     def work(batch):
-        out = {"item": [], "h": [], "at": [], "span": []}
+        out = {"item": [], "h": [], "at": []}
         for item, text in zip(batch["item"], batch["text"], strict=True):
             words = hashes.of(WORD.findall((text or "").lower()))
             if len(words) < SHORTEST:
                 continue
-            span = min(SPAN, len(words))
-            for mask, salt in _salted_masks(span):
+            for salt, mask in enumerate(MASKS, 1):
                 found = window_hashes(words, mask, salt).astype(np.int64).tolist()
                 out["item"] += [item] * len(found)
                 out["h"] += found
                 out["at"] += range(len(found))
-                out["span"] += [span] * len(found)
         return out
 
     return work
 
 
-def _doc_windows(spans: list[int], bits: np.ndarray):
+def _doc_windows(bits: np.ndarray):
     def make():
         hashes = WordHashes()
-        masks = [m for span in spans for m in _salted_masks(span)]
         shift = np.uint64(64 - FILTER_BITS)
 
         def work(batch):
             out = {"uid": [], "h": [], "at": []}
             for uid, text in zip(batch["uid"], batch["text"], strict=True):
                 words = hashes.of(WORD.findall(text.lower()))
-                for mask, salt in masks:
+                for salt, mask in enumerate(MASKS, 1):
                     found = window_hashes(words, mask, salt)
                     slot = found >> shift
                     hit = np.flatnonzero(bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1))
@@ -185,12 +170,11 @@ def leaks(
     document and item with at least ``coverage`` of the item's words in the
     document. ``uid`` is a hash of id and text. Written."""
     tests = items.select(F.col(item_key).cast("long").alias("item"), F.col(item_text).alias("text"))
-    windows = materialize(map_batches(tests, _item_windows, "item long, h long, at int, span int"), "item-windows")
-    spans = sorted(r.span for r in windows.select("span").distinct().collect())
+    windows = materialize(map_batches(tests, _item_windows, "item long, h long, at int"), "item-windows")
     rows = docs.select(
         F.xxhash64(key, text).alias("uid"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")
     ).filter(F.col("text").isNotNull())
-    hits = map_batches(rows.select("uid", "text"), _doc_windows(spans, _filter_of(windows)), "uid long, h long, at int")
+    hits = map_batches(rows.select("uid", "text"), _doc_windows(_filter_of(windows)), "uid long, h long, at int")
     aligned = by_ids(hits, materialize(windows.select("h", "item", F.col("at").alias("item_at")), "windows"), "h", "inner")
     pairs = (
         aligned.select("uid", "item", (F.col("at") - F.col("item_at")).alias("shift"))

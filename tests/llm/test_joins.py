@@ -131,6 +131,35 @@ def test_leaks_tolerate_substitutions(prepared, documents):
     assert decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
+def test_leaks_equal_brute_force(prepared, documents):
+    """Short items with random substitutions, and passages of them, as if every alignment were tried."""
+    rng = random.Random(8)
+    items = [(n, [f"i{n}w{k}" for k in range(n)]) for n in (5, 6, 8, 10, 12, 15, 16, 17, 18, 20, 21, 24, 30, 59)]
+    rows = []
+    for n, words in items:
+        for lost in range(0, n // 2 + 1):
+            for _ in range(3):
+                gone = set(rng.sample(range(n), lost))
+                part = ["x" if i in gone else w for i, w in enumerate(words)]
+                rows.append((len(rows), " ".join(["before", *part, "after"])))
+        for size in {n // 2 - 1, -(-n // 2), n // 2 + 1}:
+            start = rng.randrange(n - size + 1)
+            passage = words[start : start + size]
+            rows.append((len(rows), " ".join(["before", *passage, "after"])))
+            rows.append((len(rows), " ".join([*passage[:5], "between", *passage[5:]])))
+    hashes = decontaminate.WordHashes()
+    want = set()
+    for name, text in rows:
+        doc = hashes.of(text.split())
+        for n, words in items:
+            matched = int(decontaminate.matched_words(doc, hashes.of(words), list(range(-n, len(doc)))).sum())
+            if matched >= max(5, -(-n // 2)):
+                want.add((name, n, matched))
+    tests = prepared.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.matched) for r in decontaminate.leaks(documents(rows), tests).collect()}
+    assert found == want
+
+
 def test_pipeline_stages(spark):
     out = corpus_pipeline.run(spark, SMALL)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
