@@ -130,8 +130,11 @@ def load_map(spark: SparkSession, path: str, version: int) -> DataFrame:
 
 
 def with_shard(rows: DataFrame, held: DataFrame) -> DataFrame:
-    """Rows with the shard the map gives them. The map is fixed in size."""
-    whole = held.filter(F.col("piece") == WHOLE).select("vslot", F.col("shard").alias("_whole"))
+    """Rows with the shard the map gives them. The map is fixed in size.
+
+    A piece that the map does not list goes where the slot's first entry goes.
+    """
+    whole = held.groupBy("vslot").agg(F.min_by("shard", "piece").alias("_whole"))
     parts = held.filter(F.col("piece") != WHOLE).select("vslot", "piece", F.col("shard").alias("_part"))
     return (
         rows.join(F.broadcast(whole), "vslot", "left")
@@ -155,14 +158,15 @@ def balanced_map(spark: SparkSession, rows: DataFrame, shards: int, slots: int =
 def sharded(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``vslot`` and ``shard``; shards hold nearly equal bytes.
 
-    Only ids and sizes are written for the sums; whole rows are not shuffled.
-    Columns of those names are replaced.
+    Rows are written once with their pieces, which depend on where they lie,
+    and read for the sums and for the result; they are not shuffled. Columns of
+    those names are replaced.
     """
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c not in ("vslot", "shard")]
     rows = sized(docs.select(F.struct(*kept).alias("_row"), F.col(key).alias("_id"), F.col(text).alias("_text")), "_id", "_text")
-    keys = materialize(rows.select("vslot", "piece", "size"), "slots")
-    _, _, path = balanced_map(spark, keys, shards)
+    rows = materialize(rows.select("_row", "vslot", "piece", "size"), "slots")
+    _, _, path = balanced_map(spark, rows, shards)
     return with_shard(rows, load_map(spark, path, 2)).select("_row.*", "vslot", "shard")
 
 

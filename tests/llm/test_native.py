@@ -71,6 +71,39 @@ def test_shards_of_awkward_rows(documents):
     assert sharding.shard_positions(documents([]), 4).count() == 0
 
 
+def test_long_documents_keep_a_shard_when_the_layout_changes(prepared, documents, monkeypatch):
+    """The second pass over the input finds its rows in other partitions than the first."""
+    rows = [(i, "long " * 5000 if i % 40 == 0 else f"short {i}") for i in range(400)]
+    before = {k: prepared.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    balanced = sharding.balanced_map
+
+    def then_dealt_anew(*args):
+        made = balanced(*args)
+        prepared.conf.set("spark.sql.shuffle.partitions", "3")
+        return made
+
+    monkeypatch.setattr(sharding, "balanced_map", then_dealt_anew)
+    try:
+        prepared.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        out = sharding.sharded(documents(rows).repartition("doc_id"), 4).collect()
+    finally:
+        for k, v in before.items():
+            prepared.conf.set(k, v)
+    assert sorted(r.doc_id for r in out) == list(range(400))
+    assert [r.doc_id for r in out if r.shard is None] == []
+    loads = Counter()
+    for r in out:
+        loads[r.shard] += len(r.text) + sharding.OVERHEAD
+    assert max(loads.values()) - min(loads.values()) <= 25_008
+
+
+def test_pieces_without_a_map_row_keep_a_shard(prepared):
+    held = prepared.createDataFrame([(1, 0, -1, 3), (1, 1, 2, 1), (1, 1, 5, 2)], sharding.MAP_SCHEMA)
+    rows = prepared.createDataFrame([(0, 7), (1, 2), (1, 5), (1, 9)], "vslot int, piece int")
+    found = {(r.vslot, r.piece): r.shard for r in sharding.with_shard(rows, held).collect()}
+    assert found == {(0, 7): 3, (1, 2): 1, (1, 5): 2, (1, 9): 1}
+
+
 def test_rebalancing_edits_the_map():
     sizes = {(s, 0): (100 + s % 7, 1) for s in range(200)} | {(5, 1): (5000, 50), (5, 2): (5000, 50)}
     first = sharding.first_map(4, 200)
