@@ -1,17 +1,20 @@
 """Personal data by pattern, and information-theoretic sanitisation around it.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers: the
-protected entities. Corpus co-occurrence then says how strongly a word near an
-entity reveals it: with df the documents of a word t, of an entity c and of
+protected entities. Corpus co-occurrence then says how strongly a word reveals
+an entity, wherever both stand in a document: with df the documents of a word t, of an entity c and of
 both, pointwise mutual information is PMI = log2(N df(t,c) / (df(t) df(c))) and
 the entity's information IC = log2(N / df(c)). PMI / IC is 1 for a word that
 never occurs without the entity and near 0 for one that tells nothing. Words
 above ``generalise`` are replaced by a placeholder, words above ``remove`` are
-deleted, wherever they stand near that entity.
+deleted, wherever they stand in a document that holds that entity.
 
-All counts are over all documents. Document frequencies of words are combined
-in each task; a filter of fixed size, made of the candidate words, keeps the
-other words out of the shuffle, and a join drops its false hits.
+All counts are over all documents. Only entities of at least ``SUPPORT``
+documents can have such words. Words of their documents are counted first: with
+df(t,c) <= df(c), a word of more than N^(1-g) df(c)^g documents stays below the
+share g, and one of fewer than ``SUPPORT`` is no candidate. Words that pass, by
+a filter of fixed size, are then counted with each entity. Counts are combined
+in each task, and joins drop the filters' false hits.
 
 Defined results: null text counts as empty. Ids are carried, never compared.
 Rows that repeat are counted as documents of their own. An entity in every
@@ -29,12 +32,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import join_per_key, map_batches
+from martflow.llm.common import by_ids, join_per_key, map_batches
 from martflow.session import materialize
 
 KINDS = ("email", "ip", "card", "phone", "term")
-NEAR_WORDS = 8  # words on either side of an entity
-NEAR_CHARS = 400  # characters on either side that those words must lie in
 SUPPORT = 3  # documents a word and an entity must share
 GENERALISE, REMOVE = 0.8, 0.95
 FILTER_BITS = 18
@@ -48,9 +49,9 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 NAME = re.compile(r"[^\W\d_]+")
 
 MARKS = (
-    "id long, hash long, base array<struct<start:long,rank:int,end:long>>, "
-    "near array<struct<term:string,entity:long,start:long,end:long>>"
+    "id long, hash long, base array<struct<start:long,rank:int,end:long>>, entities array<long>"
 )
+TERMS = "array<struct<start:long,rank:int,end:long,disclosure:double>>"
 
 
 def luhn(digits: str) -> bool:
@@ -102,59 +103,48 @@ def _key(kind: int, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{KINDS[kind]} {plain}") - (1 << 63)
 
 
-def _words_near(text: str, start: int, end: int, spans: list) -> list[tuple[str, int, int]]:
-    """Whole words beside a span that touch no span."""
-    low, high = max(0, start - NEAR_CHARS), min(len(text), end + NEAR_CHARS)
-    left = [m.span() for m in NAME.finditer(text, low, start)]
-    right = [m.span() for m in NAME.finditer(text, end, high)]
-    beside = left[-NEAR_WORDS:] + right[:NEAR_WORDS]
-    found = []
-    for s, e in beside:
-        cut = (s == low and s and NAME.match(text[s - 1])) or (e == high and e < len(text) and NAME.match(text[e]))
-        if not cut and not any(s < b and a < e for a, _, b in spans):
-            found.append((text[s:e].lower(), s, e))
+def words_outside(text: str, spans: list) -> list[tuple[str, int, int]]:
+    """Words that touch no span; ``spans`` rise by start."""
+    found, i, reach = [], 0, 0
+    for m in NAME.finditer(text):
+        s, e = m.span()
+        while i < len(spans) and spans[i][0] < e:
+            reach = max(reach, spans[i][2])
+            i += 1
+        if reach <= s:
+            found.append((m[0].lower(), s, e))
     return found
 
 
 def _marker():
     def work(batch):
-        out = {"id": batch["id"], "hash": batch["hash"], "base": [], "near": []}
+        out = {"id": batch["id"], "hash": batch["hash"], "base": [], "entities": []}
         for text in batch["text"]:
-            text = text or ""
-            spans = base_spans(text)
+            spans = base_spans(text) if text else []
             out["base"].append([{"start": s, "rank": k, "end": e} for s, k, e in spans])
-            near = []
-            for i, (s, k, e) in enumerate(spans):
-                entity = _key(k, text[s:e])
-                close = [x for x in spans[max(0, i - 20) : i + 20] if x[0] < e + NEAR_CHARS and x[2] > s - NEAR_CHARS]
-                near += [
-                    {"term": t, "entity": entity, "start": a, "end": b}
-                    for t, a, b in _words_near(text, s, e, close)
-                ]
-            out["near"].append(near)
+            out["entities"].append(sorted({_key(k, text[s:e]) for s, k, e in spans}))
         return out
 
     return work
 
 
-def _frequency_counter(wanted: np.ndarray):
-    mask = len(wanted) - 1
+def _combined(keys_of, columns):
+    """Counts of the keys each row gives, added up in the task."""
 
     def make():
         counts: Counter = Counter()
 
         def sent():
-            columns = {"term": list(counts), "n": list(counts.values())}
+            made = {c: list(v) for c, v in zip([*columns, "n"], zip(*((*k, n) for k, n in counts.items())))}
             counts.clear()
-            return columns
+            return made or {c: [] for c in [*columns, "n"]}
 
         def work(batch):
-            for text in batch["text"]:
-                if text:
-                    words = set(NAME.findall(text.lower()))
-                    counts.update(w for w in words if wanted[xxhash.xxh64_intdigest(w) & mask])
-                if len(counts) > FLUSH:
-                    yield sent()
+            for row in zip(*batch.values(), strict=True):
+                for key in keys_of(*row):
+                    counts[key] += 1
+                    if len(counts) > FLUSH:
+                        yield sent()
 
         work.last = sent
         return work
@@ -162,34 +152,100 @@ def _frequency_counter(wanted: np.ndarray):
     return make
 
 
+def _passes(wanted: np.ndarray, word: str) -> bool:
+    return bool(wanted[xxhash.xxh64_intdigest(word) & len(wanted) - 1])
+
+
+def _frequency_counter(wanted: np.ndarray):
+    return _combined(lambda text: ((w,) for w in set(NAME.findall((text or "").lower())) if _passes(wanted, w)), ["term"])
+
+
+def _pair_counter(wanted: np.ndarray):
+    def pairs(text, entities):
+        words = {w for w, _, _ in words_outside(text, base_spans(text))}
+        return ((entity, w) for w in words if _passes(wanted, w) for entity in entities)
+
+    return _combined(pairs, ["entity", "term"])
+
+
+def _word_slots():
+    mask = (1 << FILTER_BITS) - 1
+
+    def work(batch):
+        return {"slot": list({xxhash.xxh64_intdigest(w) & mask for text in batch["text"] for w in NAME.findall(text.lower())})}
+
+    return work
+
+
+def _filter_of(texts: DataFrame) -> np.ndarray:
+    """Which hash slots the words of ``text`` have; at most 2**FILTER_BITS numbers are collected."""
+    wanted = np.zeros(1 << FILTER_BITS, dtype=bool)
+    wanted[map_batches(texts, _word_slots, "slot int").distinct().toArrow()["slot"].to_numpy()] = True
+    return wanted
+
+
+def _term_marker():
+    def work(batch):
+        out = {"hash": batch["hash"], "terms": []}
+        for text, terms in zip(batch["text"], batch["of"], strict=True):
+            share: dict = {}
+            for t in terms:
+                share[t["term"]] = max(t["disclosure"], share.get(t["term"], 0.0))
+            rank = KINDS.index("term")
+            out["terms"].append(
+                [
+                    {"start": s, "rank": rank, "end": e, "disclosure": share[w]}
+                    for w, s, e in words_outside(text, base_spans(text))
+                    if w in share
+                ]
+            )
+        return out
+
+    return work
+
+
 def marks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: its id, a hash of id and text, base spans and words near them. Written."""
+    """Per row: its id, a hash of id and text, base spans and distinct entities. Written."""
     rows = docs.select(
         F.col(key).cast("long").alias("id"), F.xxhash64(key, text).alias("hash"), F.col(text).alias("text")
     )
-    found = map_batches(rows, _marker, MARKS)
-    return materialize(found.withColumn("row", F.monotonically_increasing_id()), "pii-marks")
+    return materialize(map_batches(rows, _marker, MARKS), "pii-marks")
+
+
+def supported(marked: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
+    """(entity, with_entity) of entities with enough documents, and (hash,
+    entities) of the texts that hold them. Written."""
+    single = marked.select("hash", F.explode("entities").alias("entity"))
+    entities = single.groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity")).filter(F.col("with_entity") >= support)
+    entities = materialize(entities, "pii-entities")
+    held = join_per_key(single, entities, ["entity"], "with_entity", single.count()).filter(F.col("with_entity").isNotNull())
+    return entities, materialize(held.groupBy("hash").agg(F.collect_set("entity").alias("entities")), "pii-held")
 
 
 def disclosing_terms(
-    docs: DataFrame, marked: DataFrame, text: str = "text", support: int = SUPPORT, threshold: float = GENERALISE
+    docs: DataFrame,
+    entities: DataFrame,
+    held: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    support: int = SUPPORT,
+    threshold: float = GENERALISE,
 ) -> DataFrame:
     """(entity, term, shared, disclosure) for words that reveal an entity. Written."""
-    near = marked.select("row", F.explode("near").alias("_n")).select("row", "_n.term", "_n.entity")
-    both = near.distinct()
-    pairs = both.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= support)
-    pairs = materialize(pairs, "pii-pairs")
-    entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-
-    # At most 2**FILTER_BITS numbers, however many words there are.
-    slots = pairs.select("term").distinct()
-    wanted = np.zeros(1 << FILTER_BITS, dtype=bool)
-    hashed = map_batches(slots, _slot_of, "slot int").distinct()
-    wanted[[r.slot for r in hashed.collect()]] = True
-    counted = map_batches(docs.select(F.col(text).alias("text")), _frequency_counter(wanted), "term string, n long")
-    words = counted.groupBy("term").agg(F.sum("n").alias("with_term"))
-
-    total = F.lit(float(max(1, docs.count())))
+    rows = docs.select(F.xxhash64(key, text).alias("hash"), F.col(text).alias("text"))
+    tagged = by_ids(rows, held, "hash", "inner")
+    counted = map_batches(rows.select("text"), _frequency_counter(_filter_of(tagged.select("text"))), "term string, n long")
+    n = max(1, docs.count())
+    most = entities.agg(F.max("with_entity")).first()[0] or 0
+    # Rounding must not lose a word at the bound.
+    limit = 1.000001 * n ** (1 - threshold) * most**threshold
+    words = counted.groupBy("term").agg(F.sum("n").alias("with_term")).filter(F.col("with_term").between(support, limit))
+    words = materialize(words, "pii-words")
+    wanted = _filter_of(words.select(F.col("term").alias("text")))
+    pairs = map_batches(tagged.select("text", "entities"), _pair_counter(wanted), "entity long, term string, n long")
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("shared")).filter(F.col("shared") >= support)
+
+    total = F.lit(float(n))
     # Both joined tables have one row per key, and so has the result.
     scored = pairs.join(words, "term").join(entities, "entity")
     pmi = F.log2(total * F.col("shared") / (F.col("with_term") * F.col("with_entity")))
@@ -200,11 +256,6 @@ def disclosing_terms(
     )
 
 
-def _slot_of():
-    mask = (1 << FILTER_BITS) - 1
-    return lambda batch: {"slot": [xxhash.xxh64_intdigest(t) & mask for t in batch["term"]]}
-
-
 def findings(
     docs: DataFrame,
     key: str = "doc_id",
@@ -215,30 +266,25 @@ def findings(
     """Per row: ``id``, ``hash`` and ``spans``, an array of (start, rank, end,
     disclosure) by start and kind; ``disclosure`` is null for base spans."""
     marked = marks(docs, key, text)
-    terms = disclosing_terms(docs, marked, text, support, generalise)
-    near = marked.select("row", F.explode("near").alias("_n")).select("row", "_n.*")
-    near = near.withColumn("_pair", F.xxhash64("entity", "term"))
-    terms = terms.withColumn("_pair", F.xxhash64("entity", "term")).withColumnsRenamed({"entity": "_e", "term": "_t"})
-    terms = terms.groupBy("_pair").agg(F.sum("shared").alias("shared"), F.collect_list(F.struct("_e", "_t", "disclosure")).alias("_of"))
-    total = near.count()
-    hits = (
-        join_per_key(near, terms, ["_pair"], "shared", total)
-        .filter(F.col("_of").isNotNull())
-        .select("row", "start", "end", "entity", "term", F.explode("_of").alias("_o"))
-        .filter((F.col("_o._e") == F.col("entity")) & (F.col("_o._t") == F.col("term")))
-        .groupBy("row", "start", "end")
-        .agg(F.max("_o.disclosure").alias("disclosure"))
-    )
-    rank = F.lit(KINDS.index("term"))
-    of_row = hits.groupBy("row").agg(
-        F.collect_list(F.struct("start", rank.alias("rank"), "end", "disclosure")).alias("_terms")
-    )
+    entities, held = supported(marked, support)
+    if held.isEmpty():  # no entity of enough documents, so no word reveals one
+        of_text = marked.select("hash").limit(0).withColumn("_terms", F.lit(None).cast(TERMS))
+    else:
+        terms = disclosing_terms(docs, entities, held, key, text, support, generalise)
+        revealing = terms.groupBy("entity").agg(F.collect_list(F.struct("term", "disclosure")).alias("_of"))
+        revealing = materialize(revealing.join(entities, "entity"), "pii-revealing")
+        single = held.select("hash", F.explode("entities").alias("entity"))
+        of_text = join_per_key(single, revealing, ["entity"], "with_entity", single.count()).filter(F.col("_of").isNotNull())
+        of_text = materialize(of_text.groupBy("hash").agg(F.flatten(F.collect_list("_of")).alias("of")), "pii-texts")
+        rows = docs.select(F.xxhash64(key, text).alias("hash"), F.col(text).alias("text"))
+        found = map_batches(by_ids(rows, of_text, "hash", "inner"), _term_marker, f"hash long, terms {TERMS}")
+        of_text = materialize(found.groupBy("hash").agg(F.first("terms").alias("_terms")), "pii-terms-at")
     none = F.lit(None).cast("double")
     base = F.transform(
         "base", lambda s: F.struct(s.start.alias("start"), s.rank.alias("rank"), s.end.alias("end"), none.alias("disclosure"))
     )
-    empty = F.array().cast("array<struct<start:long,rank:int,end:long,disclosure:double>>")
-    return marked.join(of_row, "row", "left").select(
+    empty = F.array().cast(TERMS)
+    return by_ids(marked, of_text, "hash", "left").select(
         "id", "hash", F.array_sort(F.concat(base, F.coalesce("_terms", empty))).alias("spans")
     )
 

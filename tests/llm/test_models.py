@@ -2,6 +2,7 @@
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -102,6 +103,37 @@ def test_terms_that_reveal(documents):
     assert pii.findings(documents([])).count() == 0
 
 
+def test_terms_far_from_the_entity(documents):
+    """A name in the header reveals the address in the footer; counts are those by hand."""
+    rng = np.random.default_rng(5)
+    fill = [f"fill{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
+    rows = []
+    for i in range(90):
+        body = " ".join(rng.choice(fill, 120))
+        head, foot = ("Smithers", "ann@example.com") if i < 6 else ("Burns", "bob@example.com") if i < 13 else ("Nobody", "end")
+        rows.append((i, f"{head} {body} {'agent ' if i in (0, 1, 2, 7, 40) else ''}{body} {foot}"))
+    rows += [rows[0], (0, rows[1][1])]
+    df = Counter(w for _, text in rows for w in {w for w, _, _ in pii.words_outside(text, pii.base_spans(text))})
+    whole = Counter(w for _, text in rows for w in set(pii.NAME.findall(text.lower())))
+    want = {}
+    for foot in ("ann@example.com", "bob@example.com"):
+        texts = [text for _, text in rows if foot in text]
+        both = Counter(w for text in texts for w in {w for w, _, _ in pii.words_outside(text, pii.base_spans(text))})
+        for w, shared in both.items():
+            pmi = np.log2(len(rows) * shared / (whole[w] * len(texts)))
+            if shared >= pii.SUPPORT and pmi / np.log2(len(rows) / len(texts)) >= pii.GENERALISE:
+                want[foot, w] = shared
+    assert ("ann@example.com", "smithers") in want and ("bob@example.com", "burns") in want and df["smithers"] == 8
+    for r in pii.findings(documents(rows)).collect():
+        texts = [text for name, text in rows if name == r.id]
+        marked = [{(s.start, s.end) for s in r.spans if s.disclosure is not None}]
+        expected = [
+            {(s, e) for w, s, e in pii.words_outside(text, pii.base_spans(text)) if any(f in text and (f, w) in want for f, _ in want)}
+            for text in texts
+        ]
+        assert marked[0] in expected
+
+
 LONG = "Some long paragraph of text, with many words in it, that goes on and on. It ends here."
 
 
