@@ -442,11 +442,14 @@ def jaccard_components(
         "n",
         nodes.count(),
     )
-    equal = equal.filter("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v"))
+    equal = equal.filter("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v"), "of")
     equal = materialize(equal.distinct(), "equal-links")
-    members = sets.filter(F.col("id").isNotNull()).select(F.explode("keys").alias("key"), "id").distinct()
-    members = members.join(equal.select(F.col("u").alias("id")).distinct(), "id", "left_anti")
-    members = materialize(members, "members")
+    # An id may have other sets besides the one it follows in; those stay.
+    members = sets.filter(F.col("id").isNotNull())
+    members = members.select("id", F.concat("digest", F.col("size").cast("string").cast("binary")).alias("of"), "keys")
+    members = members.join(equal.select(F.col("u").alias("id"), "of"), ["id", "of"], "left_anti")
+    members = materialize(members.select(F.explode("keys").alias("key"), "id").distinct(), "members")
+    equal = equal.select("u", "v")
     firsts = members.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = materialize(firsts.filter("n > 1"), "firsts")
     tiles = join_per_key(members, firsts, ["key"], "n", members.count()).filter(F.col("first").isNotNull())

@@ -99,6 +99,14 @@ def test_levels_hold_every_similar_pair():
                         assert keys[0] & keys[1]
 
 
+def test_follower_of_one_text_still_links_by_another(documents):
+    one, other = (" ".join(f"{x}{i}" for i in range(100)) for x in "ab")
+    rows = [(1, one), (5, one), (5, other), (7, other + " more")]
+    found = ngram_join.jaccard_components(documents(rows)).collect()
+    assert sorted(map(tuple, found), key=str) == join_by_hand(rows, 4, 85, 100)
+    assert {r.component_id for r in found} == {1}
+
+
 def test_near_copies_go(documents):
     text = " ".join(f"w{i}" for i in range(100))
     docs = documents([(1, text), (2, text + " more"), (3, "another text of its own"), (4, None), (None, text)])
