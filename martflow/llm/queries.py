@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import decontaminate, exact_dedup, html_text, language, licenses, mixing, ngram_join, pii, sharding, toxicity
+from martflow.llm import decontaminate, exact_dedup, html_text, language, licenses, mixing, ngram_join, pii, sharding, toxicity, url_filters
 from martflow.llm.common import held_out, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +150,51 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its canonical digest and the known licence it is."""
     return licenses.scan(documents(spark, sf_dir), licenses.known_digests(spark))
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _url_sql() -> str:
+    """Rules in the order in which they decide, as one CASE each for rule, pattern and verdict."""
+
+    def first(rules, test):
+        rules = sorted(rules, key=lambda r: (-len(r.pattern), r.verdict != "block", r.pattern))
+        return "CASE " + " ".join(f"WHEN {test(r)} THEN {_sql_text(r.pattern)}" for r in rules) + " END"
+
+    def is_listed(r):
+        host, path = r.pattern.split("/", 1)
+        return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}')"
+
+    def is_pattern(r):
+        return f"regexp_matches(seen, {_sql_text(url_filters.regex_of(r))})"
+
+    verdicts = " ".join(f"WHEN {_sql_text(r.pattern)} THEN '{r.verdict}'" for r in url_filters.RULES)
+    folded = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+    WITH t AS (
+      SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+      FROM pages
+    ), parts AS (
+      SELECT page_id, {folded.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+             substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) AS behind
+      FROM t
+    ), judged AS (
+      SELECT page_id, host, regexp_extract(behind, '^[^?#]*') AS path, {folded.format("host || behind")} AS seen
+      FROM parts
+    ), named AS (
+      SELECT page_id, host, path, {first(url_filters.LISTED, is_listed)} AS rule,
+             CASE WHEN seen <> '' THEN {first(url_filters.PATTERNS, is_pattern)} END AS fits
+      FROM judged
+    )
+    SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN fits END AS pattern,
+           coalesce(CASE coalesce(rule, fits) {verdicts} END, 'allow') AS verdict
+    FROM named
+    """
+
+
+@query("op12_url_filters", _url_sql())
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    return url_filters.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
