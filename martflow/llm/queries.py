@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import decontaminate, exact_dedup, html_text, language, licenses, mixing, ngram_join, pii, sharding, toxicity, url_filters
+from martflow.llm import conversations, decontaminate, exact_dedup, html_text, language, licenses, mixing, ngram_join, pii, sharding, toxicity, url_filters
 from martflow.llm.common import held_out, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,3 +198,10 @@ def _url_sql() -> str:
 def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's url."""
     return url_filters.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after some damage."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.repairs(conversations.damage(rows), every=rows)
