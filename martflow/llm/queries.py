@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import conversations, decontaminate, exact_dedup, html_text, language, licenses, mixing, ngram_join, pii, sharding, toxicity, url_filters
+from martflow.llm import conversations, decontaminate, exact_dedup, hard_negatives, html_text, language, licenses, mixing, ngram_join, pii, sharding, toxicity, url_filters
 from martflow.llm.common import held_out, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -205,3 +205,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every conversation, after some damage."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return conversations.repairs(conversations.damage(rows), every=rows)
+
+
+@query("op13_hard_negatives")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; the label of every seventh is moved on by one."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(hard_negatives.quantised(rows.withColumn("label", moved)), "vec_id % 100 = 0")
