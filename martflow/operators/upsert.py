@@ -14,19 +14,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martflow.operators.aggregates import one_row_per_key
+from martflow.operators.pruning import held_rows
+from martflow.session import materialize
 
 
 def absent_rows(
-    target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str]
+    target: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    prune: bool = False,
 ) -> DataFrame:
     """Incoming rows to append: the first of each key the target lacks.
 
     Only the target's key columns are read. Null keys equal null keys.
+    ``prune`` is for targets much larger than the delivery: the reduced
+    delivery is written, and of the target only rows that may have its keys
+    leave the scan; the first of ``keys`` should be the one the target's files
+    are ordered by.
     """
-    first = one_row_per_key(incoming, keys, order_by, latest=False).alias("n")
-    known = target.select(*keys).alias("t")
-    matched = [F.col(f"t.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
-    return first.join(known, matched, "left_anti").select(*target.columns)
+    first = one_row_per_key(incoming, keys, order_by, latest=False)
+    known = target.select(*keys)
+    if prune:
+        first = materialize(first, "delivery")
+        known = held_rows(known, first, keys)
+    return without_keys(first, known, keys).select(*target.columns)
+
+
+def without_keys(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose key is not among the ``known``; null keys equal null keys."""
+    matched = [F.col(f"n.`{k}`").eqNullSafe(F.col(f"t.`{k}`")) for k in keys]
+    return rows.alias("n").join(known.alias("t"), matched, "left_anti")
 
 
 def upsert_do_nothing(

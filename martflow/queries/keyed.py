@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martflow.functions.keys import dense_ids, md5_key, unique_ids
 from martflow.operators.aggregates import one_row_per_key
 from martflow.operators.upsert import (
+    absent_rows,
     reduce_updates,
     upsert_columns,
     upsert_do_nothing,
@@ -75,6 +76,30 @@ def upsert_do_nothing_query(spark, sf_dir):
     return upsert_do_nothing(target, later, ["user_id"], ARRIVAL)
 
 
+LINE_KEY = ["l_shipdate", "l_orderkey", "l_linenumber"]
+
+
+@query(
+    "upsert_pruned_target",
+    """SELECT l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
+       WHERE l_shipdate BETWEEN TIMESTAMP '1998-01-01' AND TIMESTAMP '1998-01-07'
+          OR l_shipdate BETWEEN TIMESTAMP '1995-06-01' AND TIMESTAMP '1995-06-03'
+       QUALIFY (l_shipdate, l_orderkey, l_linenumber) NOT IN
+                 (SELECT (l_shipdate, l_orderkey, l_linenumber) FROM lineitem WHERE l_linenumber <> 3)
+           AND row_number() OVER (PARTITION BY l_shipdate, l_orderkey, l_linenumber ORDER BY l_partkey, l_quantity) = 1""",
+)
+def upsert_pruned_target(spark, sf_dir):
+    """A week's lines and some late ones, of which the table of all years holds most already."""
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_partkey", "l_quantity")
+    path = scratch_path(spark, "lines-by-day")
+    lines.where("l_linenumber <> 3").repartitionByRange(16, *LINE_KEY).sortWithinPartitions(*LINE_KEY).write.parquet(path)
+    delivery = lines.where(
+        "l_shipdate BETWEEN TIMESTAMP_NTZ '1998-01-01' AND TIMESTAMP_NTZ '1998-01-07' "
+        "OR l_shipdate BETWEEN TIMESTAMP_NTZ '1995-06-01' AND TIMESTAMP_NTZ '1995-06-03'"
+    )
+    return absent_rows(spark.read.parquet(path), delivery, LINE_KEY, ["l_partkey"], prune=True)
+
+
 @query(
     "upsert_update_columns",
     """SELECT user_id, arg_min(value, (ts, event_id)) AS value,

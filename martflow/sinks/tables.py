@@ -62,6 +62,25 @@ def replace_table(df: DataFrame, name: str, location: str) -> None:
         spark.catalog.createTable(name, path=location, source="parquet")
 
 
+LAST_NUMBER = "martflow.last_number"
+
+
+def last_number(spark: SparkSession, table: str, column: str) -> int:
+    """The last number given to a row of a table, 0 if none was.
+
+    Kept as a property of the table; a table without it is looked through once.
+    """
+    kept = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(LAST_NUMBER)
+    if kept is not None:
+        return int(kept)
+    return spark.table(table).agg(F.coalesce(F.max(column), F.lit(0))).first()[0]
+
+
+def keep_number(spark: SparkSession, table: str, number: int) -> None:
+    """Remember the last number given, before the rows that have it are written."""
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LAST_NUMBER}' = '{number}')")
+
+
 def write_distributed(
     df: DataFrame,
     table: str,

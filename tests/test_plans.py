@@ -277,20 +277,25 @@ def test_demographics(spark):
     assert (row["white"], row["asian"], row["hispanic_latino"]) == (23.0, 2.0, None)
 
 
-def test_upsert_load_by_deliveries(spark, staged, songs, tmp_path, rows):
+@pytest.mark.parametrize("prune_from", [star_upsert.PRUNE_FROM, 0])
+def test_upsert_load_by_deliveries(spark, prune_from, staged, songs, tmp_path, rows):
     suffix = uuid.uuid4().hex
     tables = {name: f"{name}_{suffix}" for name in STAR}
     reset_tables(spark, {tables[name]: ddl for name, ddl in STAR.items()}, str(tmp_path))
     first = staged.where("itemInSession = 0")
-    star_upsert.load(spark, first, songs.where("song_id != 'S3'"), tables, str(tmp_path), "one")
+    star_upsert.load(spark, first, songs.where("song_id != 'S3'"), tables, str(tmp_path), "one", prune_from=prune_from)
     assert rows(spark.table(tables["users"]).select("user_id", "level")) == [("8", "free"), ("9", "free")]
-    star_upsert.load(spark, staged.where("itemInSession = 1"), songs, tables, str(tmp_path), "two")
+    star_upsert.load(spark, staged.where("itemInSession = 1"), songs, tables, str(tmp_path), "two", prune_from=prune_from)
     assert rows(spark.table(tables["users"]).select("user_id", "level")) == [("8", "paid"), ("9", "free")]
     assert rows(spark.table(tables["songplays"]).select("songplay_id")) == [(1,), (2,), (3,)]
     assert [spark.table(tables[t]).count() for t in ("songs", "artists", "time")] == [3, 2, 3]
     held = rows(spark.table(tables["songplays"]))
-    star_upsert.load(spark, first, songs, tables, str(tmp_path), "one")
+    star_upsert.load(spark, first, songs, tables, str(tmp_path), "one", prune_from=prune_from)
     assert rows(spark.table(tables["songplays"])) == held
+    both = staged.where("itemInSession < 2").unionByName(first.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")))
+    star_upsert.load(spark, both, songs, tables, str(tmp_path), "three", prune_from=prune_from)
+    numbers = [r.songplay_id for r in spark.table(tables["songplays"]).collect()]
+    assert sorted(numbers) == list(range(1, len(held) + first.where("page = 'NextSong'").count() + 1))
 
 
 def test_warehouse_run_from_files(spark, log, songs, tmp_path, rows):

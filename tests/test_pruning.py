@@ -1,0 +1,121 @@
+"""Pruned targets: no row that matters is lost, and few others are read."""
+
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from martflow.operators import pruning
+from martflow.operators.pruning import held_rows, key_ranges
+from martflow.operators.upsert import absent_rows
+from martflow.sinks.tables import create_table, drop_table, keep_number, last_number
+
+SCHEMA = "day date, user bigint, name string, amount decimal(9,2), score double, at timestamp_ntz, seq int"
+KEYS = ["day", "user", "name", "amount", "score", "at"]
+START = dt.date(2024, 1, 1)
+
+
+def some_rows(rng, n, first, days):
+    def maybe(value):
+        return None if rng.random() < 0.05 else value
+
+    rows = []
+    for i in range(n):
+        day = START + dt.timedelta(days=first + rng.randrange(days))
+        rows.append((
+            maybe(day), maybe(rng.randrange(-5, 20)), maybe(rng.choice(["", "a", "ñ", "日本", "b" * 40])),
+            maybe(Decimal(rng.randrange(-3, 3)) / 4), maybe(rng.choice([0.0, -0.0, 1.5, float("nan"), float("inf")])),
+            maybe(dt.datetime(2024, 3, 1 + rng.randrange(3), 2)), i,
+        ))
+    return rows
+
+
+def plain(row):
+    return tuple("nan" if isinstance(v, float) and v != v else v + 0.0 if isinstance(v, float) else v for v in row)
+
+
+def got(df):
+    return sorted((plain(r) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("keys", [KEYS, ["user", "name"], ["score"], ["at", "amount"], ["day"]])
+def test_pruning_changes_no_result(spark, seed, keys):
+    rng = random.Random(seed)
+    target = spark.createDataFrame(some_rows(rng, 300, 0, 60), SCHEMA)
+    incoming = spark.createDataFrame(some_rows(rng, 40, 50, 20) + some_rows(rng, 10, 0, 2), SCHEMA)
+    want = got(absent_rows(target, incoming, keys, ["seq"]))
+    assert got(absent_rows(target, incoming, keys, ["seq"], prune=True)) == want
+
+
+def test_nothing_held_by_nothing(spark):
+    target = spark.createDataFrame(some_rows(random.Random(1), 20, 0, 9), SCHEMA)
+    none = target.limit(0)
+    assert held_rows(target, none, KEYS).count() == 0
+    assert held_rows(none, target, KEYS).count() == 0
+    assert got(absent_rows(none, target, ["seq"], [], prune=True)) == got(target)
+
+
+def test_keys_of_other_types_are_not_used(spark):
+    target = spark.createDataFrame([("01",), ("2",), (None,)], "k string")
+    delivery = spark.createDataFrame([(1,)], "k int")
+    assert held_rows(target, delivery, ["k"]).count() == 3
+
+
+def test_many_keys_go_without_bits(spark, monkeypatch):
+    monkeypatch.setattr(pruning, "MAX_WORDS", 64)
+    target, delivery = spark.range(5000).toDF("k"), spark.range(1000, 2000).toDF("k")
+    assert held_rows(target, delivery, ["k"]).count() == 1000
+    spread = spark.range(0, 5000, 5).toDF("k")
+    assert held_rows(target, spread, ["k"]).count() > 4900
+
+
+def test_long_texts_stay_out_of_the_plan(spark):
+    long = spark.createDataFrame([("x" * 5000,), ("y",)], "k string")
+    held = held_rows(long, long.where("k <> 'y'"), ["k"])
+    assert "x" * 100 not in held._jdf.queryExecution().toString()
+    assert held.count() == 1
+
+
+def test_what_leaves_the_scan_grows_with_the_delivery_only(spark, tmp_path, capsys):
+    def target(n):
+        path = str(tmp_path / f"t{n}")
+        rows = spark.range(n).select(F.col("id").alias("at"), (F.col("id") * 7919 % 1000).alias("user"))
+        rows.repartitionByRange(8, "at").sortWithinPartitions("at").write.parquet(path)
+        return spark.read.parquet(path)
+
+    spots = spark.range(40_000, 40_200).unionAll(spark.range(100, 120)).select(
+        F.col("id").alias("at"), (F.col("id") * 7919 % 1000).alias("user")
+    )
+    for n in (50_000, 500_000):
+        held = held_rows(target(n), spots, ["at", "user"])
+        assert 220 <= held.count() < 300
+        capsys.readouterr()
+        held.explain(mode="formatted")
+        plan = capsys.readouterr().out
+        assert "GreaterThanOrEqual(at,40000)" in plan and "LessThanOrEqual(at,119)" in plan
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    # Without the ranges the bits alone do it.
+    bits = held_rows(target(20_000).select("user", "at"), spots.where("at = 100 OR at = 40199"), ["user"])
+    assert bits.count() < 200
+
+
+def test_ranges_leave_gaps_out(spark):
+    delivery = spark.createDataFrame([(i,) for i in (1, 2, 1000, 1001)], "k long")
+    passed, count = key_ranges(delivery, ["k"])
+    found = spark.range(2000).toDF("k").where(passed)
+    assert count == 4 and [r.k for r in found.orderBy("k").collect()] == [1, 2, 1000, 1001]
+
+
+def test_numbers_go_on_from_the_mark(spark, tmp_path):
+    create_table(spark, "numbered", "id bigint", str(tmp_path / "numbered"))
+    try:
+        assert last_number(spark, "numbered", "id") == 0
+        spark.range(1, 5).write.insertInto("numbered")
+        assert last_number(spark, "numbered", "id") == 4
+        keep_number(spark, "numbered", 9)
+        assert last_number(spark, "numbered", "id") == 9
+    finally:
+        drop_table(spark, "numbered")
