@@ -15,6 +15,7 @@ from martflow.plans import (
     immigration_mart,
     load_run,
     query_first,
+    star_history,
     star_lake,
     star_orchestrated,
     star_upsert,
@@ -143,6 +144,44 @@ def star_upsert_artists(spark, sf_dir):
     return _upserted_catalogue(spark, sf_dir)[1]
 
 
+# Users with history
+
+USER_VERSIONS_SQL = """
+seen AS (
+  SELECT userId AS user_id, staged.ts AS valid_from, max((firstName, lastName, gender, level)) AS o
+  FROM staged GROUP BY ALL),
+changes AS (
+  SELECT * FROM seen
+  QUALIFY lag(o) OVER (PARTITION BY user_id ORDER BY valid_from) IS DISTINCT FROM o),
+versions AS (
+  SELECT md5(user_id || CAST(valid_from AS VARCHAR)) AS user_key, user_id, o[1] AS first_name, o[2] AS last_name,
+         o[3] AS gender, o[4] AS level, valid_from,
+         lead(valid_from) OVER (PARTITION BY user_id ORDER BY valid_from) AS valid_to, valid_to IS NULL AS is_current
+  FROM changes)"""
+
+
+@query("dim_user_history", f"WITH {STAGED_LOG_SQL}, {USER_VERSIONS_SQL} SELECT * FROM versions")
+def dim_user_history(spark, sf_dir):
+    return star_history.users(standins.staged_log(spark, sf_dir), buckets=12)
+
+
+@query(
+    "fact_user_version",
+    f"""WITH {STAGED_LOG_SQL}, {USER_VERSIONS_SQL},
+    plays AS (SELECT staged.ts AS start_time, userId AS user_id, sessionId AS session_id, itemInSession AS item,
+                     song, artist, location
+              FROM staged WHERE page = 'NextSong'),
+    late AS (SELECT * FROM versions WHERE valid_from >= TIMESTAMP '1995-01-01')
+    SELECT plays.*, user_key, first_name, last_name, gender, level, valid_from
+    FROM plays ASOF LEFT JOIN late ON plays.user_id = late.user_id AND start_time >= valid_from""",
+)
+def fact_user_version(spark, sf_dir):
+    """Plays with the user as of their time; versions before 1995 are not known."""
+    log = materialize(standins.staged_log(spark, sf_dir), "staged-log")
+    known = star_history.users(log, buckets=12).where("valid_from >= TIMESTAMP_NTZ '1995-01-01'")
+    return star_history.plays(log, known, buckets=12)
+
+
 # Set-based warehouse
 
 DW_FACT_SQL = f"""
