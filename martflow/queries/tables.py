@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from martflow.plans.query_first import song_events, table as question_table, wri
 from martflow.queries.registry import query, table
 from martflow.queries.standins import LOG_SQL, log
 from martflow.session import scratch_path
+from martflow.sinks.clustered import lookup_clustered, write_clustered
 from martflow.sinks.tables import create_table, length_violations, write_distributed
 from martflow.sinks.writers import load_table
 
@@ -80,3 +82,31 @@ def layout_query_first(spark, sf_dir):
 )
 def varchar_violations(spark, sf_dir):
     return length_violations(table(spark, sf_dir, "part"), {"p_name": 9, "p_brand": 7, "p_type": 32})
+
+
+CLUSTERED = ["l_orderkey", "l_suppkey", "l_shipdate"]
+
+
+@query(
+    "layout_clustered_lookup",
+    """SELECT 'second key' AS lookup, l_orderkey, l_suppkey, l_shipdate, l_quantity FROM lineitem WHERE l_suppkey = 7
+       UNION ALL SELECT 'first and third', l_orderkey, l_suppkey, l_shipdate, l_quantity FROM lineitem
+       WHERE l_orderkey BETWEEN 100 AND 400 AND l_shipdate >= TIMESTAMP '1996-01-01'
+       UNION ALL SELECT 'all', l_orderkey, l_suppkey, l_shipdate, l_quantity FROM lineitem
+       WHERE l_orderkey <= 1000 AND l_suppkey BETWEEN 3 AND 5 AND l_shipdate < TIMESTAMP '1995-01-01'""",
+)
+def layout_clustered_lookup(spark, sf_dir):
+    """One layout that answers questions by any of its keys, written in two loads."""
+    path = scratch_path(spark, "clustered")
+    lines = table(spark, sf_dir, "lineitem").select(*CLUSTERED, "l_quantity")
+    write_clustered(lines.where("l_quantity > 5"), path, CLUSTERED, 64)
+    write_clustered(lines.where("l_quantity <= 5"), path, CLUSTERED, 8, append=True)
+
+    def asked(label, wanted):
+        return lookup_clustered(spark, path, lines.schema, wanted).select(F.lit(label).alias("lookup"), "*")
+
+    before = dt.datetime(1995, 1, 1) - dt.timedelta(microseconds=1)
+    second = asked("second key", {"l_suppkey": 7})
+    pair = asked("first and third", {"l_orderkey": (100, 400), "l_shipdate": (dt.datetime(1996, 1, 1), None)})
+    every = asked("all", {"l_orderkey": (None, 1000), "l_suppkey": (3, 5), "l_shipdate": (None, before)})
+    return second.unionByName(pair).unionByName(every)
