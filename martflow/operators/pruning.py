@@ -40,6 +40,9 @@ KEYS_PER_WORD = 4
 # Pieces the leading key's range is cut into, so that gaps between them are not read.
 PIECES = 16
 
+# Bytes of a table's keys from which filters are worth the passes over the delivery they take.
+PRUNE_FROM = 64 << 20
+
 # Longest text that is put into a plan.
 MAX_LITERAL = 1000
 
@@ -122,26 +125,38 @@ def key_bits(delivery: DataFrame, keys: Sequence[str], words: int) -> DataFrame:
     return hashed.groupBy(F.expr(f"_hash & {words - 1}L").alias("_word")).agg(F.bit_or(_mask("_hash")).alias("_bits"))
 
 
-def held_rows(target: DataFrame, delivery: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of ``target`` whose key may be in ``delivery``, and few others.
-
-    No row whose key the delivery has is lost, null keys included. The
-    delivery, a written table, is read a few times. The target is not
-    shuffled. Keys whose types differ between the two are not used.
-    """
+def _marked(target: DataFrame, delivery: DataFrame, keys: Sequence[str], how: str) -> tuple[DataFrame, Column]:
+    """The target, with what the filters need, and whether a row passes them."""
     alike = [k for k in keys if target.schema[k].dataType == delivery.schema[k].dataType]
     if not alike:
-        return target
+        return target, F.lit(True)
     wanted = delivery.select(*[F.col(f"`{k}`") for k in alike])
     passed, count = key_ranges(wanted, alike)
-    near = target.where(passed)
     if not count or count > MAX_WORDS * KEYS_PER_WORD * 2:
-        return near
+        return target, passed
     words = 1 << 6
     while words < MAX_WORDS and words * KEYS_PER_WORD < count:
         words *= 2
     bits = F.broadcast(key_bits(wanted, alike, words))
-    marked = near.withColumn("_hash", _hash(alike)).withColumn("_word", F.expr(f"_hash & {words - 1}L"))
-    return marked.join(bits, "_word").where(F.col("_bits").bitwiseAND(_mask("_hash")) == _mask("_hash")).select(
-        *[F.col(f"`{c}`") for c in target.columns]
-    )
+    near = target.where(passed) if how == "inner" else target
+    hashed = near.withColumn("_hash", _hash(alike)).withColumn("_word", F.expr(f"_hash & {words - 1}L"))
+    return hashed.join(bits, "_word", how), passed & (F.col("_bits").bitwiseAND(_mask("_hash")) == _mask("_hash"))
+
+
+def held_rows(target: DataFrame, delivery: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``target`` whose key may be in ``delivery``, and few others.
+
+    No row whose key the delivery has is lost, null keys included. The
+    delivery, a written table, is read a few times. The target is not
+    shuffled. Keys whose types differ between the two are not used.
+    """
+    marked, passed = _marked(target, delivery, keys, "inner")
+    return marked.where(passed).select(*[F.col(f"`{c}`") for c in target.columns])
+
+
+def split_rows(target: DataFrame, delivery: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``held_rows`` and all other rows of ``target``, neither of them shuffled."""
+    marked, passed = _marked(target, delivery, keys, "left")
+    columns = [F.col(f"`{c}`") for c in target.columns]
+    held = F.coalesce(passed, F.lit(False))
+    return marked.where(held).select(*columns), marked.where(~held).select(*columns)

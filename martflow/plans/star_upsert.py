@@ -22,7 +22,7 @@ from martflow.functions.timeparts import clock_parts
 from martflow.operators.columns import change_columns, select_as
 from martflow.operators.filters import of_kind, present
 from martflow.operators.joins import Join, equi_join, resolve
-from martflow.operators.pruning import estimated_bytes, held_rows
+from martflow.operators.pruning import PRUNE_FROM, estimated_bytes, held_rows
 from martflow.operators.upsert import absent_rows, upsert_columns, upsert_do_nothing
 from martflow.plans.star_warehouse import ARTIST_NAMES, PLAY_COLUMNS, SONG_COLUMNS, USER_NAMES
 from martflow.schemas import SONG_PLAY
@@ -36,9 +36,6 @@ PLAY_NAMES = {
 }
 PLAY_KEY = list(PLAY_NAMES)
 
-# Bytes of a table's keys from which a load derives filters from the delivery first.
-PRUNE_FROM = 64 << 20
-
 
 def _plays(log: DataFrame) -> DataFrame:
     return of_kind(log, "page", SONG_PLAY)

@@ -19,6 +19,7 @@ from martflow.operators.upsert import (
 )
 from martflow.queries.registry import query, table
 from martflow.session import scratch_path
+from martflow.sinks.bucketed import upsert_bucketed, write_bucketed
 from martflow.sinks.writers import merge_partitions, write_parquet
 from martflow.sources.readers import read_partitioned
 
@@ -143,3 +144,23 @@ def upsert_last_write_wins(spark, sf_dir):
     keys = ["user_id", "event_type"]
     earlier, later = _halves(spark, sf_dir)
     return upsert_rows(one_row_per_key(earlier, keys, ARRIVAL), later, keys, ARRIVAL)
+
+
+@query(
+    "upsert_bucketed",
+    """SELECT user_id, event_type, arg_min(value, (ts, event_id)) AS value, max(ts) AS ts FROM events
+       GROUP BY user_id, event_type""",
+)
+def upsert_bucketed_query(spark, sf_dir):
+    """Per user and kind the first value and the last time, in hash buckets that four deliveries touch."""
+    path, keys = scratch_path(spark, "buckets"), ["user_id", "event_type"]
+    schema = "user_id bigint, event_type string, value double, ts timestamp_ntz"
+    events = table(spark, sf_dir, "events").select(*keys, "value", "ts", "event_id").withColumn("seen", F.struct("ts", "event_id"))
+    parts = [F.dayofmonth("ts") < 8, F.dayofmonth("ts").between(8, 24), F.dayofmonth("ts") == 25, F.dayofmonth("ts") > 25]
+    first = reduce_updates(events.where(parts[0]).drop("event_id"), keys, ["ts"], ["seen"])
+    write_bucketed(first.select(*keys, "value", "ts"), path, keys, 16)
+    found = None
+    for part in parts[1:]:
+        delivery = events.where(part).drop("event_id")
+        found = upsert_bucketed(spark, path, schema, delivery, upsert_columns, ["ts"], ["seen"])
+    return found

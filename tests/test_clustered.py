@@ -115,4 +115,4 @@ def test_buckets_of_odd_values(spark):
     rows = spark.createDataFrame(values, "v double")
     bucket = even_buckets(rows, {"v": 3})["v"]
     found = {str(r.v): r.b for r in rows.select("v", bucket(F.col("v")).alias("b")).collect()}
-    assert found["None"] is None and found["-inf"] == found["0"] == 0 and found["nan"] == found["inf"] == found["1e+308"] == 1
+    assert found["None"] is None and found["-inf"] == found["0.0"] == 0 and found["nan"] == found["inf"] == found["1e+308"] == 1
