@@ -11,6 +11,7 @@ from martflow.queries.keyed import MIDDLE
 from martflow.queries.registry import query, table
 from martflow.session import scratch_path
 from martflow.sinks.tables import create_table
+from martflow.streaming.dedupe import stage_deduplicated
 from martflow.streaming.incremental import (
     merge_partitions_incrementally,
     stage_incrementally,
@@ -91,3 +92,45 @@ def incremental_partitions(spark, sf_dir):
                 f"{root}/progress", prepare, merge,
             )
     return merged.drop("event_id", "ts")
+
+
+def _exports(spark, sf_dir):
+    """January's events in four exports that overlap, the last of which brings the first days again."""
+    day = F.dayofmonth("ts")
+    events = table(spark, sf_dir, "events").drop("props")
+    return [events.where(part) for part in (day <= 12, day.between(9, 20), day.between(20, 31), day <= 3)]
+
+
+def _deduplicated(spark, sf_dir):
+    root, found = scratch_path(spark, "stream"), None
+    for export in _exports(spark, sf_dir):
+        export.write.mode("append").parquet(f"{root}/source")
+        for _ in range(2):  # the second run finds nothing new
+            found = stage_deduplicated(
+                spark, f"{root}/source", "parquet", SCHEMA, f"{root}/staged", f"{root}/progress",
+                ["event_id"], "ts", "5 days",
+            )
+    return found
+
+
+@query("incremental_dedupe", "SELECT DISTINCT event_id, ts, user_id, event_type, value FROM events")
+def incremental_dedupe(spark, sf_dir):
+    return _deduplicated(spark, sf_dir).rows
+
+
+@query(
+    "incremental_dedupe_counts",
+    """WITH exports AS (
+         SELECT unnest([0, 1, 2, 3]) AS batch, unnest([1, 9, 20, 1]) AS first_day, unnest([12, 20, 31, 3]) AS last_day),
+       lines AS (SELECT batch, ts, event_id FROM exports JOIN events ON day(ts) BETWEEN first_day AND last_day),
+       marks AS (SELECT batch, (SELECT max(ts) - INTERVAL 5 DAY FROM lines e WHERE e.batch < exports.batch) AS watermark
+                 FROM exports),
+       judged AS (SELECT batch, coalesce(ts < watermark, false) AS late,
+                         batch > min(batch) OVER (PARTITION BY event_id, ts) AS again
+                  FROM lines JOIN marks USING (batch))
+       SELECT CAST(batch AS BIGINT) AS batch, count(*) AS total, count(*) FILTER (NOT late AND NOT again) AS staged,
+              count(*) FILTER (NOT late AND again) AS repeated, count(*) FILTER (late) AS late
+       FROM judged GROUP BY batch""",
+)
+def incremental_dedupe_counts(spark, sf_dir):
+    return _deduplicated(spark, sf_dir).batches.drop("watermark", "latest")
