@@ -9,12 +9,15 @@ never occurs without the entity and near 0 for one that tells nothing. Words
 above ``generalise`` are replaced by a placeholder, words above ``remove`` are
 deleted, wherever they stand in a document that holds that entity.
 
-All counts are over all documents. Only entities of at least ``SUPPORT``
-documents can have such words. Words of their documents are counted first: with
-df(t,c) <= df(c), a word of more than N^(1-g) df(c)^g documents stays below the
-share g, and one of fewer than ``SUPPORT`` is no candidate. Words that pass, by
-a filter of fixed size, are then counted with each entity. Counts are combined
-in each task, and joins drop the filters' false hits.
+Entities are single values, and for e-mail addresses also the domain and the
+name before it, which many addresses may share. All counts are over all
+documents. Only entities of at least ``SUPPORT`` documents can have such words.
+The words of all documents are counted first. With df(t,c) <= df(t), a word of
+more than N^(1-g) df(c)^g documents stays below the share g of entity c, and
+one of fewer than ``SUPPORT`` is no candidate. So each entity is counted only
+with the words of its documents that are rare enough for it; a table of hash
+slots, sized by the number of words, says in the tasks how rare a word is at
+least. Counts are combined in each task, and joins drop the false hits.
 
 Defined results: null text counts as empty. Ids are carried, never compared.
 Rows that repeat are counted as documents of their own. An entity in every
@@ -32,13 +35,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import by_ids, join_per_key, map_batches
+from martflow.llm.common import join_per_key, map_batches
+from martflow.operators.joins import replicate
 from martflow.session import materialize
 
 KINDS = ("email", "ip", "card", "phone", "term")
 SUPPORT = 3  # documents a word and an entity must share
 GENERALISE, REMOVE = 0.8, 0.95
-FILTER_BITS = 18
+SLOTS_A_WORD, MOST_SLOT_BITS = 8, 24  # of the table of how rare words are, one byte a slot
 FLUSH = 200_000  # words counted in a task before they are sent
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -98,9 +102,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _key(kind: int, text: str) -> int:
+def _keys(kind: int, text: str) -> list[int]:
+    """The entities a base span stands for: its value, and an address's name and domain."""
     plain = text.lower() if kind == 0 else re.sub(r"[^0-9.]", "", text)
-    return xxhash.xxh64_intdigest(f"{KINDS[kind]} {plain}") - (1 << 63)
+    names = [f"{KINDS[kind]} {plain}"]
+    if kind == 0:
+        name, domain = plain.rsplit("@", 1)
+        names += [f"name {name}", f"domain {domain}"]
+    return [xxhash.xxh64_intdigest(n) - (1 << 63) for n in names]
 
 
 def words_outside(text: str, spans: list) -> list[tuple[str, int, int]]:
@@ -122,7 +131,7 @@ def _marker():
         for text in batch["text"]:
             spans = base_spans(text) if text else []
             out["base"].append([{"start": s, "rank": k, "end": e} for s, k, e in spans])
-            out["entities"].append(sorted({_key(k, text[s:e]) for s, k, e in spans}))
+            out["entities"].append(sorted({c for s, k, e in spans for c in _keys(k, text[s:e])}))
         return out
 
     return work
@@ -152,36 +161,46 @@ def _combined(keys_of, columns):
     return make
 
 
-def _passes(wanted: np.ndarray, word: str) -> bool:
-    return bool(wanted[xxhash.xxh64_intdigest(word) & len(wanted) - 1])
+def _frequency_counter():
+    return _combined(lambda text: ((w,) for w in set(NAME.findall((text or "").lower()))), ["term"])
 
 
-def _frequency_counter(wanted: np.ndarray):
-    return _combined(lambda text: ((w,) for w in set(NAME.findall((text or "").lower())) if _passes(wanted, w)), ["term"])
+def _slot(word: str, slots: int) -> int:
+    return xxhash.xxh64_intdigest(word) & slots - 1
 
 
-def _pair_counter(wanted: np.ndarray):
+def _pair_counter(least: np.ndarray, limit):
+    """Entities with the words that are, as far as ``least`` says, rare enough for them."""
+
     def pairs(text, entities):
-        words = {w for w, _, _ in words_outside(text, base_spans(text))}
-        return ((entity, w) for w in words if _passes(wanted, w) for entity in entities)
+        bounds = sorted((limit(e["with_entity"]), e["entity"]) for e in entities)
+        for word in {w for w, _, _ in words_outside(text, base_spans(text))}:
+            count = 2.0 ** (int(least[_slot(word, len(least))]) / 4)
+            for bound, entity in reversed(bounds):
+                if bound < count:
+                    break
+                yield entity, word
 
     return _combined(pairs, ["entity", "term"])
 
 
-def _word_slots():
-    mask = (1 << FILTER_BITS) - 1
-
-    def work(batch):
-        return {"slot": list({xxhash.xxh64_intdigest(w) & mask for text in batch["text"] for w in NAME.findall(text.lower())})}
+def least_counts(words: DataFrame) -> np.ndarray:
+    """For each hash slot four times the binary logarithm, rounded down, of the
+    fewest documents that one of its words has; 255 in slots without words."""
+    bits = max(12, (SLOTS_A_WORD * words.count()).bit_length())
+    slots = 1 << min(MOST_SLOT_BITS, bits)
 
-    return work
+    def make():
+        def work(batch):
+            return {"slot": [_slot(w, slots) for w in batch["term"]], "low": batch["with_term"]}
 
+        return work
 
-def _filter_of(texts: DataFrame) -> np.ndarray:
-    """Which hash slots the words of ``text`` have; at most 2**FILTER_BITS numbers are collected."""
-    wanted = np.zeros(1 << FILTER_BITS, dtype=bool)
-    wanted[map_batches(texts, _word_slots, "slot int").distinct().toArrow()["slot"].to_numpy()] = True
-    return wanted
+    placed = map_batches(words.select("term", "with_term"), make, "slot int, low long")
+    found = placed.groupBy("slot").agg(F.floor(F.log2(F.min("low")) * 4).cast("int").alias("low")).toArrow()
+    least = np.full(slots, 255, dtype=np.uint8)
+    least[found["slot"].to_numpy()] = np.minimum(found["low"].to_numpy(), 254)
+    return least
 
 
 def _term_marker():
@@ -214,12 +233,14 @@ def marks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 def supported(marked: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
     """(entity, with_entity) of entities with enough documents, and (hash,
-    entities) of the texts that hold them. Written."""
+    entities), an array of these, of the texts that hold them. Written."""
     single = marked.select("hash", F.explode("entities").alias("entity"))
     entities = single.groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity")).filter(F.col("with_entity") >= support)
     entities = materialize(entities, "pii-entities")
     held = join_per_key(single, entities, ["entity"], "with_entity", single.count()).filter(F.col("with_entity").isNotNull())
-    return entities, materialize(held.groupBy("hash").agg(F.collect_set("entity").alias("entities")), "pii-held")
+    return entities, materialize(
+        held.groupBy("hash").agg(F.collect_set(F.struct("entity", "with_entity")).alias("entities")), "pii-held"
+    )
 
 
 def disclosing_terms(
@@ -233,16 +254,19 @@ def disclosing_terms(
 ) -> DataFrame:
     """(entity, term, shared, disclosure) for words that reveal an entity. Written."""
     rows = docs.select(F.xxhash64(key, text).alias("hash"), F.col(text).alias("text"))
-    tagged = by_ids(rows, held, "hash", "inner")
-    counted = map_batches(rows.select("text"), _frequency_counter(_filter_of(tagged.select("text"))), "term string, n long")
     n = max(1, docs.count())
+
+    def limit(with_entity: int) -> float:
+        # Rounding must not lose a word at the bound.
+        return 1.000001 * n ** (1 - threshold) * with_entity**threshold
+
     most = entities.agg(F.max("with_entity")).first()[0] or 0
-    # Rounding must not lose a word at the bound.
-    limit = 1.000001 * n ** (1 - threshold) * most**threshold
-    words = counted.groupBy("term").agg(F.sum("n").alias("with_term")).filter(F.col("with_term").between(support, limit))
-    words = materialize(words, "pii-words")
-    wanted = _filter_of(words.select(F.col("term").alias("text")))
-    pairs = map_batches(tagged.select("text", "entities"), _pair_counter(wanted), "entity long, term string, n long")
+    counted = map_batches(rows.select("text"), _frequency_counter(), "term string, n long")
+    words = counted.groupBy("term").agg(F.sum("n").alias("with_term"))
+    words = materialize(words.filter(F.col("with_term").between(support, limit(most))), "pii-words")
+    tagged = rows.join(replicate(held), "hash")
+    counter = _pair_counter(least_counts(words), limit)
+    pairs = map_batches(tagged.select("text", "entities"), counter, "entity long, term string, n long")
     pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("shared")).filter(F.col("shared") >= support)
 
     total = F.lit(float(n))
@@ -273,18 +297,18 @@ def findings(
         terms = disclosing_terms(docs, entities, held, key, text, support, generalise)
         revealing = terms.groupBy("entity").agg(F.collect_list(F.struct("term", "disclosure")).alias("_of"))
         revealing = materialize(revealing.join(entities, "entity"), "pii-revealing")
-        single = held.select("hash", F.explode("entities").alias("entity"))
+        single = held.select("hash", F.explode("entities.entity").alias("entity"))
         of_text = join_per_key(single, revealing, ["entity"], "with_entity", single.count()).filter(F.col("_of").isNotNull())
         of_text = materialize(of_text.groupBy("hash").agg(F.flatten(F.collect_list("_of")).alias("of")), "pii-texts")
         rows = docs.select(F.xxhash64(key, text).alias("hash"), F.col(text).alias("text"))
-        found = map_batches(by_ids(rows, of_text, "hash", "inner"), _term_marker, f"hash long, terms {TERMS}")
+        found = map_batches(rows.join(replicate(of_text), "hash"), _term_marker, f"hash long, terms {TERMS}")
         of_text = materialize(found.groupBy("hash").agg(F.first("terms").alias("_terms")), "pii-terms-at")
     none = F.lit(None).cast("double")
     base = F.transform(
         "base", lambda s: F.struct(s.start.alias("start"), s.rank.alias("rank"), s.end.alias("end"), none.alias("disclosure"))
     )
     empty = F.array().cast(TERMS)
-    return by_ids(marked, of_text, "hash", "left").select(
+    return marked.join(replicate(of_text), "hash", "left").select(
         "id", "hash", F.array_sort(F.concat(base, F.coalesce("_terms", empty))).alias("spans")
     )
 
