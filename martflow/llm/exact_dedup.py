@@ -112,6 +112,14 @@ def exact_dedup(
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    gone = exact_dedup(docs, key, text).filter(~F.col("kept")).select(key).distinct()
-    return docs.join(gone, key, "left_anti")
+    """One row of each group of equal texts, with all its columns.
+
+    Rows are judged, not ids: the row with the largest id stays, a null id
+    being the least; of rows that share it any one. The rows are written once,
+    numbered, so that all steps mean the same row by a number.
+    """
+    numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.monotonically_increasing_id().alias("_n"))
+    numbered = materialize(numbered, "numbered-rows")
+    told = numbered.select(F.struct(F.col(f"_row.`{key}`").alias("id"), "_n").alias("_told"), F.col(f"_row.`{text}`").alias("_text"))
+    gone = exact_dedup(told, "_told", "_text").filter(~F.col("kept")).select(F.col("_told._n").alias("_n"))
+    return numbered.join(gone, "_n", "left_anti").select(*[F.col(f"_row.`{c}`") for c in docs.columns])

@@ -51,6 +51,8 @@ def parse(source: str) -> list[Node]:
     one space, references are decoded, empty blocks are left out."""
     nodes = [Node("#root", frozenset(), -1, 0)]
     stack = [0]
+    # Where in the stack the open elements of each name are, so that no tag walks it.
+    places: dict[str, list[int]] = {}
     run: list[tuple[str, bool]] = []
     link = False
 
@@ -69,14 +71,15 @@ def parse(source: str) -> list[Node]:
                 block.link_chars = sum(len(t.strip()) for t, linked in run if linked)
             run.clear()
 
+    def last(names: tuple[str, ...]) -> int:
+        return max((places[name][-1] for name in names if places.get(name)), default=0)
+
     def close(names: tuple[str, ...], scope: tuple[str, ...] = ()) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            tag = nodes[stack[i]].tag
-            if tag in names:
-                del stack[i:]
-                return
-            if tag in scope:
-                return
+        at = last(names)
+        if at > last(scope):
+            for i in range(len(stack) - 1, at - 1, -1):
+                places[nodes[stack[i]].tag].pop()
+            del stack[at:]
 
     at, size = 0, len(source)
     while at < size:
@@ -116,7 +119,7 @@ def parse(source: str) -> list[Node]:
             if name == "a":
                 link = not closing
         elif closing:
-            if name == "p" or any(nodes[i].tag == name for i in stack):
+            if name == "p" or places.get(name):
                 end_block()
                 link = False
                 close((name,))
@@ -133,6 +136,7 @@ def parse(source: str) -> list[Node]:
                 close(CLOSES_ITSELF[name], SCOPES[name])
             node = add(name, tokens_of(attributes))
             if name not in VOID and not attributes.endswith("/"):
+                places.setdefault(name, []).append(len(stack))
                 stack.append(node)
     end_block()
     return nodes

@@ -29,6 +29,7 @@ from martflow.llm.common import held_out, map_batches
 
 FEATURES = 1 << 15
 PER_LABEL = 2000
+MOST_LABELS = 200  # labels learnt, the most frequent; others are never predicted
 SMOOTHING = 0.5
 AMBIGUOUS = 0.2  # lead of the best posterior over the second
 UNKNOWN = "und"
@@ -119,6 +120,10 @@ class Model:
         self.trust = np.ones(bits)
 
     def margins(self, grams: np.ndarray) -> np.ndarray:
+        if len(grams) > FEATURES:
+            # Counted, so that a long text takes no more memory than a table of all trigrams.
+            counts = np.bincount(grams, minlength=FEATURES)
+            return counts @ self.weights / len(grams)
         return self.weights[grams].mean(axis=0)
 
     def calibrate(self, label_means: np.ndarray, right: np.ndarray) -> None:
@@ -154,16 +159,26 @@ def _margin_rows(model: Model):
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = PER_LABEL) -> Model | None:
-    """Fit on about ``per_label`` rows of each label, never on held-out rows."""
+    """Fit on about ``per_label`` rows of each label, never on held-out rows.
+
+    Labels are the ``MOST_LABELS`` most frequent. Rows are chosen by a hash of
+    id and text; where rows repeat, so that more than twice as many of a label
+    are chosen, by chance among these.
+    """
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(label).alias("label"))
     rows = rows.filter(F.col("label").isNotNull() & ~held_out(F.col("id")))
-    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(MOST_LABELS).collect()
     if not sizes:
         return None
     spark = docs.sparkSession
     rates = spark.createDataFrame([(r.label, min(1.0, per_label / r.n)) for r in sizes], "label string, rate double")
-    place = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1_000_000)) / 1e6
-    sample = rows.join(F.broadcast(rates), "label").filter(place < F.col("rate")).select("text", "label")
+    place = F.pmod(F.xxhash64("id", "text", F.lit(11)), F.lit(1_000_000)) / 1e6
+    sample = rows.join(F.broadcast(rates), "label").filter(place < F.col("rate"))
+    many = {r.label: per_label / r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect() if r.n > 2 * per_label}
+    if many:
+        share = spark.createDataFrame(list(many.items()), "label string, share double")
+        sample = sample.join(F.broadcast(share), "label", "left").filter(F.rand(11) < F.coalesce("share", F.lit(1.0)))
+    sample = sample.select("text", "label")
     sums = map_batches(sample, _count_by_label, "label string, feature int, n long")
     sums = sums.groupBy("label", "feature").agg(F.sum("n").alias("n")).toArrow()
     if not len(sums):

@@ -478,7 +478,21 @@ def jaccard_components(
 
 
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 8, den: int = 10) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, with all columns."""
-    found = jaccard_components(docs, key, text, width, num, den)
-    gone = found.filter((F.col("n_shingles") > 0) & (F.col(key) != F.col("component_id"))).select(key).distinct()
-    return by_ids(docs, materialize(gone, "near-copies"), key, "left_anti")
+    """One row of each component, with all its columns; rows without words stay.
+
+    Rows are judged, not ids: each is a node of its own, so texts that share an
+    id are compared by themselves and rows without an id like others. The row
+    with the smallest id stays, a null id being the last; of rows that share it
+    any one. The rows are written once, numbered.
+    """
+    numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.monotonically_increasing_id().alias("_n"))
+    numbered = materialize(numbered, "numbered-rows")
+    told = numbered.select("_n", F.col(f"_row.`{key}`").alias("id"), F.col(f"_row.`{text}`").alias("text"))
+    found = jaccard_components(told, "_n", "text", width, num, den).filter("n_shingles > 0")
+    placed = found.join(told.select("_n", "id"), "_n").select("_n", "component_id", F.struct(F.col("id").isNull(), "id", "_n").alias("place"))
+    placed = materialize(placed, "near-copy-places")
+    groups = placed.groupBy("component_id").agg(F.min("place").getField("_n").alias("stays"), F.count(F.lit(1)).alias("n"))
+    groups = materialize(groups.filter("n > 1"), "near-copy-groups")
+    copies = join_per_key(placed.select("_n", "component_id"), groups, ["component_id"], "n", placed.count())
+    gone = materialize(copies.filter("_n <> stays").select("_n"), "near-copies")
+    return by_ids(numbered, gone, "_n", "left_anti").select(*[F.col(f"_row.`{c}`") for c in docs.columns])

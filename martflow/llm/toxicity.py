@@ -73,7 +73,8 @@ COUNTS = (2, 3, 5)
 
 def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, size: int) -> tuple[DataFrame, dict]:
     """Labelled rows to learn from, about ``size / 2`` of each class, and the
-    weight a row of each class stands for."""
+    weight a row of each class stands for. Where ids repeat and so more than
+    ``2 * size`` rows have the chosen ids, about ``size`` of these rows."""
     known = (
         labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key)))
         .groupBy(F.col(key).cast("long").alias("id"))
@@ -84,7 +85,11 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     place = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000)) / 1e6
     some = known.filter(place < F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0]))
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.join(F.broadcast(some), "id"), {c: 1 / r for c, r in rate.items()}
+    sample = rows.join(F.broadcast(some), "id")
+    found = sample.count()
+    if found > 2 * size:
+        sample = sample.filter(F.rand(5) < size / found)
+    return sample, {c: 1 / r for c, r in rate.items()}
 
 
 def _feature_counter():

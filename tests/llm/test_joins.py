@@ -111,10 +111,20 @@ def test_near_copies_go(documents):
     text = " ".join(f"w{i}" for i in range(100))
     docs = documents([(1, text), (2, text + " more"), (3, "another text of its own"), (4, None), (None, text)])
     kept = ngram_join.without_near_copies(docs)
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 3, 4, None]
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 3, 4]
     assert ngram_join.jaccard_components(documents([])).count() == 0
 
 
+def test_near_copies_are_rows_not_ids(documents):
+    text = " ".join(f"w{i}" for i in range(100))
+    own = "a text of its own that is found nowhere else at all"
+    rows = [(1, text), (7, text + " more"), (7, own), (None, text), (None, own + " so"), (5, own), (5, own), (None, None), (None, None)]
+    kept = ngram_join.without_near_copies(documents(rows))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, text), (5, own), (None, None), (None, None)], key=str)
+    assert ngram_join.without_near_copies(documents(rows).limit(0)).count() == 0
+    assert ngram_join.without_near_copies(documents([(None, own)] * 3)).count() == 1
+
+
 ITEM = "the quick brown fox jumps over the lazy dog while seven green birds sing loudly near an old stone bridge"
 
 

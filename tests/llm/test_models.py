@@ -1,6 +1,7 @@
 """Toxicity, language, personal data, main text."""
 
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -185,3 +186,35 @@ def test_awkward_pages(prepared, trees):
     out = html_text.extract(pages, model=trees).collect()
     assert len(out) == len(rows) and all(r.n_chars == len(r.text) for r in out)
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_deep_pages_are_read_in_time():
+    started = time.perf_counter()
+    for opening in ("<div>", "<table><div>", "<p><table><div>", "<ul><li><div>", "<b><section>"):
+        nodes = html_tree.parse(opening + "<div>" * 100_000 + "text" + "</div>" * 50_000 + "</nothing>" * 1000)
+        assert nodes[-1].text == "text" and nodes[-1].depth > 100_000
+    assert time.perf_counter() - started < 10
+
+
+def test_samples_are_bounded(prepared):
+    """One id, or none, with very many rows."""
+    many = prepared.range(60_000).select(F.lit(4).cast("long").alias("doc_id"), F.concat(F.lit("some words "), "id").alias("text"), F.lit("en").alias("lang"))
+    labels = prepared.createDataFrame([(4, 1)], "doc_id long, toxic int")
+    sample, _ = toxicity._sample(many, labels, "doc_id", "text", "toxic", 100)
+    assert 50 < sample.count() <= 200
+    some = many.limit(300).withColumn("lang", F.lit("de"))
+    model = language.fit(many.withColumn("doc_id", F.lit(None).cast("long")).unionByName(some), per_label=100)
+    assert model.labels == ["de", "en"]
+
+
+def test_labels_are_bounded(prepared, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LABELS", 3)
+    rows = [(i, f"some words in label {i % 9}", f"l{i % 9 if i < 90 else i % 3}") for i in range(120)]
+    model = language.fit(prepared.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.labels == ["l0", "l1", "l2"]
+
+
+def test_long_texts_have_the_margins_of_short_ones():
+    model = language.Model(["a", "b", "c"], np.random.default_rng(1).integers(0, 9, (3, language.FEATURES)).astype(float))
+    grams = np.random.default_rng(2).integers(0, language.FEATURES, 3000)
+    assert np.allclose(model.margins(grams), model.margins(np.tile(grams, 20)), atol=1e-4)

@@ -48,6 +48,14 @@ def test_drop_copies_keeps_columns(documents):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3]
 
 
+def test_copies_are_rows_not_ids(documents):
+    """No text is lost with its id, and rows without an id are copies like others."""
+    rows = [(5, "a"), (5, "b only here"), (9, "A"), (None, "copy"), (None, "COPY"), (None, "copy"), (3, "x"), (3, "X"), (None, None), (2, "")]
+    kept = sorted(((r.doc_id, (r.text or "").lower()) for r in exact_dedup.drop_copies(documents(rows)).collect()), key=str)
+    assert kept == sorted([(5, "b only here"), (9, "a"), (None, "copy"), (3, "x"), (2, "")], key=str)
+    assert exact_dedup.drop_copies(documents([])).count() == 0
+
+
 def test_shards_are_even_and_gapless(prepared):
     docs = prepared.read.parquet(f"{SMALL}/documents.parquet")
     found = sharding.shard_positions(docs, 6).collect()
