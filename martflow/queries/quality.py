@@ -14,10 +14,20 @@ from martflow.operators.quality import (
     orphans,
     source_target_counts,
 )
+from martflow.operators.sketches import (
+    DISTINCT_ERROR,
+    RANK_ERROR,
+    merge_profiles,
+    rank_errors,
+    read_profile,
+    sketch_profile,
+)
 from martflow.plans import star_warehouse
 from martflow.plans.analytics import long_form, questions
 from martflow.queries.registry import query, table
 from martflow.queries.standins import SONGS_SQL, STAGED_LOG_SQL, songs, staged_log
+from martflow.session import materialize, scratch_path
+from martflow.sinks.observed import Watch, load_watched, watched_report
 
 
 @query(
@@ -176,3 +186,58 @@ def analytics_battery(spark, sf_dir):
         "users": star_warehouse.users(events),
     }
     return long_form(questions(star))
+
+
+@query(
+    "dq_watched_load",
+    """WITH few AS (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority,
+                           CASE WHEN o_orderkey % 7 = 0 THEN 'x' ELSE CAST(o_custkey AS VARCHAR) END AS customer
+                    FROM orders)
+       SELECT 'orders' AS table_name, 'rows' AS rule, count(*) AS value, true AS passed FROM few
+       UNION ALL SELECT 'orders', 'null o_orderkey', count(*), true FROM few WHERE o_orderkey IS NULL
+       UNION ALL SELECT 'orders', 'null priority', count(*), false FROM few WHERE priority IS NULL
+       UNION ALL SELECT 'orders', 'unfit customer', count(*), false FROM few WHERE customer = 'x'
+       UNION ALL SELECT 'large', 'rows', count(*), true FROM few WHERE o_totalprice > 100000
+       UNION ALL SELECT 'none', 'rows', 0, false""",
+)
+def dq_watched_load(spark, sf_dir):
+    """Rules judged by three writes, without reading what was written."""
+    missing = F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority"))
+    broken = F.when(F.col("o_orderkey") % 7 == 0, "x").otherwise(F.col("o_custkey").cast("string"))
+    orders = table(spark, sf_dir, "orders").withColumns({"priority": missing, "customer": broken})
+    root = scratch_path(spark, "watched")
+    watches = [Watch("orders", ["o_orderkey", "priority"], {"customer": "bigint"}), Watch("large"), Watch("none")]
+    parts = [orders, orders.where("o_totalprice > 100000"), orders.where("o_totalprice < 0")]
+    for watch, rows in zip(watches, parts):
+        load_watched(rows, f"{root}/{watch.name}", True, watch)
+    return watched_report(spark, watches)
+
+
+MEASURES = ["l_quantity", "l_extendedprice", "late_discount", "l_orderkey"]
+
+
+@query(
+    "profile_sketch",
+    """WITH v AS (
+         SELECT unnest(['l_quantity', 'l_extendedprice', 'late_discount', 'l_orderkey']) AS column_name,
+                unnest([l_quantity, l_extendedprice,
+                        CASE WHEN l_shipdate >= TIMESTAMP '1996-01-01' THEN l_discount END, CAST(l_orderkey AS DOUBLE)]) AS value
+         FROM lineitem)
+       SELECT column_name, count(value) AS "count", count(*) - count(value) AS nulls, round(avg(value), 6) AS mean,
+              min(value) AS "min", max(value) AS "max", true AS quartiles_within, true AS distinct_within
+       FROM v GROUP BY column_name""",
+)
+def profile_sketch(spark, sf_dir):
+    """Sketches of every shipping month, written, then merged; errors held against the exact values."""
+    late = F.when(F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp_ntz"), F.col("l_discount"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("late_discount", late)
+    monthly = materialize(sketch_profile(lines.withColumn("month", F.trunc("l_shipdate", "month")), MEASURES, ["month"]), "sketches")
+    found = materialize(read_profile(merge_profiles(monthly)), "profile")
+    exact = lines.agg(*[F.countDistinct(c).alias(c) for c in MEASURES]).unpivot([], MEASURES, "column_name", "exact")
+    errors = rank_errors(lines, MEASURES, found)
+    within = F.greatest("p25_error", "p50_error", "p75_error") <= 2 * RANK_ERROR
+    close = F.abs(F.col("distinct") / F.col("exact") - 1) <= DISTINCT_ERROR
+    return found.join(errors, "column_name").join(exact, "column_name").select(
+        "column_name", "count", "nulls", F.round("mean", 6).alias("mean"), "min", "max",
+        within.alias("quartiles_within"), close.alias("distinct_within"),
+    )
