@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from martflow.functions.timeparts import to_epoch_ms
 from martflow.queries.registry import query, table
 from martflow.session import scratch_path
+from martflow.sources.ledger import read_staged, stage_run
 from martflow.sources.readers import (
     list_files,
     read_any,
@@ -261,3 +262,28 @@ def stage_rejects(spark, sf_dir):
     )
     table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
     return json_rejects(spark, path, "event_id bigint, page string")
+
+
+@query(
+    "stage_ledger",
+    """SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS day FROM events WHERE day(ts) <= 4""",
+)
+def stage_ledger(spark, sf_dir):
+    """Four days' files, staged out of order and more than once; the second day has a late file."""
+    root, schema = scratch_path(spark, "by-day"), "event_id bigint, user_id bigint, event_type string, value double"
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", F.to_date("ts").alias("day"))
+    late = (F.dayofmonth("day") == 2) & (F.col("event_id") % 3 == 0)
+
+    def deliver(rows):
+        rows.hint("rebalance", "day").write.mode("append").partitionBy("day").json(f"{root}/in")
+
+    def run(*days):
+        for d in days:
+            template = f"{root}/in/day={{day:%Y-%m-%d}}/*.json"
+            stage_run(spark, template, date(2024, 1, d), spark.read.schema(schema).json, f"{root}/staged")
+
+    deliver(events.where((F.dayofmonth("day") <= 4) & ~late))
+    run(3, 1, 1, 2)
+    deliver(events.where(late))
+    run(4, 2, 2, 1)
+    return read_staged(spark, f"{root}/staged", schema)
