@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from martflow.functions.timeparts import to_epoch_ms
 from martflow.queries.registry import query, table
-from martflow.session import scratch_path
+from martflow.session import materialize, scratch_path
+from martflow.sources.drift import drift_report, extract, field, stage_variant
 from martflow.sources.ledger import read_staged, stage_run
 from martflow.sources.readers import (
     list_files,
@@ -287,3 +288,44 @@ def stage_ledger(spark, sf_dir):
     deliver(events.where(late))
     run(4, 2, 2, 1)
     return read_staged(spark, f"{root}/staged", schema)
+
+
+DRIFTING = "event_id bigint, user_id bigint, value double, props string"
+
+
+def _drifting(spark, sf_dir):
+    """Events as JSON lines; from the 11th on with a device, from the 21st on with texts for users and no props."""
+    root, day = scratch_path(spark, "drifting"), F.dayofmonth("ts")
+    events = table(spark, sf_dir, "events").withColumn("device", F.struct(F.concat(F.lit("d"), F.expr("event_id % 5")).alias("id")))
+    same = ["event_id", "value"]
+    events.where(day <= 10).select(*same, "user_id", "props").write.mode("append").json(root)
+    events.where(day.between(11, 20)).select(*same, "user_id", "props", "device").write.mode("append").json(root)
+    named = F.concat(F.lit("u"), "user_id").alias("user_id")
+    events.where(day > 20).select(*same, named, "device").write.mode("append").json(root)
+    return materialize(stage_variant(spark, root, DRIFTING), "staged-variant")
+
+
+@query(
+    "stage_variant",
+    """SELECT event_id, CASE WHEN day(ts) <= 20 THEN user_id END AS user_id, value,
+              CASE WHEN day(ts) <= 20 THEN props END AS props,
+              CASE WHEN day(ts) > 20 THEN 'u' || user_id ELSE CAST(user_id AS VARCHAR) END AS user_text,
+              CASE WHEN day(ts) > 10 THEN 'd' || event_id % 5 END AS device
+       FROM events""",
+)
+def stage_variant_query(spark, sf_dir):
+    """Typed columns, and two fields taken later from the lines as staged."""
+    staged = extract(_drifting(spark, sf_dir), {"device": "struct<id: string>"})
+    return staged.select(*[c.split()[0] for c in DRIFTING.split(", ")], field("user_id", "string").alias("user_text"), F.col("device.id").alias("device"))
+
+
+@query(
+    "stage_drift",
+    """SELECT 'event_id' AS field, 'bigint' AS declared, count(*) AS lines, 'as declared' AS status FROM events
+       UNION ALL SELECT 'user_id', 'bigint', count(*), 'changed' FROM events
+       UNION ALL SELECT 'value', 'double', count(value), 'as declared' FROM events
+       UNION ALL SELECT 'props', 'string', count(props), 'as declared' FROM events WHERE day(ts) <= 20
+       UNION ALL SELECT 'device', NULL, count(*), 'new' FROM events WHERE day(ts) > 10""",
+)
+def stage_drift(spark, sf_dir):
+    return drift_report(_drifting(spark, sf_dir), DRIFTING).select("field", "declared", "lines", "status")

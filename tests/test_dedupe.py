@@ -20,15 +20,15 @@ def deliver(spark, path, lines):
     spark.createDataFrame(lines, SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-@pytest.fixture(params=[1 << 40, 0])
-def stage(request, spark, tmp_path):
+@pytest.fixture
+def stage(spark, tmp_path):
     source, target, progress = (str(tmp_path / p) for p in ("in", "out", "progress"))
 
-    def run(lines=None, **options):
+    def run(lines=None, prune_from=0):
         if lines is not None:
             deliver(spark, source, lines)
         return stage_deduplicated(
-            spark, source, "parquet", SCHEMA, target, progress, ["id"], "at", "3 days", ["text"], prune_from=request.param, **options
+            spark, source, "parquet", SCHEMA, target, progress, ["id"], "at", "3 days", ["text"], prune_from=prune_from
         )
 
     run.target = target
@@ -65,12 +65,18 @@ def test_late_lines_are_set_aside(stage, rows):
     assert marks[0] is None and marks[1].startswith("2024-05-08")
 
 
+def test_filters_change_no_row(stage, rows):
+    stage([line(1, 0), line(2, 10)], prune_from=1 << 40)
+    found = stage([line(1, 0), line(3, 7), line(2, 10), line(4, 20)], prune_from=1 << 40)
+    assert counts(found) == [(2, 0, 0), (2, 1, 1)]
+
+
 def test_what_is_remembered_is_bounded(stage):
-    for day in range(0, 40, 4):
+    for day in range(0, 40, 8):
         stage([line(day, day), line(day + 1, day)])
     kept = [d for d in os.listdir(f"{stage.target}/seen") if d.startswith("batch=")]
     assert len(kept) <= 2
-    found = stage([line(36, 36), line(99, 36)])
+    found = stage([line(32, 32), line(99, 32)])
     assert counts(found)[-1] == (1, 1, 0)
 
 
