@@ -483,13 +483,20 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     Rows are judged, not ids: each is a node of its own, so texts that share an
     id are compared by themselves and rows without an id like others. The row
     with the smallest id stays, a null id being the last; of rows that share it
-    any one. The rows are written once, numbered.
+    any one. The rows are written once, numbered. A row's node is its id where
+    no other row has it, else a number below all ids.
     """
     numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.monotonically_increasing_id().alias("_n"))
     numbered = materialize(numbered, "numbered-rows")
-    told = numbered.select("_n", F.col(f"_row.`{key}`").alias("id"), F.col(f"_row.`{text}`").alias("text"))
-    found = jaccard_components(told, "_n", "text", width, num, den).filter("n_shingles > 0")
-    placed = found.join(told.select("_n", "id"), "_n").select("_n", "component_id", F.struct(F.col("id").isNull(), "id", "_n").alias("place"))
+    told = numbered.select("_n", F.col(f"_row.`{key}`").cast("long").alias("id"), F.col(f"_row.`{text}`").alias("text"))
+    shared = told.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("_shared")).filter("n > 1")
+    shared = materialize(shared.select("id", "_shared"), "shared-ids")
+    low = told.agg(F.least(F.lit(0), F.min("id"))).first()[0] or 0
+    own = F.when(F.col("id").isNull() | F.col("_shared"), F.lit(low - 1) - F.col("_n")).otherwise(F.col("id"))
+    told = by_ids(told, shared, "id", "left").select("_n", "id", "text", own.alias("_node"))
+    found = jaccard_components(told, "_node", "text", width, num, den).filter("n_shingles > 0")
+    placed = found.join(told.select("_n", "id", "_node"), "_node")
+    placed = placed.select("_n", "component_id", F.struct(F.col("id").isNull(), "id", "_n").alias("place"))
     placed = materialize(placed, "near-copy-places")
     groups = placed.groupBy("component_id").agg(F.min("place").getField("_n").alias("stays"), F.count(F.lit(1)).alias("n"))
     groups = materialize(groups.filter("n > 1"), "near-copy-groups")
