@@ -128,7 +128,11 @@ def test_near_copies_are_rows_not_ids(documents):
 ITEM = "the quick brown fox jumps over the lazy dog while seven green birds sing loudly near an old stone bridge"
 
 
-def test_leaks_tolerate_substitutions(prepared, documents):
+HELD = pytest.mark.parametrize("held_words", [decontaminate.HELD_WORDS, 0])
+
+
+@HELD
+def test_leaks_tolerate_substitutions(prepared, documents, held_words):
     items = prepared.createDataFrame(
         [(1, ITEM), (2, "one two three"), (3, None), (4, "alpha beta gamma delta epsilon zeta")], "item_id long, text string"
     )
@@ -139,43 +143,106 @@ def test_leaks_tolerate_substitutions(prepared, documents):
         (10, f"Before. {ITEM.upper()}! After."), (11, f"pre {changed} post"), (12, inserted),
         (13, "the quick brown fox is all that is here, nothing of the rest is in this text at all"),
         (14, "one two three"), (15, "say alpha beta gamma delta epsilon zeta now"), (16, " ".join(reversed(words))),
+        (17, "one two, then three"),
     ]
     docs = documents(rows + AWKWARD)
-    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items).collect()}
-    assert found == {(10, 1), (11, 1), (12, 1), (15, 4)}
-    kept = decontaminate.without_leaks(docs.withColumn("uid", F.lit(1)), items)
-    assert kept.count() == len(rows) + len(AWKWARD) - 4 and "uid" in kept.columns
-    assert decontaminate.leaks(documents([]), items).count() == 0
-    assert decontaminate.leaks(docs, items.limit(0)).count() == 0
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items, held_words=held_words).collect()}
+    assert found == {(10, 1), (11, 1), (12, 1), (14, 2), (15, 4)}
+    kept = decontaminate.without_leaks(docs.withColumn("uid", F.lit(1)), items, held_words=held_words)
+    assert kept.count() == len(rows) + len(AWKWARD) - 5 and "uid" in kept.columns
+    assert decontaminate.leaks(documents([]), items, held_words=held_words).count() == 0
+    assert decontaminate.leaks(docs, items.limit(0), held_words=held_words).count() == 0
 
 
-def test_leaks_equal_brute_force(prepared, documents):
-    """Short items with random substitutions, and passages of them, as if every alignment were tried."""
+@HELD
+def test_short_and_unspaced_items(prepared, documents, held_words):
+    unspaced = "富士山は日本で一番高い山として広く知られている"
+    items = prepared.createDataFrame(
+        [(1, "paris"), (2, "forty two"), (3, "one two three"), (4, "a b c d"), (5, unspaced), (6, "東京"), (None, "lost and found box"), (7, " ?! ")],
+        "item_id long, text string",
+    )
+    rows = [
+        (10, "Paris!"), (11, "paris is a town"), (12, "Forty-two"), (13, "it is forty two"), (14, "say one two three now"),
+        (15, "one two and three"), (16, "x a b c d y"), (17, "a b c"), (18, f"前置き{unspaced}。後書き"), (19, unspaced[:14]), (20, unspaced[:8]),
+        (21, unspaced.replace("一", "二")), (22, "東京"), (23, "東京と大阪"), (24, "the lost and found box"), (25, "?!"), (26, "one two three " * 4),
+    ]
+    want = {(10, 1), (12, 2), (14, 3), (16, 4), (18, 5), (19, 5), (21, 5), (22, 6), (24, None), (26, 3)}
+    found = decontaminate.leaks(documents(rows), items, held_words=held_words).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want and len(found) == len(want)
+    gone = {r for r, _ in want}
+    kept = decontaminate.without_leaks(documents(rows), items, held_words=held_words).collect()
+    assert {r.doc_id for r in kept} == {r for r, _ in rows} - gone
+
+
+def words_matched_by_hand(doc: list, item: list) -> int:
+    """Words of the item in a stretch of any alignment, from running sums."""
+    hit = set()
+    for shift in range(-len(item), len(doc)):
+        same = [0 <= i + shift < len(doc) and doc[i + shift] == w for i, w in enumerate(item)]
+        i = 0
+        while i < len(item):
+            if not same[i]:
+                i += 1
+                continue
+            scores = []
+            for s in same[i:]:
+                scores.append((scores[-1] if scores else 0) + (1 if s else -2))
+                if scores[-1] <= 0:
+                    break
+            end = i + scores.index(max(scores)) + 1
+            matches = [k for k in range(i, end) if same[k]]
+            hit.update(matches if len(matches) >= 5 else [])
+            i += len(scores)
+    return len(hit)
+
+
+@HELD
+def test_leaks_equal_brute_force(prepared, documents, held_words):
+    """Short items with random substitutions, passages of them, and words that repeat."""
     rng = random.Random(8)
     items = [(n, [f"i{n}w{k}" for k in range(n)]) for n in (5, 6, 8, 10, 12, 15, 16, 17, 18, 20, 21, 24, 30, 59)]
-    rows = []
+    items += [(100 + n, [rng.choice("pqr") for _ in range(n)]) for n in (7, 11, 19)]
+    items += [(200, ["same"] * 12)]
+    rows = [(1000, "same " * 60), (1001, "same " * 7 + "other " + "same " * 4), (1002, "same " * 5 + "but not at all so"), (1003, "same same")]
+    rows += [(1100 + n, " ".join(rng.choice("pqr") for _ in range(n))) for n in (5, 20, 60)]
     for n, words in items:
-        for lost in range(0, n // 2 + 1):
+        for lost in range(0, n // 2 + 1) if n < 100 else ():
             for _ in range(3):
                 gone = set(rng.sample(range(n), lost))
                 part = ["x" if i in gone else w for i, w in enumerate(words)]
                 rows.append((len(rows), " ".join(["before", *part, "after"])))
-        for size in {n // 2 - 1, -(-n // 2), n // 2 + 1}:
-            start = rng.randrange(n - size + 1)
+        for size in {len(words) // 2 - 1, -(-len(words) // 2), len(words) // 2 + 1}:
+            start = rng.randrange(len(words) - size + 1)
             passage = words[start : start + size]
             rows.append((len(rows), " ".join(["before", *passage, "after"])))
             rows.append((len(rows), " ".join([*passage[:5], "between", *passage[5:]])))
-    hashes = decontaminate.WordHashes()
     want = set()
     for name, text in rows:
-        doc = hashes.of(text.split())
         for n, words in items:
-            matched = int(decontaminate.matched_words(doc, hashes.of(words), list(range(-n, len(doc)))).sum())
-            if matched >= max(5, -(-n // 2)):
+            matched = words_matched_by_hand(text.split(), words)
+            if matched >= max(5, -(-len(words) // 2)):
                 want.add((name, n, matched))
     tests = prepared.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string")
-    found = {(r.doc_id, r.item_id, r.matched) for r in decontaminate.leaks(documents(rows), tests).collect()}
-    assert found == want
+    found = decontaminate.leaks(documents(rows), tests, held_words=held_words).collect()
+    assert {(r.doc_id, r.item_id, r.matched) for r in found} == want
+
+
+def test_alignments_of_repeated_words_in_chunks(monkeypatch):
+    monkeypatch.setattr(decontaminate, "CHUNK", 7)
+    hashes = decontaminate.WordHashes()
+    words = [hashes.of(w.split()) for w in ("a a a a a a a b", "b a a a a a", "c d e")]
+    doc = hashes.of("x a a a a a a a a a b a a a a a c d e".split())
+    held = decontaminate.HeldItems([1, 2, 3], words)
+    want = {}
+    for i, item in enumerate(words):
+        for salt in decontaminate.kinds_of(len(item)):
+            mask = decontaminate.KINDS[salt]
+            for p in range(len(doc) - len(mask) + 1):
+                for q in range(len(item) - len(mask) + 1):
+                    if all(m == "0" or doc[p + k] == item[q + k] for k, m in enumerate(mask)):
+                        want.setdefault(i, set()).add(p - q)
+    assert held.alignments(doc) == {i: sorted(s) for i, s in want.items()}
+    assert decontaminate.HeldItems([], []).alignments(doc) == {}
 
 
 def test_pipeline_stages(spark):
