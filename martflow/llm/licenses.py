@@ -6,7 +6,8 @@ further: titles and copyright lines in any form at its head, copyright lines
 with a sign and a year or a placeholder anywhere, names of holders, list marks
 and the FSF's addresses; the digest of that is joined to those of the known
 licences, whole texts in ``known_licenses`` and the notices below. Texts that
-differ only in such things are the same licence.
+differ only in such things are the same licence. Only texts that hold a stem
+that no known licence is without (``STEMS``) are folded; others are none.
 
 Defined results: null text counts as empty, and empty text is no licence. Null
 and repeated ids are carried as they are. Two known texts with one digest: the
@@ -16,6 +17,7 @@ smaller name. Other columns are not read.
 from __future__ import annotations
 
 import string
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +54,8 @@ SLOTS = (
     (r"(?: [0-9])? (redistributions of source|redistributions in binary|neither the name)", " $1"),
     (r" (?:675 mass ave cambridge ma 02139|59 temple place suite 330 boston ma 02111 1307|51 franklin st(?:reet)? fifth floor boston ma 02110 1301)(?: usa)?", ""),
 )
+# Letters in a row, one of which stands in every known text however it is spelt.
+STEMS = ("licen", "warrant")
 END_OF_TERMS = "END OF TERMS AND CONDITIONS"  # what follows tells how to apply a licence
 # Texts of public licences and notices.
 KNOWN = {
@@ -90,18 +94,29 @@ def folded(text: Column) -> Column:
     return F.trim(plain)
 
 
+def bodies(texts: dict[str, str] = KNOWN) -> list[tuple[str, str]]:
+    """(name, text) of each licence, and of each without what follows its terms."""
+    whole = sorted(texts.items())
+    return whole + [(name, body[: body.index(END_OF_TERMS) + len(END_OF_TERMS)]) for name, body in whole if END_OF_TERMS in body]
+
+
 def known_digests(spark: SparkSession, texts: dict[str, str] = KNOWN) -> DataFrame:
     """(``digest`` of the folded text, ``license``), one row per digest. Written."""
-    bodies = [(name, body) for name, body in sorted(texts.items())]
-    bodies += [(name, body[: body.index(END_OF_TERMS) + len(END_OF_TERMS)]) for name, body in bodies if END_OF_TERMS in body]
-    rows = spark.createDataFrame(bodies, "license string, body string")
+    rows = spark.createDataFrame(bodies(texts), "license string, body string")
     digests = rows.select(F.sha2(folded(F.col("body")), 256).alias("digest"), "license")
     return materialize(digests.groupBy("digest").agg(F.min("license").alias("license")), "licenses")
 
 
-def scan(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``key``, ``digest`` of the canonical text, and ``license`` or null."""
+def scan(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text", stems: tuple[str, ...] = STEMS) -> DataFrame:
+    """Per row: ``key``, ``digest`` of the canonical text, ``folded_digest``, by
+    which a licence is looked up, null without a stem, and ``license`` or null.
+    Every text of ``known`` must hold one of ``stems``; without any, all is folded."""
+    low = F.translate(F.col(text), string.ascii_uppercase, string.ascii_lowercase)
+    may_be_known = reduce(Column.__or__, [F.contains(low, F.lit(stem)) for stem in stems], F.lit(not stems))
     rows = docs.select(
-        F.col(key), F.sha2(canonical(F.col(text)), 256).alias("digest"), F.sha2(folded(F.col(text)), 256).alias("_folded")
+        F.col(key),
+        F.sha2(canonical(F.col(text)), 256).alias("digest"),
+        F.when(may_be_known, F.sha2(folded(F.col(text)), 256)).alias("folded_digest"),
     )
-    return by_ids(rows, known.withColumnRenamed("digest", "_folded"), "_folded", "left").select(key, "digest", "license")
+    found = by_ids(rows, known.withColumnRenamed("digest", "folded_digest"), "folded_digest", "left")
+    return found.select(key, "digest", "folded_digest", "license")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -123,37 +126,46 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, sf_dir))
 
 
-@query(
-    "op6_licenses",
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _license_sql() -> str:
+    """Canonical digests, and the licence whose own canonical text has that digest.
+
+    SQL's regular expressions cannot state the further folding of titles and
+    copyright lines; a document that is a known text but for these is found by
+    the query alone.
     """
+
+    def digest(body: str) -> str:
+        low = body.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase))
+        low = re.sub(licenses.COPYRIGHT, r"\1", low)
+        for spelling, usual in licenses.SPELLINGS:
+            low = low.replace(spelling, usual)
+        return hashlib.sha256(re.sub("[^a-z0-9]+", " ", low).strip().encode()).hexdigest()
+
+    spelt = "t"
+    for spelling, usual in licenses.SPELLINGS:
+        spelt = f"replace({spelt}, '{spelling}', '{usual}')"
+    names = " ".join(f"WHEN '{digest(body)}' THEN {_sql_text(name)}" for name, body in licenses.bodies())
+    return f"""
     WITH folded AS (
       SELECT doc_id, regexp_replace(
-        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '(^|\\n)[^a-z\\n]*copyright[ \\t]+(\\(c\\)|©|[0-9]{4})[^\\n]*', '\\1', 'g') AS t
+        translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+        {_sql_text(licenses.COPYRIGHT)}, '\\1', 'g') AS t
       FROM documents
-    ), spelt AS (
-      SELECT doc_id, replace(replace(replace(replace(replace(replace(t, 'licence', 'license'),
-        'sub-license', 'sublicense'), 'organisation', 'organization'), 'non-commercial', 'noncommercial'),
-        'https', 'http'), '&', ' and ') AS t
-      FROM folded
     ), digested AS (
-      SELECT doc_id, sha256(trim(regexp_replace(t, '[^a-z0-9]+', ' ', 'g'))) AS digest FROM spelt
+      SELECT doc_id, sha256(trim(regexp_replace({spelt}, '[^a-z0-9]+', ' ', 'g'))) AS digest FROM folded
     )
-    SELECT doc_id, digest,
-           CASE digest
-             WHEN sha256('licensed under cc by nc 4 0') THEN 'CC-BY-NC-4.0 notice'
-             WHEN sha256('licensed under cc by 4 0') THEN 'CC-BY-4.0 notice'
-           END AS license
-    FROM digested
-    """,
-)
-def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its canonical digest and the known licence it is."""
-    return licenses.scan(documents(spark, sf_dir), licenses.known_digests(spark))
+    SELECT doc_id, digest, CASE digest {names} END AS license FROM digested
+    """
 
 
-def _sql_text(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
+@query("op6_licenses", _license_sql())
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its canonical digest and the known licence it is."""
+    return licenses.scan(documents(spark, sf_dir), licenses.known_digests(spark)).drop("folded_digest")
 
 
 def _url_sql() -> str:

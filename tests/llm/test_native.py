@@ -3,10 +3,12 @@
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from check import compare
 from martflow.llm import exact_dedup, licenses, mixing, sharding
 from llm.conftest import AWKWARD
 
@@ -225,3 +227,29 @@ def test_every_known_licence_in_several_spellings(prepared, documents):
         want.append(name)
     found = {r.doc_id: r.license for r in licenses.scan(documents(rows), licenses.known_digests(prepared)).collect()}
     assert [(want[i], rows[i][1][:80]) for i in range(len(rows)) if found[i] != want[i]][:5] == []
+
+
+def test_known_texts_agree_with_sql(prepared, documents, tmp_path):
+    """Every known text, whole and without what follows its terms, in spellings that SQL can state."""
+    rows = []
+    for name, body in licenses.bodies():
+        spelt = [body, body.upper(), body.replace(",", " ;"), "Copyright (c) 2020 X\n" + body, body.replace("license", "licence"), body + " more"]
+        rows += [(len(rows) + i, text) for i, text in enumerate(spelt)]
+    rows += [(name, text) for name, text, *_ in AWKWARD if name is not None]
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    verdict, n, _ = compare(prepared, con, "op6_licenses", str(tmp_path))
+    assert (verdict, n) == ("ok", len(rows))
+    names = {r.license for r in licenses.scan(documents(rows), licenses.known_digests(prepared)).collect()}
+    assert names == {*licenses.KNOWN, None}
+
+
+def test_stems_leave_out_no_licence(prepared, documents):
+    assert all(any(stem in body.lower() for stem in licenses.STEMS) for _, body in licenses.bodies())
+    docs = documents([(i, body) for i, (_, body) in enumerate(licenses.bodies())] + [(99, "no such word"), (98, None)])
+    known = licenses.known_digests(prepared)
+    by_stem, all_folded = licenses.scan(docs, known).collect(), licenses.scan(docs, known, stems=()).collect()
+    assert {(r.doc_id, r.digest, r.license) for r in by_stem} == {(r.doc_id, r.digest, r.license) for r in all_folded}
+    assert sorted(r.doc_id for r in by_stem if r.folded_digest is None) == [98, 99]
+    assert all(r.folded_digest for r in all_folded)
