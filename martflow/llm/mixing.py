@@ -2,9 +2,11 @@
 
 Each source's share of the mix is its weight times a schedule over training
 progress 0..1. The schedule's integral is the source's cumulative demand for
-words; a document that starts at a given word of its source is met when that
+words; a document whose middle is a given word of its source is met when that
 demand reaches it, so the inverse of the integral is its training position.
-Sorting the documents of all sources by position, by range, is the curriculum.
+Sorting the copies of all sources by position, by range, is the curriculum:
+``mixture`` numbers the copies in that order and gives each document the places
+of its own, ``curriculum`` gives the documents themselves.
 
 Cumulative words come from sums over hash buckets and a window inside each
 bucket, so that no task holds a source. Whole documents are taken; the one
@@ -101,7 +103,7 @@ def _inverse(knots: Sequence[tuple[float, float]]):
     return lambda share: position(share, knots)
 
 
-def mixture(
+def _positioned(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
@@ -113,7 +115,11 @@ def mixture(
     seed: int = 7,
 ) -> DataFrame:
     """Per row: ``key``, ``source``, ``size``, ``source_size``, ``target``,
-    ``taken`` (words), ``copies`` and ``positions`` (one per copy, rising)."""
+    ``taken`` (words), ``copies`` and ``positions`` (one per copy, rising).
+
+    ``_hash``, ``_key`` (of the source) and ``_end`` (where the document ends in
+    its source) come besides; the last two tell apart all rows that are taken.
+    """
     rows = docs.select(
         F.col(key).alias("_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")
     ).withColumns(
@@ -196,10 +202,35 @@ def mixture(
             (F.col("copies") * F.col("size")).alias("taken"),
             "copies",
             by_shape.alias("positions"),
+            "_hash",
+            "_key",
+            "_end",
         )
     )
 
 
+def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
+    """Per row: ``key``, ``source``, ``size``, ``source_size``, ``target``,
+    ``taken`` (words), ``copies``, ``positions`` (one per copy, rising) and
+    ``places``: which of all copies, from 0, the run reads it as.
+
+    The copies of all sources are sorted by position, by range, and numbered;
+    copies that share a position are read by a hash of the id.
+    """
+    rows = materialize(_positioned(docs, key, text, **parameters), "mix")
+    named = [c for c in rows.columns if c not in ("positions", "_hash", "_key", "_end")]
+    met = rows.filter(F.col("copies") > 0).withColumn("_position", F.explode("positions")).drop("positions")
+    read = dense_ids(met, "_place", ["_position", "_hash", key, "_key", "_end"])
+    copy = F.sort_array(F.collect_list(F.struct("_place", "_position")))
+    taken = read.groupBy("_key", "_end").agg(*[F.first(c).alias(c) for c in named], copy.alias("_copies"))
+    left = rows.filter(F.col("copies") == 0).withColumn("places", F.array().cast("array<long>"))
+    return taken.select(
+        *named,
+        F.col("_copies._position").alias("positions"),
+        F.col("_copies._place").alias("places"),
+    ).unionByName(left.select(*named, "positions", "places"))
+
+
 def curriculum(docs: DataFrame, key: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
     """``docs`` as the run reads them: each row as often as it is taken, with
     its ``position``, sorted by position across partitions. A column of that
@@ -208,7 +239,7 @@ def curriculum(docs: DataFrame, key: str = "doc_id", text: str = "text", **param
     Rows that repeat id and text all get the largest number of copies.
     """
     plan = (
-        mixture(docs, key, text, **parameters)
+        _positioned(docs, key, text, **parameters)
         .filter(F.col("copies") > 0)
         .groupBy(F.col(key).alias("_id"), F.col("size").alias("_size"))
         .agg(F.max_by("positions", "copies").alias("_positions"))
