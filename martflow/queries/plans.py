@@ -35,7 +35,7 @@ from martflow.queries.standins import (
 from martflow.schemas import EVENT_CSV, RACES, STAGED_LOG, STAR
 from martflow.session import materialize, scratch_path
 from martflow.sinks.tables import create_namespace, reset_tables, schema_of
-from martflow.sinks.writers import write_csv, write_parquet
+from martflow.sinks.writers import write_csv, write_json, write_parquet
 from martflow.sources.readers import read_csv, read_partitioned
 
 PARTS_SQL = """CAST(hour(start_time) AS INTEGER) AS "hour", CAST(day(start_time) AS INTEGER) AS "day",
@@ -244,8 +244,8 @@ def star_dw_time(spark, sf_dir):
 def star_dw_staged(spark, sf_dir):
     """From JSON files through staging to the five tables; the fact beside its time."""
     root = scratch_path(spark, "warehouse")
-    standins.songs(spark, sf_dir).write.json(f"{root}/song/A/B/C")
-    standins.log(spark, sf_dir).write.json(f"{root}/log/2018/11")
+    write_json(standins.songs(spark, sf_dir), f"{root}/song/A/B/C")
+    write_json(standins.log(spark, sf_dir), f"{root}/log/2018/11")
     paths = {name: f"$.{name}" for name in schema_of(STAGED_LOG).names}
     star = star_warehouse.run(spark, f"{root}/log/*/*", f"{root}/song/*/*/*", f"{root}/out", paths)
     joined = star["songplays"].join(star["time"], "start_time")
