@@ -258,9 +258,9 @@ def star_dw_staged(spark, sf_dir):
 def _lake(spark, sf_dir):
     """Both JSON trees written out, then the whole lake built from them."""
     root = scratch_path(spark, "lake")
-    standins.songs(spark, sf_dir).write.json(f"{root}/song/A/B/C")
-    standins.log(spark, sf_dir).write.json(f"{root}/log/2018/11")
-    star_lake.run(spark, f"{root}/song/*/*/*/*.json", f"{root}/log/*/*/*.json", f"{root}/out")
+    write_json(standins.songs(spark, sf_dir), f"{root}/song/A/B/C")
+    write_json(standins.log(spark, sf_dir), f"{root}/log/2018/11")
+    star_lake.run(spark, f"{root}/song/*/*/*/*.json.gz", f"{root}/log/*/*/*.json.gz", f"{root}/out")
     return f"{root}/out"
 
 
