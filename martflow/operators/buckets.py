@@ -56,14 +56,20 @@ def _common(low: str, high: str) -> str:
 def even_buckets(rows: DataFrame, wanted: Mapping[str, int]) -> dict[str, Buckets]:
     """For each column a function from its values to bucket numbers from 0, of which there are ``wanted``.
 
-    Three aggregates decide for all columns at once: their ranges, the ranges
-    as numbers, and the rows of each of ``CELLS`` equal parts, which are put
-    together to buckets. Values beyond the range fall into the outermost
+    Two aggregates decide for all columns at once: their ranges, and the rows
+    of each of ``CELLS`` equal parts, which are put together to buckets. Values beyond the range fall into the outermost
     buckets, equal values into one. Null has no bucket.
     """
     kinds = {c: rows.schema[c].dataType for c in wanted}
     ends = [f(F.col(f"`{c}`")).alias(f"{n}_{c}") for c in wanted for n, f in (("low", F.min), ("high", F.max))]
-    row = rows.agg(*ends, *[F.count(F.col(f"`{c}`")).alias(f"n_{c}") for c in wanted]).first()
+    # The numbers of the ends are the ends of the numbers, as these never fall; those of texts need both ends first.
+    spans = [
+        ordered_number(f(F.col(f"`{c}`")), kinds[c]).alias(f"{n}_number_{c}")
+        for c in wanted
+        for n, f in (("low", F.min), ("high", F.max))
+        if not isinstance(kinds[c], StringType)
+    ]
+    row = rows.agg(*ends, *spans, *[F.count(F.col(f"`{c}`")).alias(f"n_{c}") for c in wanted]).first()
     common = {
         c: _common(row[f"low_{c}"], row[f"high_{c}"]) if row[f"n_{c}"] and isinstance(kinds[c], StringType) else ""
         for c in wanted
@@ -75,12 +81,14 @@ def even_buckets(rows: DataFrame, wanted: Mapping[str, int]) -> dict[str, Bucket
     def number(c: str) -> Callable[[Column], Column]:
         return lambda value: ordered_number(value, kinds[c], common[c])
 
-    numbers = {c: number(c)(F.col(f"`{c}`")) for c in used}
-    ends = [f(numbers[c]).alias(f"{n}_{c}") for c in used for n, f in (("low", F.min), ("high", F.max))]
-    spans = rows.agg(*ends).first()
+    texts = [number(c)(F.lit(row[f"{n}_{c}"])).alias(f"{n}_{c}") for c in used if isinstance(kinds[c], StringType) for n in ("low", "high")]
+    of_texts = rows.sparkSession.range(1).select(*texts).first() if texts else None
+
+    def span(c: str, end: str) -> float:
+        return of_texts[f"{end}_{c}"] if isinstance(kinds[c], StringType) else row[f"{end}_number_{c}"]
 
     def cell(c: str, value: Column) -> Column:
-        low, high = spans[f"low_{c}"], spans[f"high_{c}"]
+        low, high = span(c, "low"), span(c, "high")
         if low == high:
             return F.lit(0)
         share = F.floor((number(c)(value) - F.lit(low)) / F.lit(high - low) * CELLS)
@@ -88,7 +96,11 @@ def even_buckets(rows: DataFrame, wanted: Mapping[str, int]) -> dict[str, Bucket
 
     each = [F.struct(F.lit(i).alias("i"), cell(c, F.col(f"`{c}`")).alias("cell")) for i, c in enumerate(used)]
     present = [F.when(F.col(f"`{c}`").isNotNull(), s) for c, s in zip(used, each)]
-    counted = rows.select(F.explode(F.array_compact(F.array(*present))).alias("at")).groupBy("at").count().collect()
+    if len(used) == 1:
+        placed = rows.where(F.col(f"`{used[0]}`").isNotNull()).select(each[0].alias("at"))
+    else:
+        placed = rows.select(F.explode(F.array_compact(F.array(*present))).alias("at"))
+    counted = placed.groupBy("at").count().collect()
     sizes = {(r["at"]["i"], r["at"]["cell"]): r["count"] for r in counted}
 
     found: dict[str, Buckets] = {c: lambda value: F.when(value.isNotNull(), 0) for c in wanted}
@@ -102,5 +114,14 @@ def even_buckets(rows: DataFrame, wanted: Mapping[str, int]) -> dict[str, Bucket
             # As text the list is one node of the plan; the optimizer turns it into a literal array.
             return F.when(value.isNotNull(), F.element_at(F.from_json(F.lit(bucket_of), "array<int>"), cell(c, value) + 1))
 
+        held = [0] * wanted[c]
+        for j, b in enumerate(bucket_of):
+            held[b] += sizes.get((i, j), 0)
+        bucket.even = max(held) * wanted[c] <= 2 * row[f"n_{c}"]
         found[c] = bucket
     return found
+
+
+def even(bucket: Buckets) -> bool:
+    """Whether there are several buckets and none holds more than twice its share of the rows they were made from."""
+    return getattr(bucket, "even", False)

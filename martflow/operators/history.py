@@ -16,7 +16,7 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martflow.operators.buckets import Buckets, even_buckets
+from martflow.operators.buckets import Buckets, even, even_buckets
 from martflow.session import materialize
 
 # Rows a bucket of time should hold, and most buckets.
@@ -54,25 +54,33 @@ def versions(
     """
     placed = rows.where(reduce(and_, [F.col(f"`{c}`").isNotNull() for c in (*keys, at)]))
     bucket = time_buckets(placed, at, buckets)
-    last = F.max(F.struct(*order_by, F.struct(*attributes).alias("_is")))
-    seen = placed.groupBy(*keys, F.col(at).alias("_at")).agg(last.getField("_is").alias("_is"))
+    last = F.max(F.struct(*[f"_o.`{c}`" for c in order_by], "_is"))
+    rows_of = placed.select(
+        *keys, F.col(at).alias("_at"), bucket(F.col(at)).alias("_bucket"),
+        *([F.struct(*order_by).alias("_o")] if order_by else []), F.struct(*attributes).alias("_is"),
+    )
+    if even(bucket):
+        # No bucket is large, so rows go at once to where they are ordered: one shuffle, one sort. Where many
+        # rows share a moment, a bucket can be; then each task first combines those of its input.
+        rows_of = rows_of.repartition(*keys, "_bucket")
+    seen = rows_of.groupBy(*keys, "_bucket", "_at").agg(last.getField("_is").alias("_is"))
 
     # Within a bucket: the first row, and every row unlike the one before it.
     here = Window.partitionBy(*keys, "_bucket").orderBy("_at")
     before = F.lag(F.struct("_is")).over(here)
-    changes = seen.withColumn("_bucket", bucket(F.col("_at"))).withColumn("_before", before)
+    changes = seen.withColumn("_before", before)
     changes = changes.where(F.col("_before").isNull() | ~F.col("_before._is").eqNullSafe(F.col("_is")))
     changes = materialize(changes.withColumn("_first", F.col("_before").isNull()).drop("_before"), "changes")
 
     # Between buckets: whether the first row is a change too, and when the next bucket has one.
     by_time = F.struct("_at", "_is")
     summary = changes.groupBy(*keys, "_bucket").agg(
-        F.min(by_time).alias("_start"), F.max(by_time).alias("_end"), F.min(F.when(~F.col("_first"), F.col("_at"))).alias("_second")
+        F.min(by_time).alias("_start"), F.max(by_time).alias("_last"), F.min(F.when(~F.col("_first"), F.col("_at"))).alias("_second")
     )
     forth = Window.partitionBy(*keys).orderBy("_bucket")
     # Growing frames in both directions: a shrinking one would be summed anew for each row.
     back = Window.partitionBy(*keys).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.lag("_end").over(forth)
+    earlier = F.lag("_last").over(forth)
     changed = summary.withColumn("_new", earlier.isNull() | ~earlier["_is"].eqNullSafe(F.col("_start._is")))
     starts = F.when(F.col("_new"), F.col("_start._at")).otherwise(F.col("_second"))
     linked = changed.withColumn("_starts", starts).withColumn("_next", F.min("_starts").over(back))

@@ -177,7 +177,8 @@ def dim_user_history(spark, sf_dir):
 )
 def fact_user_version(spark, sf_dir):
     """Plays with the user as of their time; versions before 1995 are not known."""
-    log = materialize(standins.staged_log(spark, sf_dir), "staged-log")
+    read = ["userId", "firstName", "lastName", "gender", "level", "ts", "page", "sessionId", "itemInSession", "song", "artist", "location"]
+    log = materialize(standins.staged_log(spark, sf_dir).select(*read), "staged-log")
     known = star_history.users(log, buckets=12).where("valid_from >= TIMESTAMP_NTZ '1995-01-01'")
     return star_history.plays(log, known, buckets=12)
 

@@ -79,24 +79,33 @@ log AS (
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activity log as it is on disk: ts in epoch milliseconds."""
     lineitem = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
-    supplier = table(spark, sf_dir, "supplier")
+    # What a song or listener is called is made once for each, not for every line.
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_brand", "p_retailprice",
+        F.concat_ws(" ", "p_name", "p_partkey").alias("title"),
+        F.concat_ws(" ", F.upper("p_name"), "p_partkey").alias("unknown"),
+    )
+    supplier = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_acctbal",
+        F.split_part("s_name", F.lit("#"), F.lit(1)).alias("first_name"),
+        F.split_part("s_name", F.lit("#"), F.lit(2)).alias("last_name"),
+        F.when(F.col("s_nationkey") < 12, "F").otherwise("M").alias("sex"),
+        F.concat(F.lit("Nation "), F.col("s_nationkey")).alias("place"),
+    )
     joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
         supplier, F.col("l_suppkey") == F.col("s_suppkey")
     )
     heard = F.col("l_quantity") > 1
-    title = F.concat_ws(" ", "p_name", "p_partkey")
-    unknown = F.concat_ws(" ", F.upper("p_name"), "p_partkey")
     return joined.select(
         F.when(heard, F.col("p_brand")).alias("artist"),
         F.lit("Logged In").alias("auth"),
-        F.split_part("s_name", F.lit("#"), F.lit(1)).alias("firstName"),
-        F.when(F.col("s_nationkey") < 12, "F").otherwise("M").alias("gender"),
+        F.col("first_name").alias("firstName"),
+        F.col("sex").alias("gender"),
         F.col("l_linenumber").alias("itemInSession"),
-        F.split_part("s_name", F.lit("#"), F.lit(2)).alias("lastName"),
+        F.col("last_name").alias("lastName"),
         F.when(heard, F.col("p_retailprice")).alias("length"),
         F.when(F.col("l_linestatus") == "F", "free").otherwise("paid").alias("level"),
-        F.concat(F.lit("Nation "), F.col("s_nationkey")).alias("location"),
+        F.col("place").alias("location"),
         F.lit("PUT").alias("method"),
         F.when(F.col("l_returnflag") == "N", "NextSong")
         .when(F.col("l_returnflag") == "A", "Home")
@@ -104,7 +113,7 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("page"),
         F.col("s_acctbal").alias("registration"),
         F.col("l_orderkey").cast("int").alias("sessionId"),
-        F.when(heard, F.when(F.col("l_discount") == 0, unknown).otherwise(title)).alias("song"),
+        F.when(heard, F.when(F.col("l_discount") == 0, F.col("unknown")).otherwise(F.col("title"))).alias("song"),
         F.lit(200).alias("status"),
         (to_epoch_ms(F.col("l_shipdate")) + F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("ts"),
         F.concat(F.lit("agent/"), F.col("l_linenumber")).alias("userAgent"),
