@@ -108,6 +108,8 @@ def one_row_per_key(
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     ordered = [c for c in order_by if c not in keys]
+    if not (ordered or rest):
+        return df.distinct()
     pick = F.max if latest else F.min
     return (
         df.groupBy(*keys)

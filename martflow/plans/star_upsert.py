@@ -26,6 +26,7 @@ from martflow.operators.pruning import PRUNE_FROM, estimated_bytes, held_rows
 from martflow.operators.upsert import absent_rows, upsert_columns, upsert_do_nothing
 from martflow.plans.star_warehouse import ARTIST_NAMES, PLAY_COLUMNS, SONG_COLUMNS, USER_NAMES
 from martflow.schemas import SONG_PLAY
+from martflow.session import materialize
 from martflow.sinks.tables import keep_number, last_number, replace_table
 from martflow.sinks.writers import load_table
 
@@ -36,6 +37,9 @@ PLAY_NAMES = {
 }
 PLAY_KEY = list(PLAY_NAMES)
 
+# What a load reads of a log.
+LOG_COLUMNS = ["page", *PLAY_NAMES.values(), "firstName", "lastName", "gender", "song", "artist", "length"]
+
 
 def _plays(log: DataFrame) -> DataFrame:
     return of_kind(log, "page", SONG_PLAY)
@@ -93,10 +97,14 @@ def songplays(
     """Every play, with the song's and artist's ids or nulls, numbered from
     ``start``. Plays that the fact ``known`` holds already are left out before
     their songs are looked up."""
+    plays = _plays(log)
+    if known is not None:
+        # Written, as the range sort that numbers plays first takes a sample of them.
+        plays = materialize(new_plays(known, log, prune), "new-plays")
     named = artists.select("artist_id", F.col("name").alias("artist_name"))
     catalogue = songs.select("song_id", "title", "duration", "artist_id").join(named, "artist_id")
     resolved = resolve(
-        _plays(log) if known is None else new_plays(known, log, prune),
+        plays,
         catalogue,
         {"song": "title", "artist": "artist_name"},
         ("length", "duration"),

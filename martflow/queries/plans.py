@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from martflow.operators.filters import of_kind
 from martflow.operators.quality import nonempty_report
 from martflow.plans import (
     airports,
@@ -32,7 +33,7 @@ from martflow.queries.standins import (
     SONGS_SQL,
     STAGED_LOG_SQL,
 )
-from martflow.schemas import EVENT_CSV, RACES, STAGED_LOG, STAR
+from martflow.schemas import EVENT_CSV, RACES, SONG_PLAY, STAGED_LOG, STAR
 from martflow.session import materialize, scratch_path
 from martflow.sinks.tables import create_namespace, reset_tables, schema_of
 from martflow.sinks.writers import write_csv, write_json, write_parquet
@@ -125,7 +126,8 @@ def star_upsert_load(spark, sf_dir):
     tables = {name: f"{name}_{suffix}" for name in STAR}
     reset_tables(spark, {tables[name]: ddl for name, ddl in STAR.items()}, root)
     catalogue = standins.songs(spark, sf_dir)
-    log = materialize(standins.staged_log(spark, sf_dir), "staged-log")
+    # Every table of the star is fed by plays alone, so these are what is staged.
+    log = materialize(of_kind(standins.staged_log(spark, sf_dir), "page", SONG_PLAY).select(*star_upsert.LOG_COLUMNS), "staged-log")
     first, second = _halves(log)
     for i, delivery in enumerate((first, second, first)):
         star_upsert.load(spark, delivery, catalogue, tables, root, f"delivery-{i}")
