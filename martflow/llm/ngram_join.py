@@ -45,6 +45,7 @@ GROWTH = 1.6  # of the bands' lower ends
 FILTER_BITS = 26
 SAMPLE_SHIFT, SAMPLE_MASK = 40, 3  # shingles with none of these bits form the quarter
 BLOCK = 400  # members of a block; a tile is compared block by block
+PAIRS_A_TASK = 5_000  # compared by a task at least
 ROUNDS = 3  # in which components that meet try a single pair
 COUNT_BITS = 18  # of the table of counts that orders shingles
 LEVEL_SEED = np.array([0x9E3779B97F4A7C15], dtype=np.uint64)
@@ -272,6 +273,10 @@ def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, like: Likeness)
     """The pairs (``a``, ``b``) that are similar, as edges (``u``, ``v``). Written."""
     own = ["size", "digest", "bitmap"]
     pairs = materialize(pairs, "pairs")
+    count = pairs.count()
+    if not count:
+        return pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    tasks = -(-count // PAIRS_A_TASK)
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     met = by_ids(sets.select("id", *own), materialize(ids, "met"), "id")
 
@@ -279,9 +284,10 @@ def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, like: Likeness)
         return met.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in own])
 
     bounded = map_batches(
-        pairs.join(side("a"), "a").join(side("b"), "b"), _bounds(like), "a long, b long, state int"
+        pairs.join(side("a"), "a").join(side("b"), "b").coalesce(tasks), _bounds(like), "a long, b long, state int"
     ).filter("state > 0")
-    bounded = materialize(bounded.distinct(), "bounded")
+    # A repeated id has several sets.
+    bounded = materialize(bounded.distinct().coalesce(tasks), "bounded")
     edges = bounded.filter("state = 1").select(F.col("a").alias("u"), F.col("b").alias("v"))
     to_check = bounded.filter("state = 2").select("a", "b")
     wanted = materialize(
@@ -291,7 +297,7 @@ def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, like: Likeness)
     both = to_check.join(some.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
         some.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
     )
-    checked = map_batches(both, _exact(like), "a long, b long, linked boolean").filter("linked")
+    checked = map_batches(both.coalesce(tasks), _exact(like), "a long, b long, linked boolean").filter("linked")
     return materialize(edges.unionByName(checked.select(F.col("a").alias("u"), F.col("b").alias("v"))), "links")
 
 
