@@ -15,9 +15,12 @@ documents. Only entities of at least ``SUPPORT`` documents can have such words.
 The words of all documents are counted first. With df(t,c) <= df(t), a word of
 more than N^(1-g) df(c)^g documents stays below the share g of entity c, and
 one of fewer than ``SUPPORT`` is no candidate. So each entity is counted only
-with the words of its documents that are rare enough for it; a table of hash
-slots, sized by the number of words, says in the tasks how rare a word is at
-least. Counts are combined in each task, and joins drop the false hits.
+with the words of its documents that are rare enough for it; tables of hash
+slots, sized by the numbers of words and entities, say in the tasks how rare a
+word is at least and how frequent an entity at most. Counts are combined in
+each task, and joins drop the false hits. What reveals an entity is found the
+same way, by a bit filter of fixed size over pairs of entity and word. So texts
+are only read, never shuffled: what moves are counts and places.
 
 Defined results: null text counts as empty. Ids are carried, never compared.
 Rows that repeat are counted as documents of their own. An entity in every
@@ -43,6 +46,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 SUPPORT = 3  # documents a word and an entity must share
 GENERALISE, REMOVE = 0.8, 0.95
 SLOTS_A_WORD, MOST_SLOT_BITS = 8, 24  # of the table of how rare words are, one byte a slot
+SLOTS_AN_ENTITY, MOST_ENTITY_BITS = 32, 23  # of the table of how frequent entities are
+PAIR_BITS = 26  # of the filter of revealing pairs
 FLUSH = 200_000  # words counted in a task before they are sent
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -169,14 +174,24 @@ def _slot(word: str, slots: int) -> int:
     return xxhash.xxh64_intdigest(word) & slots - 1
 
 
-def _pair_counter(least: np.ndarray, limit):
-    """Entities with the words that are, as far as ``least`` says, rare enough for them."""
+def entities_of(text: str | None, most: np.ndarray) -> tuple[list, list[tuple[int, int]]]:
+    """Base spans, and (entity, its slot's mark) for each entity whose slot has any with enough documents."""
+    spans = base_spans(text) if text else []
+    found = {c for s, k, e in spans for c in _keys(k, text[s:e])}
+    return spans, [(c, mark) for c in found if (mark := int(most[c & len(most) - 1]))]
 
-    def pairs(text, entities):
-        bounds = sorted((limit(e["with_entity"]), e["entity"]) for e in entities)
-        for word in {w for w, _, _ in words_outside(text, base_spans(text))}:
+
+def _pair_counter(least: np.ndarray, most: np.ndarray, limit):
+    """Entities with the words that are, as far as ``least`` and ``most`` say, rare enough for them."""
+
+    def pairs(text):
+        spans, entities = entities_of(text, most)
+        if not entities:
+            return
+        bounds = sorted(((limit(2.0 ** ((mark - 1) / 4)), c) for c, mark in entities), reverse=True)
+        for word in {w for w, _, _ in words_outside(text, spans)}:
             count = 2.0 ** (int(least[_slot(word, len(least))]) / 4)
-            for bound, entity in reversed(bounds):
+            for bound, entity in bounds:
                 if bound < count:
                     break
                 yield entity, word
@@ -184,6 +199,42 @@ def _pair_counter(least: np.ndarray, limit):
     return _combined(pairs, ["entity", "term"])
 
 
+def most_counts(entities: DataFrame) -> np.ndarray:
+    """For each hash slot one more than four times the binary logarithm, rounded
+    up, of the most documents that one of its entities has; 0 in slots without."""
+    bits = max(12, (SLOTS_AN_ENTITY * entities.count()).bit_length())
+    slots = 1 << min(MOST_ENTITY_BITS, bits)
+    mark = F.ceil(F.log2(F.max("with_entity")) * 4) + 1
+    slot = F.col("entity").bitwiseAND(F.lit(slots - 1)).cast("int")
+    found = entities.groupBy(slot.alias("slot")).agg(mark.cast("int").alias("mark")).toArrow()
+    most = np.zeros(slots, dtype=np.uint8)
+    most[found["slot"].to_numpy()] = np.minimum(found["mark"].to_numpy(), 255)
+    return most
+
+
+def _pair_slot(entity: int, word: str) -> int:
+    return xxhash.xxh64_intdigest(word, entity + (1 << 63)) & (1 << PAIR_BITS) - 1
+
+
+def pair_bits(terms: DataFrame) -> np.ndarray:
+    """One bit per hash of a revealing pair; at most 2**(PAIR_BITS - 6) words are collected."""
+
+    def make():
+        def work(batch):
+            return {"slot": [_pair_slot(e, w) for e, w in zip(batch["entity"], batch["term"], strict=True)]}
+
+        return work
+
+    slots = map_batches(terms.select("entity", "term"), make, "slot long")
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")
+    )
+    found = words.toArrow()
+    bits = np.zeros(1 << (PAIR_BITS - 6), dtype=np.uint64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint64)
+    return bits
+
+
 def least_counts(words: DataFrame) -> np.ndarray:
     """For each hash slot four times the binary logarithm, rounded down, of the
     fewest documents that one of its words has; 255 in slots without words."""
@@ -203,24 +254,30 @@ def least_counts(words: DataFrame) -> np.ndarray:
     return least
 
 
-def _term_marker():
-    def work(batch):
-        out = {"hash": batch["hash"], "terms": []}
-        for text, terms in zip(batch["text"], batch["of"], strict=True):
-            share: dict = {}
-            for t in terms:
-                share[t["term"]] = max(t["disclosure"], share.get(t["term"], 0.0))
-            rank = KINDS.index("term")
-            out["terms"].append(
-                [
-                    {"start": s, "rank": rank, "end": e, "disclosure": share[w]}
-                    for w, s, e in words_outside(text, base_spans(text))
-                    if w in share
-                ]
-            )
-        return out
+def _pair_finder(bits: np.ndarray, most: np.ndarray):
+    """Where the words stand that may reveal an entity of their text, with the entity."""
 
-    return work
+    def make():
+        def work(batch):
+            out = {"hash": [], "entity": [], "term": [], "at": []}
+            for name, text in zip(batch["hash"], batch["text"], strict=True):
+                spans, entities = entities_of(text, most)
+                if not entities:
+                    continue
+                places: dict[str, list] = {}
+                for w, s, e in words_outside(text, spans):
+                    places.setdefault(w, []).append({"start": s, "end": e})
+                for w, at in places.items():
+                    for entity, _ in entities:
+                        slot = _pair_slot(entity, w)
+                        if int(bits[slot >> 6]) >> (slot & 63) & 1:
+                            for column, value in zip(out, (name, entity, w, at), strict=True):
+                                out[column].append(value)
+            return out
+
+        return work
+
+    return make
 
 
 def marks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -231,42 +288,34 @@ def marks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return materialize(map_batches(rows, _marker, MARKS), "pii-marks")
 
 
-def supported(marked: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
-    """(entity, with_entity) of entities with enough documents, and (hash,
-    entities), an array of these, of the texts that hold them. Written."""
-    single = marked.select("hash", F.explode("entities").alias("entity"))
-    entities = single.groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity")).filter(F.col("with_entity") >= support)
-    entities = materialize(entities, "pii-entities")
-    held = join_per_key(single, entities, ["entity"], "with_entity", single.count()).filter(F.col("with_entity").isNotNull())
-    return entities, materialize(
-        held.groupBy("hash").agg(F.collect_set(F.struct("entity", "with_entity")).alias("entities")), "pii-held"
-    )
+def supported(marked: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(entity, with_entity) of entities with enough documents. Written."""
+    entities = marked.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
+    return materialize(entities.filter(F.col("with_entity") >= support), "pii-entities")
 
 
 def disclosing_terms(
     docs: DataFrame,
     entities: DataFrame,
-    held: DataFrame,
-    key: str = "doc_id",
+    most: np.ndarray,
     text: str = "text",
     support: int = SUPPORT,
     threshold: float = GENERALISE,
 ) -> DataFrame:
     """(entity, term, shared, disclosure) for words that reveal an entity. Written."""
-    rows = docs.select(F.xxhash64(key, text).alias("hash"), F.col(text).alias("text"))
+    rows = docs.select(F.col(text).alias("text"))
     n = max(1, docs.count())
 
     def limit(with_entity: int) -> float:
         # Rounding must not lose a word at the bound.
         return 1.000001 * n ** (1 - threshold) * with_entity**threshold
 
-    most = entities.agg(F.max("with_entity")).first()[0] or 0
-    counted = map_batches(rows.select("text"), _frequency_counter(), "term string, n long")
+    largest = entities.agg(F.max("with_entity")).first()[0] or 0
+    counted = map_batches(rows, _frequency_counter(), "term string, n long")
     words = counted.groupBy("term").agg(F.sum("n").alias("with_term"))
-    words = materialize(words.filter(F.col("with_term").between(support, limit(most))), "pii-words")
-    tagged = rows.join(replicate(held), "hash")
-    counter = _pair_counter(least_counts(words), limit)
-    pairs = map_batches(tagged.select("text", "entities"), counter, "entity long, term string, n long")
+    words = materialize(words.filter(F.col("with_term").between(support, limit(largest))), "pii-words")
+    counter = _pair_counter(least_counts(words), most, limit)
+    pairs = map_batches(rows, counter, "entity long, term string, n long")
     pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("shared")).filter(F.col("shared") >= support)
 
     total = F.lit(float(n))
@@ -290,19 +339,24 @@ def findings(
     """Per row: ``id``, ``hash`` and ``spans``, an array of (start, rank, end,
     disclosure) by start and kind; ``disclosure`` is null for base spans."""
     marked = marks(docs, key, text)
-    entities, held = supported(marked, support)
-    if held.isEmpty():  # no entity of enough documents, so no word reveals one
+    entities = supported(marked, support)
+    if entities.isEmpty():  # no entity of enough documents, so no word reveals one
         of_text = marked.select("hash").limit(0).withColumn("_terms", F.lit(None).cast(TERMS))
     else:
-        terms = disclosing_terms(docs, entities, held, key, text, support, generalise)
-        revealing = terms.groupBy("entity").agg(F.collect_list(F.struct("term", "disclosure")).alias("_of"))
-        revealing = materialize(revealing.join(entities, "entity"), "pii-revealing")
-        single = held.select("hash", F.explode("entities.entity").alias("entity"))
-        of_text = join_per_key(single, revealing, ["entity"], "with_entity", single.count()).filter(F.col("_of").isNotNull())
-        of_text = materialize(of_text.groupBy("hash").agg(F.flatten(F.collect_list("_of")).alias("of")), "pii-texts")
+        most = most_counts(entities)
+        terms = disclosing_terms(docs, entities, most, text, support, generalise)
         rows = docs.select(F.xxhash64(key, text).alias("hash"), F.col(text).alias("text"))
-        found = map_batches(rows.join(replicate(of_text), "hash"), _term_marker, f"hash long, terms {TERMS}")
-        of_text = materialize(found.groupBy("hash").agg(F.first("terms").alias("_terms")), "pii-terms-at")
+        hits = map_batches(
+            rows, _pair_finder(pair_bits(terms), most), "hash long, entity long, term string, at array<struct<start:long,end:long>>"
+        )
+        hits = materialize(hits, "pii-hits")
+        told = join_per_key(hits, terms, ["entity", "term"], "shared", hits.count()).filter(F.col("disclosure").isNotNull())
+        # A word reveals as much as it does of the entity it says most of.
+        told = told.groupBy("hash", "term").agg(F.max("disclosure").alias("disclosure"), F.first("at").alias("at"))
+        rank, share = F.lit(KINDS.index("term")).alias("rank"), F.col("disclosure")
+        placed = F.transform("at", lambda a: F.struct(a.start.alias("start"), rank, a.end.alias("end"), share.alias("disclosure")))
+        of_text = told.groupBy("hash").agg(F.flatten(F.collect_list(placed)).alias("_terms"))
+        of_text = materialize(of_text, "pii-terms-at")
     none = F.lit(None).cast("double")
     base = F.transform(
         "base", lambda s: F.struct(s.start.alias("start"), s.rank.alias("rank"), s.end.alias("end"), none.alias("disclosure"))
